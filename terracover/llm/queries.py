@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .bpe import op8_bpe
+from .tokens import op2_token_ids
 
 QUERIES = {
+    "op2_token_ids": op2_token_ids,
     "op8_bpe": op8_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}
