@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .bpe import op8_bpe
+from .chat import op6_chat
 from .tokens import op2_token_ids
 
 QUERIES = {
     "op2_token_ids": op2_token_ids,
+    "op6_chat": op6_chat,
     "op8_bpe": op8_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}
