@@ -117,13 +117,13 @@ def chunks_of(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
         at = to
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 def word_bounds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of [^\\x20\\x09-\\x0D] in buf (which ends with a space)."""
-    word = ~_SPACE[buf]
+    word = ~SPACE[buf]
     edge = np.flatnonzero(word[1:] != word[:-1]) + 1
     if len(buf) and word[0]:
         edge = np.concatenate(([0], edge))

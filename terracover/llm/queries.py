@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .bpe import op8_bpe
 from .chat import op6_chat
+from .quality import op5_quality
 from .sharding import op4_sharding
 from .tokens import op2_token_ids
 
 QUERIES = {
     "op2_token_ids": op2_token_ids,
     "op4_sharding": op4_sharding,
+    "op5_quality": op5_quality,
     "op6_chat": op6_chat,
     "op8_bpe": op8_bpe,
 }
