@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from .bpe import op8_bpe
 from .chat import op6_chat
+from .phrases import op10_phrases
 from .quality import op5_quality
 from .sharding import op4_sharding
+from .suffixes import op9_suffixes
 from .tokens import op2_token_ids
 
 QUERIES = {
@@ -14,5 +16,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_chat": op6_chat,
     "op8_bpe": op8_bpe,
+    "op9_suffixes": op9_suffixes,
+    "op10_phrases": op10_phrases,
 }
 ORACLE_SQL: dict[str, str] = {}
