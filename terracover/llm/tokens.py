@@ -20,7 +20,6 @@ columns are not written.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 
 import numpy as np
@@ -28,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_table, materialize, new_path, ragged, read_table, shuffle_partitions
+from .common import U64, Chunk, chunks_of, doc_of, drop_table, materialize, new_path, prefix_hash, ragged, read_table, shuffle_partitions, stretch_hash
 
 END_ID = 2
-#: Distinct pieces of text whose ids a worker keeps between batches; at the limit it forgets them all.
-PIECE_MEMORY = 400_000
+#: Slots of a worker's piece table (16 bytes each); when half are taken it forgets them all.
+PIECE_SLOTS = 1 << 22
 SHARD_BYTES = 64 << 20
 
 
@@ -44,15 +43,72 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 
 # ---------------------------------------------------------------- encoding with the library
 
-_ODD = re.compile(r"\s \s|  |^ | $")
+class PieceTable:
+    """Ids of the pieces a worker has met, in an open-addressing numpy table keyed by 64 + 32 hash bits."""
+
+    def __init__(self, slots: int):
+        self.slots = slots
+        self.forget()
+
+    def forget(self) -> None:
+        self.key, self.check, self.index = np.zeros(self.slots, U64), np.zeros(self.slots, np.uint32), np.full(self.slots, -1, np.int32)
+        self.starts, self.lens, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(8192, np.uint32)
+        self.n = self.n_flat = 0
+
+    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The number of each piece, or -1."""
+        out = np.full(len(key), -1, np.int64)
+        todo, slot = np.arange(len(key)), (key & U64(self.slots - 1)).astype(np.int64)
+        while len(todo):
+            index = self.index[slot]
+            hit = (self.key[slot] == key[todo]) & (self.check[slot] == check[todo]) & (index >= 0)
+            out[todo[hit]] = index[hit]
+            go = ~hit & (index >= 0)
+            todo, slot = todo[go], (slot[go] + 1) & (self.slots - 1)
+        return out
+
+    def add(self, key: np.ndarray, check: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> None:
+        """Put in distinct new pieces; ids holds the ids of one after another."""
+        n, m = self.n + len(key), self.n_flat + len(ids)
+        if n > len(self.lens):
+            self.starts, self.lens = (np.concatenate((x, np.zeros(n + n // 2 - len(x), np.int64))) for x in (self.starts, self.lens))
+        if m > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros(m + m // 2 - len(self.flat), np.uint32)))
+        self.starts[self.n : n] = self.n_flat + np.cumsum(lens) - lens
+        self.lens[self.n : n] = lens
+        self.flat[self.n_flat : m] = ids
+        todo, slot = np.arange(len(key)), (key & U64(self.slots - 1)).astype(np.int64)
+        while len(todo):
+            first = np.zeros(len(todo), bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            put = first & (self.index[slot] < 0)
+            own, at = todo[put], slot[put]
+            self.key[at], self.check[at], self.index[at] = key[own], check[own], self.n + own
+            todo, slot = todo[~put], (slot[~put] + 1) & (self.slots - 1)
+        self.n, self.n_flat = n, m
+
+
+def _flags(values: bytes | range) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(values)] = True
+    return out
+
+
+_LETTER = _flags(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_MARK = _flags(b".,")
+_SOLID = _flags(range(0x21, 0x7F))
+#: What may not follow a space at a cut: white space, or a first byte that white space may begin with.
+_UNSURE = _flags([*range(0x21), 0xC2, 0xE1, 0xE2, 0xE3])
 
 
 class PieceEncoder:
-    """The tokenizers library, called once for each distinct space-delimited piece a worker meets.
+    """The tokenizers library, called once for each distinct piece of text that a worker meets.
 
-    The pre-tokenizer always cuts before a space that follows a non-space or precedes one, and no
-    merge reaches over its cuts; so a text may be split there and its pieces encoded on their own.
-    Texts with runs of spaces, with NUL or with the string of a special token go whole.
+    Texts are cut only where the vocabulary's pre-tokenizer always cuts: before a space that a non-space
+    follows, around a single newline between printable ASCII characters, and before a full stop or comma
+    between an ASCII letter and such a cut. No merge reaches over those cuts, so the ids of a text are
+    the ids of its pieces. Texts with other white space at a cut, or that may hold the string of a
+    special token, go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -60,62 +116,102 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, int] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.known.clear()
-        self.starts, self.lens, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(8192, np.uint32)
-        self.n_words = self.n_flat = 0
+        special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t for t in special if t]
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
+        self.table = PieceTable(PIECE_SLOTS)
 
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(texts)
-        pieces, counts, which = [], [], []
-        for k, text in enumerate(texts):
-            text = text or ""
-            if not text:
-                out[k] = np.zeros(0, np.uint32)
-            elif "\0" in text or _ODD.search(text) or any(s in text for s in self.special):
-                out[k] = np.array(self.library([text])[0], np.uint32)
-            else:
-                first, *rest = text.split(" ")
-                pieces.append("\0" + first)
-                pieces += rest
-                counts.append(1 + len(rest))
-                which.append(k)
-        if which:
-            if self.n_words > PIECE_MEMORY:
-                self.forget()
-            if new := [p for p in dict.fromkeys(pieces) if p not in self.known]:
-                self.remember(new)
-            at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-            lens = self.lens[at]
-            ids = self.flat[ragged(self.starts[at], lens)]
-            ends = np.concatenate(([0], np.cumsum(lens)))[np.concatenate(([0], np.cumsum(counts)))]
-            for k, a, b in zip(which, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                out[k] = ids[a:b]
-        return out
-
-    def remember(self, new: list[str]) -> None:
-        # "\0" marks a piece that starts a text, and so has no space before it
-        found = self.library([p[1:] if p[0] == "\0" else " " + p for p in new])
-        lens = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for f in found for i in f), np.uint32, int(lens.sum()))
-        n, m = self.n_words + len(new), self.n_flat + len(ids)
-        if n > len(self.lens):
-            self.starts, self.lens = (np.concatenate((x, np.zeros(2 * n - len(x), np.int64))) for x in (self.starts, self.lens))
-        if m > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros(2 * m - len(self.flat), np.uint32)))
-        self.starts[self.n_words : n] = self.n_flat + np.cumsum(lens) - lens
-        self.lens[self.n_words : n] = lens
-        self.flat[self.n_flat : m] = ids
-        self.known.update(zip(new, range(self.n_words, n), strict=True))
-        self.n_words, self.n_flat = n, m
+    def encode(self, c: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the documents of a chunk, one after another, and how many each has."""
+        buf, off = c.buf, c.off
+        size = np.diff(off) - 1
+        whole = np.zeros(c.n, bool)
+        space = np.flatnonzero(buf == 32)
+        unsure = space[_UNSURE[buf[space + 1]]]
+        whole[doc_of(unsure, off)] = True
+        whole[doc_of(off[:-1][(buf[off[:-1]] == 32) & (size > 0)], off)] = True
+        for t in self.special:
+            lead = np.flatnonzero(buf[:-1] == t[0])
+            whole[doc_of(lead[buf[lead + 1] == t[1]] if len(t) > 1 else lead, off)] = True
+        newline = np.flatnonzero(buf == 10)[:-1]
+        newline = newline[(newline > 0) & _SOLID[buf[newline - 1]] & _SOLID[buf[newline + 1]]]
+        newline = newline[~np.isin(newline, off[1:] - 1)]
+        cut = np.zeros(len(buf) + 1, bool)
+        cut[space], cut[newline], cut[off[1:] - 1] = True, True, True
+        mark = np.flatnonzero(_MARK[buf])
+        mark = mark[mark > 0]
+        mark = mark[_LETTER[buf[mark - 1]] & cut[mark + 1]]
+        begin = off[:-1][size > 0]
+        # kinds: 0 behind nothing, 1 behind a space, 2 starts a text
+        at = np.concatenate((begin, space + 1, newline, newline + 1, mark))
+        kind = np.concatenate((np.full(len(begin), 2), np.ones(len(space), np.int64), np.zeros(2 * len(newline) + len(mark), np.int64)))
+        order = np.argsort(at, kind="stable")
+        at, kind = at[order], kind[order]
+        doc = doc_of(at, off)
+        good = ~whole[doc] if len(at) else np.zeros(0, bool)
+        end = np.append(at[1:] - (kind[1:] == 1), 0)
+        end = np.minimum(np.where(np.append(doc[1:] != doc[:-1], True), off[doc + 1] - 1, end), off[doc + 1] - 1) if len(at) else at
+        at, kind, doc, end = at[good], (kind[good] == 1).astype(np.int64), doc[good], end[good]
+        which = self.numbers(buf, at, end, kind)
+        lens = self.table.lens[which]
+        ids = self.table.flat[ragged(self.table.starts[which], lens)]
+        counts = np.bincount(doc, weights=lens, minlength=c.n).astype(np.int64)
+        if whole.any():
+            odd = np.flatnonzero(whole)
+            found = self.library([buf[off[d] : off[d + 1] - 1].tobytes().decode() for d in odd])
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            for d, f in zip(odd.tolist(), found, strict=True):
+                parts[d] = np.array(f, np.uint32)
+                counts[d] = len(f)
+            ids = np.concatenate(parts)
+        return ids, counts
+
+    def numbers(self, buf: np.ndarray, at: np.ndarray, end: np.ndarray, spaced: np.ndarray) -> np.ndarray:
+        """Numbers in the table of the pieces buf[at:end]; unknown ones are learnt."""
+        if self.table.n > PIECE_SLOTS // 2:
+            self.table.forget()
+        key = stretch_hash(prefix_hash(buf), at, end) ^ (spaced.astype(U64) * U64(0x9FB21C651E98DF25))
+        size = end - at
+        head = np.append(buf, np.zeros(3, np.uint8)).astype(np.uint32)
+        check = head[at] | head[at + 1] << np.uint32(8) | head[at + 2] << np.uint32(16)
+        check &= np.array([0, 0xFF, 0xFFFF, 0xFFFFFF], np.uint32)[np.minimum(size, 3)]
+        check |= size.astype(np.uint32) << np.uint32(24)
+        which = self.table.find(key, check)
+        missing = np.flatnonzero(which < 0)
+        if len(missing):
+            _, first = np.unique(key[missing], return_index=True)
+            new = missing[first]
+            ids, lens = self.learn([buf[a:e].tobytes().decode() for a, e in zip(at[new].tolist(), end[new].tolist(), strict=True)], spaced[new].tolist())
+            self.table.add(key[new], check[new], ids, lens)
+            which[missing] = self.table.find(key[missing], check[missing])
+        return which
+
+    def learn(self, pieces: list[str], spaced: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces from the library: plain ones go in long lines, cut again by the bytes of their tokens."""
+        found: list = [None] * len(pieces)
+        lines: dict[int, list[int]] = {0: [], 1: []}
+        for k, (p, s) in enumerate(zip(pieces, spaced, strict=True)):
+            if p and "!" <= p[0] <= "~" and "!" <= p[-1] <= "~" and len(p.split()) == 1 or s and p.isalpha():
+                lines[s].append(k)
+        for s, own in lines.items():
+            for k in range(0, len(own), 2000):
+                part = own[k : k + 2000]
+                text = "".join(" " + pieces[i] for i in part) if s else "".join(pieces[i] + "\n" for i in part)[:-1]
+                ids = np.array(self.library([text])[0], np.uint32)
+                ends = np.cumsum(np.fromiter((len(pieces[i].encode()) + 1 for i in part), np.int64, len(part))) - (0 if s else 1)
+                to = (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1).tolist()
+                begin = 0
+                for i, e in zip(part, to, strict=True):
+                    found[i] = ids[begin:e]
+                    begin = e + (1 - s)  # the newline's id
+        rest = [k for k, f in enumerate(found) if f is None]
+        for k, f in zip(rest, self.library([(" " if spaced[k] else "") + pieces[k] for k in rest]), strict=True):
+            found[k] = np.array(f, np.uint32)
+        return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
 
 
 _loaded: dict[str, PieceEncoder] = {}
@@ -127,18 +223,6 @@ def encoder(path: str) -> PieceEncoder:
     return _loaded[path]
 
 
-def _parts(values: list, limit: int = 1_000_000):
-    part, size = [], 0
-    for v in values:
-        if part and size + len(v or "") > limit:
-            yield part
-            part, size = [], 0
-        part.append(v)
-        size += len(v or "") + 8
-    if part:
-        yield part
-
-
 def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """doc_id and the ids of each whole text with the end id, as little-endian 16- or 32-bit integers."""
     from tokenizers import Tokenizer
@@ -149,15 +233,17 @@ def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFr
     def run(batches):
         enc = encoder(path)
         for b in batches:
-            doc_ids, at = b.column(0), 0
-            for part in _parts(b.column(1).to_pylist()):
-                blobs = []
-                for ids in enc.encode(part):
-                    own = np.empty(len(ids) + 1, kind)
-                    own[:-1], own[-1] = ids, end_id
-                    blobs.append(own.tobytes())
-                yield pa.record_batch({"doc_id": doc_ids.slice(at, len(part)), "ids": pa.array(blobs, pa.binary())})
-                at += len(part)
+            for c in chunks_of(b.column(1), 1_000_000):
+                ids, counts = enc.encode(c)
+                out = np.full(len(ids) + c.n, end_id, kind)
+                ends = np.cumsum(counts + 1)
+                own = np.ones(len(out), bool)
+                own[ends - 1] = False
+                out[own] = ids
+                width = out.itemsize
+                offsets = pa.py_buffer(np.concatenate(([0], ends * width)).astype(np.int32))
+                blobs = pa.Array.from_buffers(pa.binary(), c.n, [None, offsets, pa.py_buffer(out)])
+                yield pa.record_batch({"doc_id": b.column(0).slice(int(c.rows[0]), c.n), "ids": blobs})
 
     out = docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, ids binary")
     return out.withMetadata("ids", {"width": 4 if wide else 2})
