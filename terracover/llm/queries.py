@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op8_bpe
 from .chat import op6_chat
+from .neardup import op3_minhash
 from .phrases import op10_phrases
 from .quality import op5_quality
 from .sharding import op4_sharding
@@ -12,6 +13,7 @@ from .tokens import op2_token_ids
 
 QUERIES = {
     "op2_token_ids": op2_token_ids,
+    "op3_minhash": op3_minhash,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
     "op6_chat": op6_chat,
