@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op8_bpe
 from .chat import op6_chat
+from .decontaminate import op1_decontaminate
 from .neardup import op3_minhash
 from .phrases import op10_phrases
 from .quality import op5_quality
@@ -12,6 +13,7 @@ from .suffixes import op9_suffixes
 from .tokens import op2_token_ids
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_token_ids": op2_token_ids,
     "op3_minhash": op3_minhash,
     "op4_sharding": op4_sharding,
