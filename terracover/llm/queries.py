@@ -7,6 +7,7 @@ from .chat import op6_chat
 from .decontaminate import op1_decontaminate
 from .neardup import op3_minhash
 from .phrases import op10_phrases
+from .pii import op7_pii
 from .quality import op5_quality
 from .sharding import op4_sharding
 from .suffixes import op9_suffixes
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
     "op6_chat": op6_chat,
+    "op7_pii": op7_pii,
     "op8_bpe": op8_bpe,
     "op9_suffixes": op9_suffixes,
     "op10_phrases": op10_phrases,
