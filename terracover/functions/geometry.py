@@ -61,7 +61,7 @@ def _parts(rings) -> dict[int, list[np.ndarray]]:
 
 
 def interior_point_of(rings) -> dict | None:
-    """The middle of the widest stretch inside, on the scan line half way between the vertex heights around mid-height."""
+    """The middle of the widest stretch inside, on the scan line nearest mid-height that lies half way between two vertex heights and meets the shape."""
     ends = [np.hstack((p, np.roll(p, -1, axis=0))) for own in _parts(rings).values() for p in own if len(p) > 2]
     if not ends:
         return None
@@ -69,14 +69,15 @@ def interior_point_of(rings) -> dict | None:
     levels = np.unique(e[:, 1])
     if len(levels) < 2:
         return None
-    middle = (levels[0] + levels[-1]) / 2
-    k = min(max(int(np.searchsorted(levels, middle)), 1), len(levels) - 1)
-    y = (levels[k - 1] + levels[k]) / 2
-    cut = e[(e[:, 1] > y) != (e[:, 3] > y)]
-    xs = np.sort(cut[:, 0] + (y - cut[:, 1]) * (cut[:, 2] - cut[:, 0]) / (cut[:, 3] - cut[:, 1]))
-    spans = xs.reshape(-1, 2)
-    best = spans[np.argmax(spans[:, 1] - spans[:, 0])]
-    return {"x": float(best.mean()), "y": float(y)}
+    between = (levels[:-1] + levels[1:]) / 2
+    for y in between[np.argsort(np.abs(between - (levels[0] + levels[-1]) / 2), kind="stable")]:
+        cut = e[(e[:, 1] > y) != (e[:, 3] > y)]
+        if len(cut):
+            xs = np.sort(cut[:, 0] + (y - cut[:, 1]) * (cut[:, 2] - cut[:, 0]) / (cut[:, 3] - cut[:, 1]))
+            spans = xs.reshape(-1, 2)
+            best = spans[np.argmax(spans[:, 1] - spans[:, 0])]
+            return {"x": float(best.mean()), "y": float(y)}
+    return None
 
 
 @F.pandas_udf(POINT)

@@ -19,7 +19,8 @@ def unit_edges(units: DataFrame, code: str = CODE) -> DataFrame:
     """Edges and box of every unit, one row a code (the rings of repeated codes together)."""
     rows = units.where(F.col("geometry.rings").isNotNull()).select(code, edges(F.col("geometry.rings")).alias("_edges"))
     rows = rows.groupBy(code).agg(F.flatten(F.collect_list("_edges")).alias("_edges"))  # the few rows of one code
-    return rows.withColumns({f"_{n}": f(F.transform("_edges", lambda e, c=c: e[c])) for n, f, c in (("x0", F.array_min, "x1"), ("x1", F.array_max, "x1"), ("y0", F.array_min, "y1"), ("y1", F.array_max, "y1"))})
+    xs, ys = F.transform("_edges", lambda e: e["x1"]), F.transform("_edges", lambda e: e["y1"])
+    return rows.withColumns({"_x0": F.array_min(xs), "_x1": F.array_max(xs), "_y0": F.array_min(ys), "_y1": F.array_max(ys)})
 
 
 def inside_own_unit(points: DataFrame, units: DataFrame, lat: str = "latitude", lon: str = "longitude", flag: str = "dentro", code: str = CODE) -> DataFrame:
