@@ -86,6 +86,11 @@ def interior_point(rings: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({k: [p[k] if p else None for p in points] for k in ("x", "y")}, columns=["x", "y"])
 
 
+def turn(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Cross products of plane vectors."""
+    return u[..., 0] * v[..., 1] - u[..., 1] * v[..., 0]
+
+
 def crosses_itself(rings) -> bool:
     """Whether two edges of a ring cross in their interiors."""
     for own in _parts(rings).values():
@@ -94,8 +99,8 @@ def crosses_itself(rings) -> bool:
             d = b - a
             for i in range(len(p)):
                 r = np.delete(np.arange(len(p)), [i, (i + 1) % len(p), (i - 1) % len(p)])
-                s = np.cross(d[i], a[r] - a[i]) * np.cross(d[i], b[r] - a[i])
-                t = np.cross(d[r], a[i] - a[r]) * np.cross(d[r], b[i] - a[r])
+                s = turn(d[i], a[r] - a[i]) * turn(d[i], b[r] - a[i])
+                t = turn(d[r], a[i] - a[r]) * turn(d[r], b[i] - a[r])
                 if ((s < 0) & (t < 0)).any():
                     return True
     return False

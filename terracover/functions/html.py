@@ -67,12 +67,12 @@ def inline(pages: DataFrame, resources: DataFrame, key: str = "page_id", html: s
     tag = f"(?:{SCRIPT})|(?:{STYLESHEET})"
     between = F.split(F.col(html), tag, -1)
     tags = F.regexp_extract_all(F.col(html), F.lit(tag), 0)
-    parts = pages.select(key, F.posexplode(F.arrays_zip(between.alias("text"), tags.alias("tag"))).alias("pos", "p")).select(key, "pos", "p.text", "p.tag")
+    parts = pages.select(key, F.posexplode_outer(F.arrays_zip(between.alias("text"), tags.alias("tag"))).alias("pos", "p")).select(key, "pos", "p.text", "p.tag")
     url = F.coalesce(F.nullif(F.regexp_extract("tag", SCRIPT, 1), F.lit("")), F.nullif(F.regexp_extract("tag", STYLESHEET, 1), F.lit("")))
     met = parts.withColumn("url", url).join(resources.select("url", "body"), "url", "left")
     script = F.col("tag").rlike("(?i)^<script")
-    body = F.when(script, F.concat(F.lit("<script>"), F.regexp_replace("body", "(?i)</(script)", r"<\\\\/$1"), F.lit("</script>"))).otherwise(F.concat(F.lit("<style>"), F.regexp_replace("body", "(?i)</(style)", r"<\\\\/$1"), F.lit("</style>")))
+    body = F.when(script, F.concat(F.lit("<script>"), F.regexp_replace("body", "(?i)</(script)", r"<\\/$1"), F.lit("</script>"))).otherwise(F.concat(F.lit("<style>"), F.regexp_replace("body", "(?i)</(style)", r"<\\/$1"), F.lit("</style>")))
     done = F.col("body").isNotNull()
-    met = met.withColumn("out", F.concat(F.col("text"), F.when(done, body).otherwise(F.coalesce("tag", F.lit("")))))
+    met = met.withColumn("out", F.concat(F.coalesce("text", F.lit("")), F.when(done, body).otherwise(F.coalesce("tag", F.lit("")))))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "out"))), lambda x: x["out"]), "")  # the parts of one page
     return met.groupBy(key).agg(joined.alias(html), F.count_if(done & script).alias("scripts"), F.count_if(done & ~script).alias("stylesheets"))

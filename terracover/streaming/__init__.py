@@ -1 +1 @@
-
+"""Empty: the pipeline has no streaming operator."""
