@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import U64, Chunk, chunks_of, doc_of, key_filter, lower_ascii, materialize, maybe_in, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
-from .phrases import LEAST_ID, identified
+from .phrases import identified, keyed_rows
 
 WINDOW = 10
 MIN_TOKENS = 5
@@ -181,10 +181,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows that hold a benchmark item."""
-    bad = contaminated(docs, benchmark).select(F.col("did").alias("_did"), F.col("th").alias("_th")).distinct()
-    own = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumn("_did", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID))).withColumn("_th", F.xxhash64(own))
-    return rows.join(bad, ["_did", "_th"], "left_anti").select(*docs.columns)
+    bad = contaminated(docs, benchmark).select("did", "th").distinct()
+    return keyed_rows(docs).join(bad, ["did", "th"], "left_anti").select("row.*")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,6 +89,12 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("did"), F.xxhash64(own).alias("th"), own.alias("text"))
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """row (a struct of all columns, so that no name can clash), did and th."""
+    own = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("did"), F.xxhash64(own).alias("th"))
+
+
 def scan_words(rows: DataFrame) -> DataFrame:
     """doc_id, did, th, n, sha and the distinct winnowed phrases of every text."""
 

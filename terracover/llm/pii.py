@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, read_table
-from .phrases import LEAST_ID, identified
+from .phrases import identified, keyed_rows
 
 KINDS = ("email", "ip", "card", "phone", "id")
 MIN_SUPPORT = 5
@@ -139,18 +139,18 @@ def span_text(spans: str) -> Column:
 
 def redact(docs: DataFrame) -> DataFrame:
     """docs with every span of personal data replaced by its kind in brackets; the columns of docs stay."""
-    spans = all_spans(docs).where("size(spans) > 0").select(F.col("did").alias("_did"), F.col("th").alias("_th"), "spans").dropDuplicates(["_did", "_th"]).withColumnRenamed("spans", "_spans")
-    own = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumn("_did", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID))).withColumn("_th", F.xxhash64(own)).join(spans, ["_did", "_th"], "left")
+    spans = all_spans(docs).where("size(spans) > 0").select("did", "th", "spans").dropDuplicates(["did", "th"])
+    rows = keyed_rows(docs).join(spans, ["did", "th"], "left")
     names = "array(" + ", ".join(f"'[{k.upper()}]'" for k in KINDS) + ")"
-    masked = f"""aggregate(_spans, named_struct('at', 0, 'out', cast(array() as array<string>)),
+    masked = f"""aggregate(spans, named_struct('at', 0, 'out', cast(array() as array<string>)),
         (acc, x) -> named_struct('at', greatest(acc.at, x.e),
-            'out', IF(x.s >= acc.at, concat(acc.out, array(substring(text, acc.at + 1, x.s - acc.at), element_at({names}, x.k + 1))), acc.out)),
-        acc -> concat(array_join(acc.out, ''), substring(text, acc.at + 1)))"""
-    rows = rows.withColumn("text", F.when(F.col("_spans").isNotNull(), F.expr(masked)).otherwise(F.col("text")))
+            'out', IF(x.s >= acc.at, concat(acc.out, array(substring(row.text, acc.at + 1, x.s - acc.at), element_at({names}, x.k + 1))), acc.out)),
+        acc -> concat(array_join(acc.out, ''), substring(row.text, acc.at + 1)))"""
+    rows = rows.withColumn("masked", F.when(F.col("spans").isNotNull(), F.expr(masked)).otherwise(F.col("row.text")))
+    out = {"text": F.col("masked").alias("text")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        out["n_chars"] = F.when(F.col("spans").isNotNull(), F.length("masked")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return rows.select(*(out.get(c, F.col(f"row.`{c}`")) for c in docs.columns))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

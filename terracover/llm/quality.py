@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, U64, Chunk, chunks_of, doc_of, materialize, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
 
+from .phrases import LEAST_ID, keyed_rows
+
 FALSE_REJECTION = 0.02
 CONFIDENCE_LOSS = 0.05
 MIN_WORDS = 50
@@ -172,10 +174,9 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the rules keep, with the columns of docs."""
-    verdicts = quality_verdicts(docs, labels)
-    rejected = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_doc_id")).distinct()
-    return docs.join(rejected, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")), "left_anti")
+    """The rows of docs that the rules keep, with the columns of docs; rows of one doc_id share a rejection."""
+    rejected = quality_verdicts(docs, labels).where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(LEAST_ID)).alias("did")).distinct()
+    return keyed_rows(docs).join(rejected, "did", "left_anti").select("row.*")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

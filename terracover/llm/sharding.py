@@ -137,12 +137,16 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS, range_rows: int = RANGE_ROW
 
 
 def write_shards(docs: DataFrame, assigned: DataFrame, path: str, n_shards: int = N_SHARDS) -> None:
-    """Write docs to shard=<k> folders, in slot order inside each file, several files a shard."""
-    rows = docs.join(assigned.select("doc_id", "shard", "slot"), "doc_id")
+    """Write docs to shard=<k> folders, in slot order inside each file, several files a shard.
+
+    doc_id names a row here; a column of docs called shard is replaced.
+    """
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "shard")).alias("row")
+    rows = docs.select(F.col("doc_id").alias("id"), own).join(assigned.select(F.col("doc_id").alias("id"), "shard", "slot"), "id")
     files = max(1, shuffle_partitions(docs.sparkSession) // n_shards)
-    per = assigned.groupBy("shard").agg((F.max("slot") + 1).alias("n"))
-    rows = rows.join(F.broadcast(per), "shard").withColumn("_file", F.floor(F.col("slot") * files / F.col("n"))).drop("n")
-    rows.repartition(n_shards * files, "shard", "_file").sortWithinPartitions("shard", "slot").drop("_file").write.partitionBy("shard").parquet(path)
+    per = assigned.groupBy("shard").agg((F.max("slot") + 1).alias("rows"))  # one row a shard
+    rows = rows.join(F.broadcast(per), "shard").withColumn("file", F.floor(F.col("slot") * files / F.col("rows")))
+    rows.repartition(n_shards * files, "shard", "file").sortWithinPartitions("shard", "slot").select("row.*", "shard").write.partitionBy("shard").parquet(path)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
