@@ -11,10 +11,11 @@ have a Jaccard similarity of at least THRESHOLD percent are linked; components o
   3. every bucket pairs its members with one pivot only. Pairs are verified on their signatures (a pair
      at the threshold fails with a chance below 1e-6) and then on the full sets of both whole texts;
   4. links become components by alternating large-star and small-star;
-  5. buckets that still hold several components draw further pivots from their largest component, and
-     what then remains is compared block against block: members of different components only, by
-     signatures inside a task, each pair put out by the first band it shares. No link is lost to the
-     pivots, no list of all pairs is made, and blocks of at most about BLOCK members bound every task.
+  5. buckets that still hold several components are compared block against block: the members outside
+     the bucket's largest component with all members of other components. A task tests a pair of blocks
+     on signatures and then on 32-bit set hashes, each pair in the first band it shares only, and puts
+     out the links; those are verified on the full texts like the others. No link is lost to the pivots,
+     no list of all pairs leaves a task, and blocks of about BLOCK members bound every task.
 
 Defined results: null or empty text has an empty set, is its own component and linked with nothing; a
 null doc_id never names a component (component_id is null if all ids of it are); rows with one doc_id
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import U64, Chunk, chunks_of, doc_of, drop_table, lower_ascii, materialize, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
-from .phrases import LEAST_ID, holders, identified
+from .phrases import holders, identified, keyed_rows
 
 SHINGLE = 5
 THRESHOLD = 80
@@ -38,8 +39,7 @@ BANDS = 32
 ROWS = N_HASH // BANDS
 #: Least number of equal minima of a pair that is looked at further: the mean at the threshold less 5.5 deviations.
 LEAST_EQUAL = 77
-BLOCK = 256
-PIVOT_ROUNDS = 4
+BLOCK = 128
 CHUNK = 500_000
 
 _rng = np.random.Generator(np.random.PCG64(77001))
@@ -103,7 +103,7 @@ def scan_sets(rows: DataFrame, width: int) -> DataFrame:
 
 
 def band_rows(nodes: DataFrame) -> DataFrame:
-    """(bucket, node): one row a band."""
+    """(bucket, band, node): one row a band."""
 
     def run(batches):
         for b in batches:
@@ -113,9 +113,10 @@ def band_rows(nodes: DataFrame) -> DataFrame:
             key = np.broadcast_to(np.arange(BANDS, dtype=U64) * U64(0x9E3779B97F4A7C15), sig.shape[:2])
             for k in range(ROWS):
                 key = mix(key ^ sig[:, :, k])
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), BANDS)))], ["bucket", "node"])
+            band = np.tile(np.arange(BANDS, dtype=np.int32), b.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(band), b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), BANDS)))], ["bucket", "band", "node"])
 
-    return nodes.select("node", "sig").mapInArrow(run, "bucket long, node long")
+    return nodes.select("node", "sig").mapInArrow(run, "bucket long, band int, node long")
 
 
 def _signature_rows(column: pa.Array) -> np.ndarray:
@@ -209,54 +210,93 @@ def merge_links(labels: DataFrame, links: DataFrame) -> DataFrame:
     return components(edges.union(labels.toDF("u", "v")))
 
 
-def block_pairs(members: DataFrame) -> DataFrame:
-    """Distinct pairs of different components of a bucket whose signatures pass.
+def compact_sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, n, sig8, set32): set size, low bytes of the minima, and sorted 32-bit shingle hashes."""
 
-    members: bucket, node, comp, sig, size (of the bucket).
+    def run(batches):
+        for b in batches:
+            for c in chunks_of(b.column(1), CHUNK):
+                h, d = shingle_sets(c, width)
+                n = np.bincount(d, minlength=c.n)
+                low = (h & U64(0xFFFFFFFF)).astype(np.uint32)
+                low = low[np.lexsort((low, d))]
+                ends = np.cumsum(n).tolist()
+                sets = [low[e - k : e].tobytes() for e, k in zip(ends, n.tolist(), strict=True)]
+                a = int(c.rows[0])
+                sig = (_signature_rows(b.column(2).slice(a, c.n)) & 0xFF).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, c.n), pa.array(n, pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(sets, pa.binary())], ["node", "n", "sig8", "set32"])
+
+    return texts.join(nodes.select("node", "sig"), "node").select("node", "text", "sig").mapInArrow(run, "node long, n long, sig8 binary, set32 binary")
+
+
+def block_links(opened: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): likely links between different components of a bucket.
+
+    opened: bucket, band, node, comp, main (the bucket's largest component), m (members), most (in main).
     """
-    rows = members.withColumn("n_blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
-    blocks = rows.groupBy("bucket", "block").agg(F.collect_list(F.struct("node", "comp", "sig")).alias("own"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    other = blocks.select("bucket", F.col("block").alias("block_b"), F.col("own").alias("own_b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"))
-    joined = blocks.join(other, "bucket").where("block <= block_b and (lo <> hi or lo_b <> hi_b or lo <> lo_b)")
+    rows = opened.join(sets, "node").withColumn("res", F.col("comp") != F.col("main"))
+    count = F.when(F.col("res"), F.col("m") - F.col("most")).otherwise(F.col("most"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(count / BLOCK)).cast("int"))
+    blocks = rows.groupBy("bucket", "res", "block").agg(F.collect_list(F.struct("node", "comp", "n", "sig8", "set32")).alias("own"))
+    blocks = materialize(blocks, "minhash-blocks")
+    left = opened.select("bucket", "band", F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int").alias("nr"), F.ceil(F.col("most") / BLOCK).cast("int").alias("nm")).distinct()
+    left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
+    inner = left.select("bucket", "band", "block", F.lit(True).alias("res_b"), F.explode(F.sequence("block", F.col("nr") - 1)).alias("block_b"))
+    outer = left.select("bucket", "band", "block", F.lit(False).alias("res_b"), F.explode(F.sequence(F.lit(0), F.col("nm") - 1)).alias("block_b"))
+    pairs = inner.union(outer)
+    pairs = pairs.join(blocks.where("res").drop("res"), ["bucket", "block"])
+    other = blocks.select("bucket", F.col("res").alias("res_b"), F.col("block").alias("block_b"), F.col("own").alias("own_b"))
+    pairs = pairs.join(other, ["bucket", "res_b", "block_b"])
 
     def run(batches):
         for b in batches:
             for r in range(b.num_rows):
-                own, other = b.column(2)[r].values, b.column(3)[r].values
-                node_a, comp_a = (own.field(k).to_numpy() for k in (0, 1))
-                node_b, comp_b = (other.field(k).to_numpy() for k in (0, 1))
-                sig_a, sig_b = _signature_rows(own.field(2)), _signature_rows(other.field(2))
-                bucket = np.array([b.column(0)[r].as_py()], np.int64).view(U64)[0]
-                at = _first_bands(sig_a, bucket)
-                out_a, out_b = [], []
-                for k in range(len(node_a)):
-                    go = np.flatnonzero((comp_b != comp_a[k]) & (node_b != node_a[k]))
-                    if b.column(1)[r].as_py():
-                        go = go[node_b[go] > node_a[k]]
-                    if not len(go):
-                        continue
-                    same = sig_b[go] == sig_a[k]
-                    go, same = go[ok := same.sum(axis=1) >= LEAST_EQUAL], same[ok]
-                    if len(go):
-                        band = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
-                        go = go[band == at[k]]
-                    out_a.append(np.full(len(go), node_a[k]))
-                    out_b.append(node_b[go])
-                if out_a:
-                    a, o = np.concatenate(out_a), np.concatenate(out_b)
+                a, o = _pair_blocks(b.column(2)[r].values, b.column(3)[r].values, b.column(0)[r].as_py(), b.column(1)[r].as_py(), threshold)
+                if len(a):
                     yield pa.record_batch({"a": pa.array(np.minimum(a, o)), "b": pa.array(np.maximum(a, o))})
 
-    return joined.select("bucket", (F.col("block") == F.col("block_b")).alias("same"), "own", "own_b").mapInArrow(run, "a long, b long").distinct()
-
-
-def _first_bands(sig: np.ndarray, bucket: np.uint64) -> np.ndarray:
-    """Which band of each signature the bucket's key belongs to."""
-    own = sig.astype(U64).reshape(-1, BANDS, ROWS)
-    key = np.broadcast_to(np.arange(BANDS, dtype=U64) * U64(0x9E3779B97F4A7C15), own.shape[:2])
-    for k in range(ROWS):
-        key = mix(key ^ own[:, :, k])
-    return (key == bucket).argmax(axis=1)
+    return pairs.select("band", (F.col("res_b") & (F.col("block") == F.col("block_b"))).alias("same"), "own", "own_b").mapInArrow(run, "a long, b long").distinct()
+
+
+def _pair_blocks(own: pa.StructArray, other: pa.StructArray, band: int, same_block: bool, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between two blocks of a bucket; of several between two components, one that is clear is enough."""
+    node, comp, n = (own.field(k).to_numpy() for k in range(3))
+    node_o, comp_o, n_o = (other.field(k).to_numpy() for k in range(3))
+    sig, sig_o = (np.frombuffer(b"".join(x.field(3).to_pylist()), np.uint8).reshape(-1, N_HASH) for x in (own, other))
+    sets = [np.frombuffer(x, np.uint32) for x in own.field(4).to_pylist()]
+    sets_o = [np.frombuffer(x, np.uint32) for x in other.field(4).to_pylist()]
+    clear: set[tuple[int, int]] = set()
+    out_a, out_b = [], []
+    for k in range(len(node)):
+        go = (comp_o != comp[k]) & (100 * np.minimum(n_o, n[k]) >= threshold * np.maximum(n_o, n[k]))
+        if same_block:
+            go &= node_o > node[k]
+        go = np.flatnonzero(go)
+        if not len(go):
+            continue
+        same = sig_o[go] == sig[k]
+        ok = same.sum(axis=1) >= LEAST_EQUAL
+        go, same = go[ok], same[ok]
+        if len(go):
+            go = go[same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band]
+        go = [g for g in go.tolist() if (int(comp[k]), int(comp_o[g])) not in clear]
+        if not go:
+            continue
+        every = np.concatenate([sets_o[g] for g in go])
+        at = np.minimum(np.searchsorted(sets[k], every), len(sets[k]) - 1)
+        first = np.cumsum([0] + [len(sets_o[g]) for g in go[:-1]])
+        common = np.add.reduceat(sets[k][at] == every, first, dtype=np.int64)
+        union = n[k] + n_o[go] - common
+        hit = 100 * common >= threshold * union
+        sure = 100 * (common - 2) >= threshold * (union + 2)
+        for g, h, c in zip(go, hit.tolist(), sure.tolist(), strict=True):
+            key = (int(comp[k]), int(comp_o[g]))
+            if h and key not in clear:
+                out_a.append(node[k])
+                out_b.append(node_o[g])
+                if c:
+                    clear.add(key)
+    return np.array(out_a, np.int64), np.array(out_b, np.int64)
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -266,7 +306,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRE
     nodes = scanned.where("node is not null").groupBy("node").agg(F.min(F.struct("did", "th")).alias("rep"), F.first("sig").alias("sig")).select("node", "rep.did", "rep.th", "sig")
     nodes = materialize(nodes, "minhash-nodes")
     bands = band_rows(nodes)
-    buckets = bands.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
+    buckets = bands.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("pivot < _last").drop("_last")
     members = materialize(bands.join(buckets, "bucket"), "minhash-members")
     met = members.select("node").distinct().join(nodes, "node")
     met = materialize(met, "minhash-met")
@@ -278,23 +318,13 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRE
     first = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     labels = components(verified(first).toDF("u", "v"))
     members = members.drop("pivot")
-    for k in range(PIVOT_ROUNDS + 1):
-        placed = with_component(members, labels)
-        sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
-        main = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("m"), F.max("k").alias("most")).where("m > most")
-        main = materialize(main, "minhash-open")
-        work, left, n = main.agg(F.coalesce(F.sum(F.expr("(m - most) * m")), F.lit(0)), F.coalesce(F.sum(F.expr("m - most")), F.lit(0)), F.count("*")).first()
-        if not n:
-            break
-        opened = placed.join(main.select("bucket", "main"), "bucket")
-        if k == PIVOT_ROUNDS or work <= 8 * left:
-            pairs = block_pairs(opened.join(met.select("node", "sig"), "node"))
-            labels = merge_links(labels, materialize(linked_pairs(pairs, texts, width, threshold), "minhash-links"))
-            break
-        pivots = opened.where("comp = main").groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", F.lit(k))).alias("a"))
-        pairs = opened.where("comp <> main").join(pivots, "bucket").select("a", F.col("node").alias("b")).distinct()
-        links = verified(pairs)
-        labels = merge_links(labels, links)
+    placed = with_component(members, labels)
+    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
+    main = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("m"), F.max("k").alias("most")).where("m > most")
+    opened = materialize(placed.join(main, "bucket"), "minhash-open")
+    sets = compact_sets(texts.join(opened.select("node").distinct(), "node", "left_semi"), met, width)
+    pairs = materialize(block_links(opened, sets, threshold), "minhash-pairs")
+    labels = merge_links(labels, materialize(linked_pairs(pairs, texts, width, threshold), "minhash-links"))
     slim = scanned.select("doc_id", "did", "th", "n", "node")
     placed = slim.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     firsts = placed.where("comp is not null").groupBy("comp").agg(F.min(F.struct("did", "th")).alias("first"), F.min("doc_id").alias("least"))
@@ -303,10 +333,8 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRE
 
 def keep_one(docs: DataFrame, width: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """docs without all but one document of each component (the one of the least doc_id), once each."""
-    first = near_duplicates(docs, width, threshold).where("did = comp_did and th = comp_th").select(F.col("did").alias("_did"), F.col("th").alias("_th")).distinct()
-    own = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumn("_did", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID))).withColumn("_th", F.xxhash64(own))
-    return rows.join(first, ["_did", "_th"], "left_semi").dropDuplicates(["_did", "_th"]).select(*docs.columns)
+    first = near_duplicates(docs, width, threshold).where("did = comp_did and th = comp_th").select("did", "th").distinct()
+    return keyed_rows(docs).join(first, ["did", "th"], "left_semi").dropDuplicates(["did", "th"]).select("row.*")
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
