@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import sql
 from .bpe import op8_bpe
 from .chat import op6_chat
 from .decontaminate import op1_decontaminate
@@ -25,4 +26,9 @@ QUERIES = {
     "op9_suffixes": op9_suffixes,
     "op10_phrases": op10_phrases,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op3_minhash": sql.NEAR_DUPLICATES,
+    "op6_chat": sql.CHAT,
+    "op9_suffixes": sql.SUFFIXES,
+    "op10_phrases": sql.PHRASES,
+}
