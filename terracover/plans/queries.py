@@ -6,7 +6,7 @@ two registers, market segments are brands, orders and line items give addresses
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -337,14 +337,17 @@ def closed_map(spark, sf):
 ADDRESSES = ["R.GAL.SAMPAIO,{n}", "AV XV DE NOVEMBRO, {n}", "ROD.SC-401,KM {n}", "Praça da Sé", "RUA X,0"]
 
 
-def _address(n: str, k: str) -> tuple:
-    parts = [a.split("{n}") for a in ADDRESSES]
-    spark = F.element_at(F.array(*(F.concat(F.lit(p[0]), F.col(n).cast("string"), F.lit(p[1])) if len(p) > 1 else F.lit(p[0]) for p in parts)), (F.col(k) % len(ADDRESSES) + 1).cast("int"))
-    sql = "CASE " + k + f" % {len(ADDRESSES)} " + " ".join(f"WHEN {j} THEN '{p[0]}'" + (f" || {n} || '{p[1]}'" if len(p) > 1 else "") for j, p in enumerate(parts)) + " END"
-    return spark, sql
+def _address() -> Column:
+    """An address by p_partkey, with p_size in it."""
 
+    def filled(a: str) -> Column:
+        head, *tail = a.split("{n}")
+        return F.concat(F.lit(head), F.col("p_size").cast("string"), F.lit(tail[0])) if tail else F.lit(a)
 
-_ADDRESS, _ADDRESS_SQL = _address("p_size", "p_partkey")
+    return F.element_at(F.array(*map(filled, ADDRESSES)), (F.col("p_partkey") % len(ADDRESSES) + 1).cast("int"))
+
+
+_ADDRESS_SQL = "CASE " + f"p_partkey % {len(ADDRESSES)} " + " ".join(f"WHEN {k} THEN " + "'" + a.replace("{n}", "' || p_size || '") + "'" for k, a in enumerate(ADDRESSES)) + " END"
 _KEYS = ["GENERAL SAMPAIO", "QUINZE NOVEMBRO", "SC 401", "SE", "X"]
 
 
@@ -355,7 +358,7 @@ FROM (SELECT p_partkey, p_size::BIGINT p_size, {_ADDRESS_SQL} a, CASE WHEN p_par
 def address_keys(spark, sf):
     """E7, E8, E10, F7, F8."""
     cep = F.when(F.col("p_partkey") % 3 == 0, X.zero_fill((F.col("p_partkey") * 1000).cast("string"), 8)).when(F.col("p_partkey") % 3 == 1, F.lit("90010-901")).otherwise("")
-    rows = table(spark, sf, "part").withColumns({"endereco": _ADDRESS, "cep": cep, "numero": F.when(F.col("p_partkey") % 7 == 0, F.col("p_size").cast("string")).otherwise("")})
+    rows = table(spark, sf, "part").withColumns({"endereco": _address(), "cep": cep, "numero": F.when(F.col("p_partkey") % 7 == 0, F.col("p_size").cast("string")).otherwise("")})
     return G.address_keys(rows).select("p_partkey", *G.WORK_COLUMNS)
 
 

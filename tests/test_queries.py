@@ -40,3 +40,12 @@ def test_query_equals_sql(spark, db, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0 and set(registry.QUERIES) <= set(entry.queries())
+
+
+def test_import_needs_no_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    assert subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parent.parent, capture_output=True).returncode == 0
