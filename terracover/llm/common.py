@@ -219,20 +219,32 @@ def key_filter(keys: DataFrame, column: str, expected: int) -> np.ndarray:
     Size: a power of two near 16 bits a key, at most FILTER_BITS, so what is broadcast is bounded.
     """
     bits = 1 << min(FILTER_BITS.bit_length() - 1, max(16, int(16 * max(1, expected) - 1).bit_length()))
-    parts = min(32, max(1, expected // 200_000 + 1))
+    parts = min(256, max(1, expected // 200_000 + 1))
+    page = 4096
 
     def build(batches):
         have = np.zeros(bits // 8, np.uint8)
         for b in batches:
             at = filter_slot(b.column(0).to_numpy(zero_copy_only=False).view(U64), bits)
             np.bitwise_or.at(have, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        used = np.flatnonzero(have)
-        yield pa.record_batch({"at": pa.array(used.astype(np.int32)), "v": pa.array(have[used].astype(np.int16))})
+        pages = have.reshape(-1, page)
+        used = np.flatnonzero(pages.any(axis=1))
+        yield pa.record_batch({"page": pa.array(used.astype(np.int32)), "blob": pa.array([pages[k].tobytes() for k in used], pa.binary())})
 
-    out = np.zeros(bits // 8, np.uint8)
-    rows = keys.select(column).coalesce(parts).mapInArrow(build, "at int, v short").toArrow()
-    np.bitwise_or.at(out, rows["at"].to_numpy(), rows["v"].to_numpy().astype(np.uint8))
-    return out
+    def merge(batches):
+        pages: dict[int, np.ndarray] = {}  # at most those of the filter
+        for b in batches:
+            for k, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(blob, np.uint8)
+                pages[k] = pages[k] | own if k in pages else own
+        yield pa.record_batch({"page": pa.array(list(pages), pa.int32()), "blob": pa.array([p.tobytes() for p in pages.values()], pa.binary())})
+
+    out = np.zeros((bits // 8 // page, page), np.uint8)
+    built = keys.select(column).coalesce(parts).mapInArrow(build, "page int, blob binary")
+    rows = built.repartition(min(parts, 16), "page").mapInArrow(merge, "page int, blob binary").toArrow()
+    for k, blob in zip(rows["page"].to_pylist(), rows["blob"].to_pylist(), strict=True):
+        out[k] |= np.frombuffer(blob, np.uint8)
+    return out.ravel()
 
 
 def filter_slot(keys: np.ndarray, bits: int) -> np.ndarray:
