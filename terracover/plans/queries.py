@@ -19,6 +19,10 @@ from ..operators import checks as C
 from ..operators import encode as E
 from ..operators import geocode as G
 from ..operators import spatial as P
+from ..operators.standardize import client_properties as properties
+from ..operators.standardize import enrich_units as enrich
+from ..operators.standardize import key_minus
+from ..operators.standardize import unit_dimensions as dimensions
 from .registry import query
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -278,8 +282,6 @@ def excess_unmatched(spark, sf):
 @query("set_difference", "SELECT DISTINCT c_nationkey AS unit FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)")
 def set_difference(spark, sf):
     """U4."""
-    from ..operators.standardize import key_minus
-
     return key_minus(table(spark, sf, "customer").select(F.col("c_nationkey").alias("unit")), table(spark, sf, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("unit")), "unit")
 
 
@@ -445,6 +447,48 @@ def html_language(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(declare_language(F.col("html")).cast("binary")).alias("digest"))
 
 
+# ---------------------------------------------------------------- units and addresses
+
+
+@query("enrich_units", "SELECT CAST(n_nationkey AS VARCHAR) municipio_ibge, CASE WHEN n_nationkey % 2 = 0 THEN n_name END municipio_nome, CASE WHEN n_nationkey % 3 = 0 THEN CAST(n_nationkey * 10 AS BIGINT) END populacao, CASE WHEN n_nationkey % 3 = 0 THEN '2025' END populacao_ano FROM nation")
+def enrich_units(spark, sf):
+    """Names and population that some units lack."""
+    rows = table(spark, sf, "nation").withColumn("municipio_ibge", F.col("n_nationkey").cast("string"))
+    names = rows.where("n_nationkey % 2 = 0").select("municipio_ibge", F.col("n_name").alias("municipio_nome"))
+    people = rows.where("n_nationkey % 3 = 0").select("municipio_ibge", (F.col("n_nationkey") * 10).cast("long").alias("populacao"), F.lit("2025").alias("populacao_ano"))
+    return enrich(rows.select("municipio_ibge"), names, people)
+
+
+@query("client_properties", "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_custkey END populacao, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_custkey END populacao_valor, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE '2025' END populacao_ano, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END outras_coops_detalhe FROM customer")
+def client_properties(spark, sf):
+    """P7."""
+    k = F.col("c_custkey")
+    rows = table(spark, sf, "customer").select("c_custkey", F.when(k % 4 != 0, k).alias("populacao"), F.when(k % 3 == 0, F.lit("  ")).otherwise("2025").alias("populacao_ano"), F.when(k % 5 != 0, F.col("c_name")).alias("outras_coops_detalhe"))
+    return properties(rows)
+
+
+_STATE_CODES = [11, 12, 13, 43, 99]
+
+
+@query("unit_dimensions", "SELECT municipio_ibge, uf, CASE WHEN uf = 'RS' THEN 'Sul' WHEN uf IS NOT NULL THEN 'Norte' END regiao FROM (SELECT CAST(c * 100000 + n_nationkey AS VARCHAR) municipio_ibge, CASE c WHEN 11 THEN 'RO' WHEN 12 THEN 'AC' WHEN 13 THEN 'AM' WHEN 43 THEN 'RS' END uf FROM (SELECT n_nationkey, [11, 12, 13, 43, 99][n_nationkey % 5 + 1] c FROM nation))")
+def unit_dimensions(spark, sf):
+    """State and region from the code's prefix, null where it is unknown."""
+    code = F.element_at(F.array(*map(F.lit, _STATE_CODES)), (F.col("n_nationkey") % 5 + 1).cast("int")) * 100000 + F.col("n_nationkey")
+    return dimensions(table(spark, sf, "nation").select(code.cast("string").alias("CD_MUN")))
+
+
+@query("reference_addresses", "SELECT event_id % 7 || '' mun, CAST(event_id AS VARCHAR) cep, 'GENERAL ' || upper(event_type) logr, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id AS DOUBLE) END num, CAST(CAST(value AS FLOAT) AS DOUBLE) lat, CAST(CAST(value / 2 AS FLOAT) AS DOUBLE) lon FROM events WHERE event_id % 5 <> 0 AND value IS NOT NULL")
+def reference_addresses(spark, sf):
+    """Keys from three name columns, lenient numbers, rows without a coordinate dropped."""
+    k = F.col("event_id")
+    raw = table(spark, sf, "events").where("value IS NOT NULL").select(
+        (k % 7).cast("string").alias("COD_MUNICIPIO"), F.concat(k.cast("string"), F.lit("-")).alias("CEP"), F.lit("RUA").alias("NOM_TIPO_SEGLOGR"), F.lit("Gal.").alias("NOM_TITULO_SEGLOGR"),
+        F.col("event_type").alias("NOM_SEGLOGR"), F.when(k % 3 == 0, F.lit("SN")).otherwise(k.cast("string")).alias("NUM_ENDERECO"),
+        F.when(k % 5 == 0, F.lit("x")).otherwise(F.col("value").cast("string")).alias("LATITUDE"), (F.col("value") / 2).cast("string").alias("LONGITUDE"),
+    )
+    return _as_double(G.reference_addresses(raw))
+
+
 # ---------------------------------------------------------------- lookups and geometry
 
 

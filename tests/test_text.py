@@ -76,3 +76,11 @@ def test_html(spark):
     row = one.select("html", "scripts", "stylesheets", F.size(remaining(F.col("html"))).alias("left"), declare_language(F.col("html")).alias("l"), declare_language(declare_language(F.col("html"))).alias("ll")).first()
     assert (row.scripts, row.stylesheets, row.left) == (1, 1, 0) and "https://c/i.ico" in row.html and "{z}/{x}" in row.html and "\r" in row.html
     assert "<\\/script>')" in row.html and row.l.startswith('<html lang="pt-BR">') and row.l == row.ll
+
+
+def test_sql_names(spark):
+    from terracover.functions.register import register
+
+    assert len(register(spark)) == 9
+    row = spark.sql("SELECT fold_text('Bagé') a, squeeze_text(' a  b ') b, digits_of('1.2') c, zero_fill('12345678', 7) d, zero_fill('1', 3) e, number_br(1234.5) f, interior_point(array(named_struct('part', 0, 'ring', 0, 'pts', array(named_struct('x', 0d, 'y', 0d), named_struct('x', 2d, 'y', 0d), named_struct('x', 2d, 'y', 2d))))) g").first()
+    assert tuple(row)[:6] == ("BAGE", "a b", "12", "12345678", "001", "1.234") and row.g.y == 1.0
