@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BASE_INV, U64, Chunk, chunks_of, doc_of, materialize, mix, powers, prefix_hash, read_table, shuffle_partitions
-from .phrases import NOTHING, copies_of, holders, identified, winnow
+from .common import BASE_INV, U64, Chunk, chunks_of, doc_of, materialize, mix, powers, prefix_hash, read_table, shuffle_partitions, stretch_hash
+from .phrases import NOTHING, copies_of, holders, identified, in_doc, winnow
 
 WINDOW = 50
 GRAM = 20
@@ -169,6 +169,19 @@ def records_of(c: Chunk, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
     return at[take], starts[first[take]], starts[last[take]], grams
 
 
+def distinct_records(c: Chunk, at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of the records of a document that have the same bytes and windows, and which of them each record is.
+
+    Periodic text has one record a byte, but only as many different ones as its period is long.
+    """
+    key = stretch_hash(prefix_hash(c.buf), lo, hi + WINDOW) + (at - lo).astype(U64) * U64(0x9E3779B97F4A7C15)
+    _, first, which = np.unique(in_doc(key, doc_of(at, c.off)), return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return first[order], place[which]
+
+
 def _wanted(lists: pa.Array, rows: np.ndarray) -> np.ndarray:
     blobs = [x for r in rows for x in lists[int(r)].as_py()]
     return np.unique(np.frombuffer(b"".join(blobs), U64))
@@ -189,6 +202,8 @@ def suffix_records(held: DataFrame, splitters: np.ndarray, heavy: np.ndarray) ->
                 at, lo, hi = at[keep], lo[keep], hi[keep]
                 if not len(at):
                     continue
+                first, _ = distinct_records(c, at, lo, hi)
+                at, lo, hi = at[first], lo[first], hi[first]
                 pos = at[:, None] + np.arange(-REACH, WINDOW)
                 context = np.where((pos >= lo[:, None]) & (pos < hi[:, None] + WINDOW), c.buf[np.clip(pos, 0, len(c.buf) - 1)], 0).astype(np.uint8)
                 lead = np.ascontiguousarray(context[:, REACH : REACH + GRAM]).view(f"S{GRAM}").ravel()
@@ -208,7 +223,8 @@ def sample_leads(held: DataFrame, n_held: int, n_buckets: int) -> np.ndarray:
     def run(batches):
         for b in batches:
             for c in chunks_of(b.column(0), CHUNK):
-                at, _, _, _ = records_of(c, _wanted(b.column(1), c.rows))
+                at, lo, hi, _ = records_of(c, _wanted(b.column(1), c.rows))
+                at = at[distinct_records(c, at, lo, hi)[0]]
                 at = at[:: max(1, len(at) // (SAMPLE_EACH * c.n))]
                 yield pa.record_batch({"lead": pa.array([c.buf[a : a + GRAM].tobytes() for a in at.tolist()], pa.binary())})
 
@@ -294,7 +310,7 @@ def sorted_marks(records: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def heavy_windows(held: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """(w1, w2, uid, did, at): the windows of heavy anchors, one row each."""
+    """(w1, w2, uid, did, at): the different windows of heavy anchors of each document, at their first place."""
 
     def run(batches):
         for b in batches:
@@ -304,28 +320,48 @@ def heavy_windows(held: DataFrame, heavy: np.ndarray) -> DataFrame:
                     continue
                 n = hi - lo + 1
                 s = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                whole = gram_hash(c.buf, WINDOW)
+                s = s[np.unique(in_doc(whole[s], doc_of(s, c.off)), return_index=True)[1]]
                 d = doc_of(s, c.off)
                 rows = pa.array(c.rows[d])
-                w1, w2 = gram_hash(c.buf, WINDOW)[s], gram_hash(c.buf, WINDOW, 0xA0761D6478BD642F)[s]
+                w1, w2 = whole[s], gram_hash(c.buf, WINDOW, 0xA0761D6478BD642F)[s]
                 yield pa.RecordBatch.from_arrays([pa.array(w1.view(np.int64)), pa.array((w2 >> U64(32)).astype(np.uint32).view(np.int32)), b.column(0).take(rows), b.column(1).take(rows), pa.array(s - c.off[d])], ["w1", "w2", "uid", "did", "at"])
 
     return held.select("uid", "did", "text", "grams").mapInArrow(run, "w1 long, w2 int, uid long, did long, at long")
 
 
 def remove_bytes(rows: DataFrame) -> DataFrame:
-    """(did, th, n_removed, n_spans, kept). rows: did, th, text, marks (array of struct at, mask)."""
+    """(did, th, n_removed, n_spans, kept). rows: did, th, text, grams, marks (array of struct at, mask).
+
+    A mark stands for all records of its document that are alike; mask 0 marks the window at `at` and
+    its likes.
+    """
 
     def run(batches):
         for b in batches:
             for c in chunks_of(b.column(2)):
                 cover = np.zeros(len(c.buf) + 1, np.int64)
-                for k, r in enumerate(c.rows):
-                    own = b.column(3)[int(r)].values
-                    at, mask = (np.asarray(own.field(x), np.int64) for x in (0, 1))
+                own = [b.column(4)[int(r)].values for r in c.rows]
+                at = np.concatenate([np.asarray(x.field(0), np.int64) + c.off[k] for k, x in enumerate(own)])
+                mask = np.concatenate([np.asarray(x.field(1), np.int64) for x in own])
+                rec, lo, hi, _ = records_of(c, _wanted(b.column(3), c.rows))
+                if (mask > 0).any():
+                    first, which = distinct_records(c, rec, lo, hi)
+                    masks = np.zeros(len(first), np.int64)
+                    np.bitwise_or.at(masks, which[np.searchsorted(rec, at[mask > 0])], mask[mask > 0])
+                    masks = masks[which]
                     for bit in range(REACH + 1):
-                        s = at[(mask >> bit) & 1 == 1] - bit + c.off[k]
+                        s = rec[(masks >> bit) & 1 == 1] - bit
                         np.add.at(cover, s, 1)
                         np.add.at(cover, s + WINDOW, -1)
+                if (mask == 0).any():
+                    whole = gram_hash(c.buf, WINDOW)
+                    s = at[mask == 0]
+                    known = in_doc(whole[s], doc_of(s, c.off))
+                    every, _, _ = anchored(c)
+                    s = every[np.isin(in_doc(whole[every], doc_of(every, c.off)), known)]
+                    np.add.at(cover, s, 1)
+                    np.add.at(cover, s + WINDOW, -1)
                 gone = np.cumsum(cover[:-1]) > 0
                 edge = np.zeros(len(gone), np.int64)
                 edge[0], edge[1:] = gone[0], gone[1:] & ~gone[:-1]
@@ -335,7 +371,7 @@ def remove_bytes(rows: DataFrame) -> DataFrame:
                 a = int(c.rows[0])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(a, c.n), b.column(1).slice(a, c.n), pa.array(np.diff(total)), pa.array(np.diff(spans)), pa.array(kept, pa.binary())], ["did", "th", "n_removed", "n_spans", "kept"])
 
-    return rows.select("did", "th", "text", "marks").mapInArrow(run, "did long, th long, n_removed long, n_spans long, kept binary")
+    return rows.select("did", "th", "text", "grams", "marks").mapInArrow(run, "did long, th long, n_removed long, n_spans long, kept binary")
 
 
 def dedup_suffixes(docs: DataFrame, heavy_texts: int = HEAVY) -> tuple[DataFrame, DataFrame]:
@@ -362,8 +398,9 @@ def dedup_suffixes(docs: DataFrame, heavy_texts: int = HEAVY) -> tuple[DataFrame
     marks = sorted_marks(suffix_records(held, splitters, heavy), n_buckets)
     if len(heavy):
         windows = materialize(heavy_windows(held, heavy), "suffix-windows")
-        least = windows.groupBy("w1", "w2").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi")
-        marks = marks.unionByName(windows.join(least, ["w1", "w2"]).where("did > lo").select("uid", "at", F.lit(1).cast("long").alias("mask")))
+        least = materialize(windows.groupBy("w1", "w2").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi"), "suffix-least")
+        later = materialize(windows.join(least, ["w1", "w2"]).where("did > lo").select("uid", "at"), "suffix-later")
+        marks = marks.unionByName(later.select("uid", "at", F.lit(0).cast("long").alias("mask")))
     marked = marks.groupBy("uid").agg(F.collect_list(F.struct("at", "mask")).alias("marks"))
     return verdicts, remove_bytes(held.join(marked, "uid"))
 
