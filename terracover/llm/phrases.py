@@ -61,6 +61,11 @@ def winnow(grams: np.ndarray, width: int) -> np.ndarray:
     return (sliding_least(packed, width) & mask).astype(np.int64)
 
 
+def in_doc(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """A hash of a key inside its document of a chunk."""
+    return mix(key + doc.astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
 def words_of(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends, documents and hashes of the words of a chunk."""
     starts, ends = word_bounds(chunk.buf)
@@ -154,7 +159,7 @@ def holders(rows: DataFrame, keys: DataFrame, n_keys: int) -> DataFrame:
 
 
 def locate_windows(held: DataFrame) -> DataFrame:
-    """(w1, w2, uid, did, pos): the windows around every occurrence of the recurring phrases.
+    """(w1, w2, uid, did, pos): the different windows around all occurrences of the recurring phrases.
 
     held: uid, did, text, phrases (array of long).
     """
@@ -206,6 +211,9 @@ def locate_windows(held: DataFrame) -> DataFrame:
                     continue
                 at, d = np.concatenate(keep_w), np.concatenate(keep_d)
                 w1 = window_hash(wh, WINDOW)[at]
+                # of equal windows of a document (periodic text) the first stands for all
+                one = np.unique(in_doc(w1, d), return_index=True)[1]
+                at, d, w1 = at[one], d[one], w1[one]
                 w2 = window_hash(mix(wh ^ U64(0xA0761D6478BD642F)), WINDOW)[at]
                 rows = pa.array(c.rows[d])
                 yield pa.RecordBatch.from_arrays([pa.array(w1.view(np.int64)), pa.array((w2 >> U64(32)).astype(np.uint32).view(np.int32)), b.column(0).take(rows), b.column(1).take(rows), pa.array((at - base[d]).astype(np.int32))], ["w1", "w2", "uid", "did", "pos"])
@@ -216,6 +224,7 @@ def locate_windows(held: DataFrame) -> DataFrame:
 def later_windows(windows: DataFrame) -> DataFrame:
     """uid and the starts of windows that a smaller did holds too."""
     least = windows.groupBy("w1", "w2").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi").select("w1", "w2", "lo")
+    least = materialize(least, "phrase-least")  # so that the join below reads plain shuffles, which Spark can split
     return windows.join(least, ["w1", "w2"]).where("did > lo").groupBy("uid").agg(F.collect_list("pos").alias("starts"))
 
 
@@ -225,14 +234,16 @@ def remove_words(rows: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for c in chunks_of(b.column(2)):
-                starts, ends, doc, _ = words_of(c)
+                starts, ends, doc, wh = words_of(c)
                 sizes = np.bincount(doc, minlength=c.n)
                 base = np.cumsum(sizes) - sizes
+                s = np.concatenate([np.asarray(b.column(3)[int(r)].values, np.int64) + base[k] for k, r in enumerate(c.rows)])
+                whole = window_hash(wh, WINDOW)
+                own = in_doc(whole, doc[: len(whole)])
+                s = np.flatnonzero((doc[WINDOW - 1 :] == doc[: len(whole)]) & np.isin(own, own[s]))  # with all windows like them
                 cover = np.zeros(len(starts) + 1, np.int64)
-                for k, r in enumerate(c.rows):
-                    s = np.asarray(b.column(3)[int(r)].values, np.int64) + base[k]
-                    np.add.at(cover, s, 1)
-                    np.add.at(cover, s + WINDOW, -1)
+                np.add.at(cover, s, 1)
+                np.add.at(cover, s + WINDOW, -1)
                 keep = np.cumsum(cover[:-1]) == 0
                 kept = joined_words(c, starts, ends, doc, keep)
                 a = int(c.rows[0])
@@ -249,7 +260,8 @@ def dedup_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = materialize(copies_of(scanned), "phrase-copies")
     verdicts = scanned.join(copies, "sha", "left").withColumn("copy", F.coalesce(F.col("did") > F.col("rep"), F.lit(False)) & (F.col("n") >= WINDOW))
     marks = unpacked(verdicts.where(~F.col("copy") & (F.octet_length("phrases") > 0)), "phrases", "phrase")
-    both = marks.join(recurring(marks, "phrase"), "phrase").groupBy("did", "th").agg(F.collect_set("phrase").alias("phrases"))
+    known = materialize(recurring(marks, "phrase"), "phrase-recurring")  # a plain table, so that Spark can split hot phrases
+    both = marks.join(known, "phrase").groupBy("did", "th").agg(F.collect_set("phrase").alias("phrases"))
     both = materialize(both.withColumn("uid", F.monotonically_increasing_id()), "phrase-holders")
     held = materialize(holders(rows, both, both.count()), "phrase-texts")
     windows = materialize(locate_windows(held), "phrase-windows")
