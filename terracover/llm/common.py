@@ -24,9 +24,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none."""
+    """The folder that all executors share; a temporary one only where a local session names none."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="shared-tables-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -216,9 +219,9 @@ FILTER_BITS = 1 << 27
 def key_filter(keys: DataFrame, column: str, expected: int) -> np.ndarray:
     """A bit set over hashed 64-bit keys, built by the executors and joined on the driver.
 
-    Size: a power of two near 16 bits a key, at most FILTER_BITS, so what is broadcast is bounded.
+    Size: a power of two near 16 bits a key, 1 MiB at least and FILTER_BITS at most, so what is broadcast is bounded.
     """
-    bits = 1 << min(FILTER_BITS.bit_length() - 1, max(16, int(16 * max(1, expected) - 1).bit_length()))
+    bits = 1 << min(FILTER_BITS.bit_length() - 1, max(23, int(16 * max(1, expected) - 1).bit_length()))
     parts = min(256, max(1, expected // 200_000 + 1))
     page = 4096
 

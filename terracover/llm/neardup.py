@@ -255,7 +255,10 @@ def block_links(opened: DataFrame, sets: DataFrame, threshold: int) -> DataFrame
                 if len(a):
                     yield pa.record_batch({"a": pa.array(np.minimum(a, o)), "b": pa.array(np.maximum(a, o))})
 
-    return pairs.select("band", (F.col("res_b") & (F.col("block") == F.col("block_b"))).alias("same"), "own", "own_b").mapInArrow(run, "a long, b long").distinct()
+    links = pairs.select("band", (F.col("res_b") & (F.col("block") == F.col("block_b"))).alias("same"), "own", "own_b").mapInArrow(run, "a long, b long").distinct()
+    links = materialize(links, "minhash-pairs")
+    drop_table(blocks)
+    return links
 
 
 def _pair_blocks(own: pa.StructArray, other: pa.StructArray, band: int, same_block: bool, threshold: int) -> tuple[np.ndarray, np.ndarray]:
@@ -305,11 +308,14 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRE
     scanned = materialize(scan_sets(rows, width), "minhash-scan")
     nodes = scanned.where("node is not null").groupBy("node").agg(F.min(F.struct("did", "th")).alias("rep"), F.first("sig").alias("sig")).select("node", "rep.did", "rep.th", "sig")
     nodes = materialize(nodes, "minhash-nodes")
+    slim = materialize(scanned.drop("sig"), "minhash-slim")
+    drop_table(scanned)
     bands = band_rows(nodes)
     buckets = bands.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("pivot < _last").drop("_last")
     members = materialize(bands.join(buckets, "bucket"), "minhash-members")
     met = members.select("node").distinct().join(nodes, "node")
     met = materialize(met, "minhash-met")
+    drop_table(nodes)
     texts = materialize(holders(rows, met.select("did", "th", "node"), met.count()).select("node", "text"), "minhash-texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -317,17 +323,17 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRE
 
     first = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     labels = components(verified(first).toDF("u", "v"))
-    members = members.drop("pivot")
-    placed = with_component(members, labels)
+    placed = with_component(members.drop("pivot"), labels)
     sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
     main = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("m"), F.max("k").alias("most")).where("m > most")
     opened = materialize(placed.join(main, "bucket"), "minhash-open")
+    drop_table(members)
     sets = compact_sets(texts.join(opened.select("node").distinct(), "node", "left_semi"), met, width)
-    pairs = materialize(block_links(opened, sets, threshold), "minhash-pairs")
+    pairs = block_links(opened, sets, threshold)
     labels = merge_links(labels, materialize(linked_pairs(pairs, texts, width, threshold), "minhash-links"))
-    slim = scanned.select("doc_id", "did", "th", "n", "node")
     placed = slim.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     firsts = placed.where("comp is not null").groupBy("comp").agg(F.min(F.struct("did", "th")).alias("first"), F.min("doc_id").alias("least"))
+    firsts = materialize(firsts, "minhash-firsts")  # a plain table, so that Spark can split a hot component in the join
     return placed.join(firsts, "comp", "left").select("doc_id", "did", "th", "n", F.coalesce("first.did", "did").alias("comp_did"), F.coalesce("first.th", "th").alias("comp_th"), F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 

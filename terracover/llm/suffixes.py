@@ -24,8 +24,6 @@ stay whole; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -83,7 +81,8 @@ def recurring_anchors(rows: DataFrame, n_ranges: int, heavy: int = HEAVY) -> Dat
                 at = np.unique(anchor)
                 if not len(at):
                     continue
-                g, th = grams[at], ths[c.rows[doc_of(at, c.off)]]
+                # least hashes crowd near zero: scrambled again, they fill the ranges evenly
+                g, th = mix(grams[at]), ths[c.rows[doc_of(at, c.off)]]
                 order = np.lexsort((th, g))
                 g, th = g[order], th[order]
                 new = np.concatenate(([True], (g[1:] != g[:-1]) | (th[1:] != th[:-1])))
@@ -158,14 +157,14 @@ def recurring_anchors(rows: DataFrame, n_ranges: int, heavy: int = HEAVY) -> Dat
 
 
 def records_of(c: Chunk, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Anchors in wanted, with the first and last window start of each, and all hashes of the chunk."""
+    """Anchors in wanted (scrambled hashes), with the first and last window start of each, and all hashes of the chunk."""
     starts, anchor, grams = anchored(c)
     if not len(starts):
         return starts, starts, starts, grams
     first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
     last = np.append(first[1:], len(anchor)) - 1
     at = anchor[first]
-    take = np.isin(grams[at], wanted)
+    take = np.isin(mix(grams[at]), wanted)
     return at[take], starts[first[take]], starts[last[take]], grams
 
 
@@ -198,7 +197,7 @@ def suffix_records(held: DataFrame, splitters: np.ndarray, heavy: np.ndarray) ->
         for b in batches:
             for c in chunks_of(b.column(2), CHUNK):
                 at, lo, hi, grams = records_of(c, _wanted(b.column(3), c.rows))
-                keep = ~np.isin(grams[at], heavy)
+                keep = ~np.isin(mix(grams[at]), heavy)
                 at, lo, hi = at[keep], lo[keep], hi[keep]
                 if not len(at):
                     continue
