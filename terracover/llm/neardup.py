@@ -13,8 +13,9 @@ have a Jaccard similarity of at least THRESHOLD percent are linked; components o
   4. links become components by alternating large-star and small-star;
   5. buckets that still hold several components are compared block against block: the members outside
      the bucket's largest component with all members of other components. A task tests a pair of blocks
-     on signatures and then on 32-bit set hashes, each pair in the first band it shares only, and puts
-     out the links; those are verified on the full texts like the others. No link is lost to the pivots,
+     on signatures and then on the full sets, each pair in the first bucket it shares only (told by the
+     bucket keys themselves), and puts out the links; those are verified on the full texts like the
+     others. Of two components one link in a task is enough. No link is lost to the pivots,
      no list of all pairs leaves a task, and blocks of about BLOCK members bound every task.
 
 Defined results: null or empty text has an empty set, is its own component and linked with nothing; a
@@ -102,6 +103,15 @@ def scan_sets(rows: DataFrame, width: int) -> DataFrame:
     return rows.select("doc_id", "did", "th", "text").mapInArrow(run, "doc_id long, did long, th long, n long, node long, sig binary")
 
 
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """(documents, BANDS) bucket keys of full signatures."""
+    rows = sig.astype(U64).reshape(-1, BANDS, ROWS)
+    key = np.broadcast_to(np.arange(BANDS, dtype=U64) * U64(0x9E3779B97F4A7C15), rows.shape[:2])
+    for k in range(ROWS):
+        key = mix(key ^ rows[:, :, k])
+    return key
+
+
 def band_rows(nodes: DataFrame) -> DataFrame:
     """(bucket, band, node): one row a band."""
 
@@ -109,10 +119,7 @@ def band_rows(nodes: DataFrame) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            sig = _signature_rows(b.column(1)).astype(U64).reshape(-1, BANDS, ROWS)
-            key = np.broadcast_to(np.arange(BANDS, dtype=U64) * U64(0x9E3779B97F4A7C15), sig.shape[:2])
-            for k in range(ROWS):
-                key = mix(key ^ sig[:, :, k])
+            key = band_keys(_signature_rows(b.column(1)))
             band = np.tile(np.arange(BANDS, dtype=np.int32), b.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(band), b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), BANDS)))], ["bucket", "band", "node"])
 
@@ -211,22 +218,21 @@ def merge_links(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def compact_sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, n, sig8, set32): set size, low bytes of the minima, and sorted 32-bit shingle hashes."""
+    """(node, n, sig8, keys, set64): set size, low bytes of the minima, bucket keys, and sorted shingle hashes."""
 
     def run(batches):
         for b in batches:
             for c in chunks_of(b.column(1), CHUNK):
                 h, d = shingle_sets(c, width)
                 n = np.bincount(d, minlength=c.n)
-                low = (h & U64(0xFFFFFFFF)).astype(np.uint32)
-                low = low[np.lexsort((low, d))]
                 ends = np.cumsum(n).tolist()
-                sets = [low[e - k : e].tobytes() for e, k in zip(ends, n.tolist(), strict=True)]
+                sets = [h[e - k : e].tobytes() for e, k in zip(ends, n.tolist(), strict=True)]
                 a = int(c.rows[0])
-                sig = (_signature_rows(b.column(2).slice(a, c.n)) & 0xFF).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, c.n), pa.array(n, pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(sets, pa.binary())], ["node", "n", "sig8", "set32"])
+                full = _signature_rows(b.column(2).slice(a, c.n))
+                sig, keys = (full & 0xFF).astype(np.uint8), band_keys(full)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, c.n), pa.array(n, pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array([x.tobytes() for x in keys], pa.binary()), pa.array(sets, pa.binary())], ["node", "n", "sig8", "keys", "set64"])
 
-    return texts.join(nodes.select("node", "sig"), "node").select("node", "text", "sig").mapInArrow(run, "node long, n long, sig8 binary, set32 binary")
+    return texts.join(nodes.select("node", "sig"), "node").select("node", "text", "sig").mapInArrow(run, "node long, n long, sig8 binary, keys binary, set64 binary")
 
 
 def block_links(opened: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -237,7 +243,7 @@ def block_links(opened: DataFrame, sets: DataFrame, threshold: int) -> DataFrame
     rows = opened.join(sets, "node").withColumn("res", F.col("comp") != F.col("main"))
     count = F.when(F.col("res"), F.col("m") - F.col("most")).otherwise(F.col("most"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(count / BLOCK)).cast("int"))
-    blocks = rows.groupBy("bucket", "res", "block").agg(F.collect_list(F.struct("node", "comp", "n", "sig8", "set32")).alias("own"))
+    blocks = rows.groupBy("bucket", "res", "block").agg(F.collect_list(F.struct("node", "comp", "n", "sig8", "keys", "set64")).alias("own"))
     blocks = materialize(blocks, "minhash-blocks")
     left = opened.select("bucket", "band", F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int").alias("nr"), F.ceil(F.col("most") / BLOCK).cast("int").alias("nm")).distinct()
     left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
@@ -262,13 +268,14 @@ def block_links(opened: DataFrame, sets: DataFrame, threshold: int) -> DataFrame
 
 
 def _pair_blocks(own: pa.StructArray, other: pa.StructArray, band: int, same_block: bool, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between two blocks of a bucket; of several between two components, one that is clear is enough."""
+    """Links between two blocks of a bucket; of several between two components, one is enough."""
     node, comp, n = (own.field(k).to_numpy() for k in range(3))
     node_o, comp_o, n_o = (other.field(k).to_numpy() for k in range(3))
     sig, sig_o = (np.frombuffer(b"".join(x.field(3).to_pylist()), np.uint8).reshape(-1, N_HASH) for x in (own, other))
-    sets = [np.frombuffer(x, np.uint32) for x in own.field(4).to_pylist()]
-    sets_o = [np.frombuffer(x, np.uint32) for x in other.field(4).to_pylist()]
-    clear: set[tuple[int, int]] = set()
+    keys, keys_o = (np.frombuffer(b"".join(x.field(4).to_pylist()), U64).reshape(-1, BANDS) for x in (own, other))
+    sets = [np.frombuffer(x, U64) for x in own.field(5).to_pylist()]
+    sets_o = [np.frombuffer(x, U64) for x in other.field(5).to_pylist()]
+    linked: set[tuple[int, int]] = set()
     out_a, out_b = [], []
     for k in range(len(node)):
         go = (comp_o != comp[k]) & (100 * np.minimum(n_o, n[k]) >= threshold * np.maximum(n_o, n[k]))
@@ -277,12 +284,10 @@ def _pair_blocks(own: pa.StructArray, other: pa.StructArray, band: int, same_blo
         go = np.flatnonzero(go)
         if not len(go):
             continue
-        same = sig_o[go] == sig[k]
-        ok = same.sum(axis=1) >= LEAST_EQUAL
-        go, same = go[ok], same[ok]
+        go = go[(sig_o[go] == sig[k]).sum(axis=1) >= LEAST_EQUAL]
         if len(go):
-            go = go[same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band]
-        go = [g for g in go.tolist() if (int(comp[k]), int(comp_o[g])) not in clear]
+            go = go[(keys_o[go] == keys[k]).argmax(axis=1) == band]
+        go = [g for g in go.tolist() if (int(comp[k]), int(comp_o[g])) not in linked]
         if not go:
             continue
         every = np.concatenate([sets_o[g] for g in go])
@@ -291,14 +296,12 @@ def _pair_blocks(own: pa.StructArray, other: pa.StructArray, band: int, same_blo
         common = np.add.reduceat(sets[k][at] == every, first, dtype=np.int64)
         union = n[k] + n_o[go] - common
         hit = 100 * common >= threshold * union
-        sure = 100 * (common - 2) >= threshold * (union + 2)
-        for g, h, c in zip(go, hit.tolist(), sure.tolist(), strict=True):
+        for g, h in zip(go, hit.tolist(), strict=True):
             key = (int(comp[k]), int(comp_o[g]))
-            if h and key not in clear:
+            if h and key not in linked:
                 out_a.append(node[k])
                 out_b.append(node_o[g])
-                if c:
-                    clear.add(key)
+                linked.add(key)
     return np.array(out_a, np.int64), np.array(out_b, np.int64)
 
 

@@ -180,6 +180,21 @@ def test_blocks_find_every_link(spark, monkeypatch):
     assert [r.component_id for r in neardup.near_duplicates(df, 4).orderBy("doc_id").collect()] == comp
 
 
+def test_blocks_own_a_pair_by_its_bucket(spark):
+    """A band that agrees in the low bytes only comes before the first band that two nodes share."""
+    words = [f"w{k}" for k in range(60)]
+    texts = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words + ["tail"]))], "node long, text string")
+    sig = np.arange(neardup.N_HASH, dtype=np.uint32)
+    other = sig.copy()
+    other[0] += 256
+    nodes = spark.createDataFrame([(1, bytearray(sig.tobytes())), (2, bytearray(other.tobytes()))], "node long, sig binary")
+    bands = neardup.band_rows(nodes)
+    opened = bands.join(bands.groupBy("bucket").count().where("count = 2"), "bucket").select("bucket", "band", "node", F.col("node").alias("comp"), F.lit(1).cast("long").alias("main"), F.lit(2).cast("long").alias("m"), F.lit(1).cast("long").alias("most"))
+    assert {r.band for r in opened.collect()} == set(range(1, neardup.BANDS))
+    links = neardup.block_links(opened, neardup.compact_sets(texts, nodes, 4), 80)
+    assert [tuple(r) for r in links.collect()] == [(1, 2)]
+
+
 def test_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 200 + k) for k in range(50)] + [(7, 7)]
     labels = dict(neardup.components(spark.createDataFrame(edges, "u long, v long")).collect())
