@@ -6,6 +6,10 @@ placeholders. Windows of WINDOW tokens of the benchmark items are hash-joined wi
 documents. A document holds an item if at least COVERAGE of the item's windows occur in it and the slots
 agree: the fillers of equal item slots must be equal in the document too, for at least AGREEMENT of them.
 So an item with other numbers, names or units is found, and a mere likeness of form is not.
+Coverage and agreement are judged for each occurrence, so that a second copy with other fillers hides
+nothing: hits of one shift (place in the document less place in the item), hits of near shifts (a copy
+with words added or left out), and all hits of the document (a copy in parts far from each other). The
+item is reported if any of them passes, with the figures of the one that has most windows.
 
 The windows of documents pass a membership filter of bounded size built from the benchmark's windows
 before the join; beyond its capacity the filter only lets more rows into the join.
@@ -19,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import U64, Chunk, chunks_of, doc_of, key_filter, lower_ascii, materialize, maybe_in, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
@@ -31,6 +35,8 @@ MIN_TOKENS = 5
 MIN_LITERAL = 5
 COVERAGE = 0.5
 AGREEMENT = 0.8
+#: Occurrences of an item are apart if their shifts differ by more than this, and by more than half of its windows.
+GAP = WINDOW // 2
 CHUNK = 500_000
 
 #: Unit words that follow a number.
@@ -148,18 +154,35 @@ def _lists(fill: np.ndarray) -> pa.Array:
 
 
 def document_windows(rows: DataFrame, wanted: np.ndarray, widths: list[int]) -> DataFrame:
-    """(w, doc_id, did, th, fill) of the document windows that the filter lets through."""
+    """(w, doc_id, did, th, at, fill_d) of the document windows that the filter lets through; at: place in the document."""
 
     def run(batches):
         for b in batches:
             for c in chunks_of(b.column(3), CHUNK):
                 for width in widths:
-                    h, d, _, fill = windows_of(c, width, wanted)
+                    h, d, place, fill = windows_of(c, width, wanted)
                     if len(h):
                         own = pa.array(c.rows[d])
-                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(b.column(k).take(own) for k in range(3)), _lists(fill)], ["w", "doc_id", "did", "th", "fill_d"])
+                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(b.column(k).take(own) for k in range(3)), pa.array(place), _lists(fill)], ["w", "doc_id", "did", "th", "at", "fill_d"])
 
-    return rows.select("doc_id", "did", "th", "text").mapInArrow(run, "w long, doc_id long, did long, th long, fill_d array<long>")
+    return rows.select("doc_id", "did", "th", "text").mapInArrow(run, "w long, doc_id long, did long, th long, at long, fill_d array<long>")
+
+
+def with_occurrences(hits: DataFrame) -> DataFrame:
+    """A row for each hit and group of hits (level, part) it belongs to: the document, near shifts, and one shift."""
+    key = ["did", "th", "item"]
+    hits = hits.withColumn("shift", F.col("at") - F.col("pos"))
+    by_shift = Window.partitionBy(*key).orderBy("shift")
+    apart = F.col("shift") - F.lag("shift").over(by_shift) > F.greatest(F.lit(GAP), F.expr("n_windows div 2"))
+    hits = hits.withColumn("apart", F.coalesce(apart.cast("long"), F.lit(0))).withColumn("near", F.sum("apart").over(by_shift))
+    # alike windows of the document count once in the document's own group
+    hits = hits.withColumn("first", F.row_number().over(Window.partitionBy(*key, "pos", "fill_d").orderBy("at")) == 1)
+
+    def group(level: int, part: Column, when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(level).alias("level"), part.alias("part")))
+
+    groups = F.array(group(0, F.lit(0).cast("long"), F.col("first")), group(1, F.col("near"), F.lit(True)), group(2, F.col("shift"), F.lit(True)))
+    return hits.withColumn("g", F.explode(F.array_compact(groups))).select("*", "g.level", "g.part").drop("g", "shift", "apart", "near", "first")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, agreement: float = AGREEMENT) -> DataFrame:
@@ -167,16 +190,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     items = materialize(item_windows(benchmark), "item-windows")
     widths = [r["width"] for r in items.select("width").distinct().collect()]  # at most WINDOW - MIN_TOKENS + 1
     wanted = key_filter(items, "w", items.count())
-    found = document_windows(identified(docs), wanted, widths).dropDuplicates(["w", "did", "th", "fill_d"])
-    hits = materialize(found.join(items, "w").select("doc_id", "did", "th", "item", "item_id", "pos", "n_windows", "fill", "fill_d"), "window-hits")
-    key = ["did", "th", "item"]
+    found = document_windows(identified(docs), wanted, widths).dropDuplicates(["w", "did", "th", "at"])
+    hits = materialize(found.join(items, "w").select("doc_id", "did", "th", "item", "item_id", "pos", "at", "n_windows", "fill", "fill_d"), "window-hits")
+    hits = materialize(with_occurrences(hits), "window-groups")
+    key = ["did", "th", "item", "level", "part"]
     covered = hits.groupBy(*key).agg(F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"), F.count_distinct("pos").alias("n_matched"), F.first("n_windows").alias("n_windows"))
     covered = covered.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where(F.col("coverage") >= coverage)
     slots = hits.select(*key, F.explode(F.arrays_zip("fill", "fill_d")).alias("s")).where("s.fill <> 0").groupBy(*key, "s.fill", "s.fill_d").agg(F.count("*").alias("k"))
     agree = slots.groupBy(*key, "fill").agg(F.max("k").alias("top"), F.sum("k").alias("all"), F.sum(F.when(F.col("fill") == F.col("fill_d"), F.col("k")).otherwise(0)).alias("same"))
     agree = agree.groupBy(*key).agg((F.sum("top") / F.sum("all")).alias("slot_agreement"), (F.sum("same") == F.sum("all")).alias("same_fillers"))
     rows = covered.join(agree, key, "left").withColumn("slot_agreement", F.coalesce("slot_agreement", F.lit(1.0))).withColumn("same_fillers", F.coalesce("same_fillers", F.lit(True)))
-    return rows.where(F.col("slot_agreement") >= agreement).drop("item")
+    rows = rows.where(F.col("slot_agreement") >= agreement)
+    out = ["doc_id", "item_id", "n_matched", "n_windows", "coverage", "slot_agreement", "same_fillers"]
+    best = rows.groupBy("did", "th", "item").agg(F.max_by(F.struct(*out), F.struct("n_matched", "same_fillers", "slot_agreement")).alias("best"))
+    return best.select("best.doc_id", "did", "th", *(f"best.{c}" for c in out[1:]))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

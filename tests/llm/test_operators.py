@@ -424,3 +424,18 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.remove_contaminated(df, bench).where("doc_id in (1, 3, 8)").count() == 0
     assert decontaminate.contaminated(empty, bench).count() == 0 and decontaminate.contaminated(docs, bench.limit(0)).count() == 0
     assert decontaminate.remove_contaminated(docs, bench.limit(0)).columns == docs.columns
+
+
+def findings(spark, texts, items):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(x.doc_id, x.item_id): x for x in decontaminate.contaminated(df, bench).collect()}
+
+
+SHEEP = "Yesterday the farmer told Maria that 12 sheep crossed the river in 35 minutes, and Maria then paid 7 euros for the ferry back home to Lisbon."
+GOATS = SHEEP.replace("Maria", "Tomas").replace("12", "40").replace("35", "20").replace("Lisbon", "Porto").replace("7", "9")
+
+
+def test_each_occurrence_is_judged(spark):
+    found = findings(spark, [f"{SHEEP} Some words lie between. {GOATS}", SHEEP], [SHEEP, GOATS])
+    assert {(0, 0), (0, 1)} <= set(found) and all(found[0, k].same_fillers and found[0, k].coverage == 1.0 for k in (0, 1))
