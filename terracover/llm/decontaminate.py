@@ -11,32 +11,43 @@ nothing: hits of one shift (place in the document less place in the item), hits
 with words added or left out), and all hits of the document (a copy in parts far from each other). The
 item is reported if any of them passes, with the figures of the one that has most windows.
 
+Windows poor in literals (lists of numbers or names) and items of fewer than MIN_TOKENS tokens have no
+form to go by; they are joined with the words themselves as the key, so only equal fillers match. They
+count for coverage where an item has no other windows, and in excerpts: a run of EXCERPT successive
+windows (EXCERPT + WINDOW - 1 tokens) whose slots agree is reported whatever share of the item it is.
+
 The windows of documents pass a membership filter of bounded size built from the benchmark's windows
 before the join; beyond its capacity the filter only lets more rows into the join.
 
-Defined results: null or empty texts hold nothing; items of fewer than MIN_TOKENS tokens match nothing,
-and those under WINDOW tokens are one window of their own length; repeated items match each; a null
+Defined results: null or empty texts hold nothing; items under WINDOW tokens are
+one window of their own length, an item without tokens matches nothing; repeated items match each; a null
 doc_id or item_id is carried; an empty table on either side gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import U64, Chunk, chunks_of, doc_of, key_filter, lower_ascii, materialize, maybe_in, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
-from .phrases import identified, keyed_rows
+from .phrases import identified, in_doc, keyed_rows
 
 WINDOW = 10
 MIN_TOKENS = 5
-#: A window needs so many literal tokens (half of a shorter one).
+#: A window of placeholders needs so many literal tokens (half of a shorter one); others are joined by their words.
 MIN_LITERAL = 5
 COVERAGE = 0.5
 AGREEMENT = 0.8
 #: Occurrences of an item are apart if their shifts differ by more than this, and by more than half of its windows.
 GAP = WINDOW // 2
+#: A contiguous excerpt of so many windows is reported.
+EXCERPT = 11
+#: Sets the keys of words apart from those of placeholders.
+EXACT = U64(0x65786163745F6B65)
 CHUNK = 500_000
 
 #: Unit words that follow a number.
@@ -111,42 +122,59 @@ def canonical(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return token, word, number | quantity | unit | name, doc
 
 
-def windows_of(c: Chunk, width: int, wanted: np.ndarray | None = None):
-    """Hash, document, place in the document, and filler hashes (0: literal) of the windows of one width."""
-    token, word, slot, doc = canonical(c)
-    h = window_hash(token, width)
-    if not len(h):
-        return h, doc[:0], doc[:0], np.zeros((0, width), U64)
+def rich_windows(slot: np.ndarray, width: int) -> np.ndarray:
+    """Which windows have literal tokens enough to be told by their form."""
     literal = np.concatenate(([0], np.cumsum(~slot)))
-    ok = (doc[width - 1 :] == doc[: len(h)]) & (literal[width:] - literal[:-width] >= min(MIN_LITERAL, (width + 1) // 2))
-    at = np.flatnonzero(ok)
-    h = h[at] ^ U64(width)
+    rich = literal[width:] - literal[:-width] >= min(MIN_LITERAL, (width + 1) // 2)
+    return rich if width >= MIN_TOKENS else np.zeros(len(rich), bool)
+
+
+def windows_of(tokens: tuple[np.ndarray, ...], n: int, width: int, exact: bool, wanted: np.ndarray | None = None):
+    """Hash, document, place in the document, and filler hashes (0: literal) of the windows of one width, and which are rich.
+
+    tokens: canonical() of n documents. exact: keyed on the words, those of windows that are not rich; else on
+    placeholders, those of rich windows.
+    """
+    token, word, slot, doc = tokens
+    h = window_hash(word if exact else token, width)
+    if not len(h):
+        return h, doc[:0], doc[:0], np.zeros((0, width), U64), np.zeros(0, bool)
+    rich = rich_windows(slot, width)
+    at = np.flatnonzero((doc[width - 1 :] == doc[: len(h)]) & (~rich if exact else rich))
+    h = h[at] ^ U64(width) ^ (EXACT if exact else U64(0))
     if wanted is not None:
         hit = maybe_in(wanted, h)
         at, h = at[hit], h[hit]
-    first = np.searchsorted(doc, np.arange(c.n))
+    first = np.searchsorted(doc, np.arange(n))
     fill = np.where(slot[at[:, None] + np.arange(width)], word[at[:, None] + np.arange(width)], U64(0)) if len(at) else np.zeros((0, width), U64)
-    return h, doc[at], at - first[doc[at]], fill
+    return h, doc[at], at - first[doc[at]], fill, rich[at]
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(w, item, item_id, pos, n_windows, width, fill) of every item; item numbers repeated rows apart."""
+    """(w, item, item_id, pos, n_windows, counted, width, fill) of every item; item numbers repeated rows apart.
+
+    counted: the windows that coverage is a share of, n_windows in all: the rich ones, or all if none is rich.
+    """
 
     def run(batches):
         for b in batches:
             for c in chunks_of(b.column(2), CHUNK):
-                n = np.bincount(canonical(c)[3], minlength=c.n)
-                for width in range(MIN_TOKENS, WINDOW + 1):
-                    h, d, pos, fill = windows_of(c, width)
+                tokens = canonical(c)
+                n = np.bincount(tokens[3], minlength=c.n)
+                for width in range(1, WINDOW + 1):
+                    both = [windows_of(tokens, c.n, width, exact) for exact in (False, True)]
+                    h, d, pos, rich = (np.concatenate([x[k] for x in both]) for k in (0, 1, 2, 4))
+                    fill = np.concatenate([x[3] for x in both])
                     own = (n[d] == width) | (width == WINDOW) & (n[d] > WINDOW)
-                    h, d, pos, fill = h[own], d[own], pos[own], fill[own]
+                    h, d, pos, fill, rich = h[own], d[own], pos[own], fill[own], rich[own]
                     if len(h):
-                        total = np.bincount(d, minlength=c.n)[d]
+                        n_rich = np.bincount(np.unique(np.stack((d, pos))[:, rich], axis=1)[0], minlength=c.n)[d]
+                        total = np.where(n_rich > 0, n_rich, n[d] - width + 1)
                         rows = pa.array(c.rows[d])
-                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(rows), b.column(1).take(rows), pa.array(pos), pa.array(total), pa.array(np.full(len(h), width), pa.int32()), _lists(fill)], ["w", "item", "item_id", "pos", "n_windows", "width", "fill"])
+                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(rows), b.column(1).take(rows), pa.array(pos), pa.array(total), pa.array(rich | (n_rich == 0)), pa.array(np.full(len(h), width), pa.int32()), _lists(fill)], ["w", "item", "item_id", "pos", "n_windows", "counted", "width", "fill"])
 
     rows = items.select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return rows.mapInArrow(run, "w long, item long, item_id long, pos long, n_windows long, width int, fill array<long>")
+    return rows.mapInArrow(run, "w long, item long, item_id long, pos long, n_windows long, counted boolean, width int, fill array<long>")
 
 
 def _lists(fill: np.ndarray) -> pa.Array:
@@ -154,13 +182,23 @@ def _lists(fill: np.ndarray) -> pa.Array:
 
 
 def document_windows(rows: DataFrame, wanted: np.ndarray, widths: list[int]) -> DataFrame:
-    """(w, doc_id, did, th, at, fill_d) of the document windows that the filter lets through; at: place in the document."""
+    """(w, doc_id, did, th, at, fill_d) of the document windows that the filter lets through; at: place in the document.
+
+    Windows keyed on their words have no fill_d, since it is the item's. Where a window is a whole item, one
+    of alike ones in a document is enough.
+    """
 
     def run(batches):
         for b in batches:
             for c in chunks_of(b.column(3), CHUNK):
-                for width in widths:
-                    h, d, place, fill = windows_of(c, width, wanted)
+                tokens = canonical(c)
+                for width, exact in itertools.product(widths, (False, True)):
+                    h, d, place, fill, _ = windows_of(tokens, c.n, width, exact, wanted)
+                    if exact:
+                        fill = fill[:, :0]
+                        if width < WINDOW:
+                            one = np.unique(in_doc(h, d), return_index=True)[1]
+                            h, d, place, fill = h[one], d[one], place[one], fill[one]
                     if len(h):
                         own = pa.array(c.rows[d])
                         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(b.column(k).take(own) for k in range(3)), pa.array(place), _lists(fill)], ["w", "doc_id", "did", "th", "at", "fill_d"])
@@ -169,33 +207,37 @@ def document_windows(rows: DataFrame, wanted: np.ndarray, widths: list[int]) ->
 
 
 def with_occurrences(hits: DataFrame) -> DataFrame:
-    """A row for each hit and group of hits (level, part) it belongs to: the document, near shifts, and one shift."""
+    """A row for each hit and group of hits (level, part, run) it belongs to: the document, near shifts, one shift, and excerpts."""
     key = ["did", "th", "item"]
     hits = hits.withColumn("shift", F.col("at") - F.col("pos"))
     by_shift = Window.partitionBy(*key).orderBy("shift")
     apart = F.col("shift") - F.lag("shift").over(by_shift) > F.greatest(F.lit(GAP), F.expr("n_windows div 2"))
     hits = hits.withColumn("apart", F.coalesce(apart.cast("long"), F.lit(0))).withColumn("near", F.sum("apart").over(by_shift))
+    one_shift = Window.partitionBy(*key, "shift")
+    hits = hits.withColumn("run", F.col("pos") - F.row_number().over(one_shift.orderBy("pos")))
+    hits = hits.withColumn("successive", F.count("*").over(Window.partitionBy(*key, "shift", "run")))
     # alike windows of the document count once in the document's own group
     hits = hits.withColumn("first", F.row_number().over(Window.partitionBy(*key, "pos", "fill_d").orderBy("at")) == 1)
 
-    def group(level: int, part: Column, when: Column) -> Column:
-        return F.when(when, F.struct(F.lit(level).alias("level"), part.alias("part")))
+    def group(level: int, part: Column, when: Column, run: Column | None = None) -> Column:
+        return F.when(when, F.struct(F.lit(level).alias("level"), part.alias("part"), (F.lit(0).cast("long") if run is None else run).alias("run")))
 
-    groups = F.array(group(0, F.lit(0).cast("long"), F.col("first")), group(1, F.col("near"), F.lit(True)), group(2, F.col("shift"), F.lit(True)))
-    return hits.withColumn("g", F.explode(F.array_compact(groups))).select("*", "g.level", "g.part").drop("g", "shift", "apart", "near", "first")
+    groups = F.array(group(0, F.lit(0).cast("long"), F.col("first")), group(1, F.col("near"), F.lit(True)), group(2, F.col("shift"), F.lit(True)), group(3, F.col("shift"), F.col("successive") >= EXCERPT, F.col("run")))
+    return hits.withColumn("g", F.explode(F.array_compact(groups))).drop("shift", "apart", "near", "first", "run", "successive").select("*", "g.level", "g.part", "g.run").drop("g")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, agreement: float = AGREEMENT) -> DataFrame:
     """doc_id, did, th, item_id, n_matched, n_windows, coverage, slot_agreement, same_fillers of each (text, item) found."""
     items = materialize(item_windows(benchmark), "item-windows")
-    widths = [r["width"] for r in items.select("width").distinct().collect()]  # at most WINDOW - MIN_TOKENS + 1
+    widths = [r["width"] for r in items.select("width").distinct().collect()]  # at most WINDOW
     wanted = key_filter(items, "w", items.count())
     found = document_windows(identified(docs), wanted, widths).dropDuplicates(["w", "did", "th", "at"])
-    hits = materialize(found.join(items, "w").select("doc_id", "did", "th", "item", "item_id", "pos", "at", "n_windows", "fill", "fill_d"), "window-hits")
+    hits = found.join(items, "w").select("doc_id", "did", "th", "item", "item_id", "pos", "at", "n_windows", "counted", "fill", F.when(F.size("fill_d") == 0, F.col("fill")).otherwise(F.col("fill_d")).alias("fill_d"))
+    hits = materialize(hits.dropDuplicates(["did", "th", "item", "pos", "at"]), "window-hits")
     hits = materialize(with_occurrences(hits), "window-groups")
-    key = ["did", "th", "item", "level", "part"]
-    covered = hits.groupBy(*key).agg(F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"), F.count_distinct("pos").alias("n_matched"), F.first("n_windows").alias("n_windows"))
-    covered = covered.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where(F.col("coverage") >= coverage)
+    key = ["did", "th", "item", "level", "part", "run"]
+    covered = hits.groupBy(*key).agg(F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"), F.count_distinct(F.when(F.col("counted"), F.col("pos"))).alias("n_matched"), F.first("n_windows").alias("n_windows"))
+    covered = covered.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where((F.col("coverage") >= coverage) | (F.col("level") == 3))
     slots = hits.select(*key, F.explode(F.arrays_zip("fill", "fill_d")).alias("s")).where("s.fill <> 0").groupBy(*key, "s.fill", "s.fill_d").agg(F.count("*").alias("k"))
     agree = slots.groupBy(*key, "fill").agg(F.max("k").alias("top"), F.sum("k").alias("all"), F.sum(F.when(F.col("fill") == F.col("fill_d"), F.col("k")).otherwise(0)).alias("same"))
     agree = agree.groupBy(*key).agg((F.sum("top") / F.sum("all")).alias("slot_agreement"), (F.sum("same") == F.sum("all")).alias("same_fillers"))

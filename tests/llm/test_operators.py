@@ -439,3 +439,11 @@ GOATS = SHEEP.replace("Maria", "Tomas").replace("12", "40").replace("35", "20").
 def test_each_occurrence_is_judged(spark):
     found = findings(spark, [f"{SHEEP} Some words lie between. {GOATS}", SHEEP], [SHEEP, GOATS])
     assert {(0, 0), (0, 1)} <= set(found) and all(found[0, k].same_fillers and found[0, k].coverage == 1.0 for k in (0, 1))
+
+
+def test_poor_and_short_items_and_excerpts(spark):
+    sums = "12 + 30 = 42, 17 + 5 = 22, 81 + 9 = 90, 4 + 4 = 8, 6 + 1 = 7"
+    long = " ".join(f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(59))
+    texts = [f"here it is: {sums} and more", f"He said Blue whale calf again", f"x y z {' '.join(long.split()[20:50])} x y z", sums.replace("42", "43").replace("90", "91"), " ".join(long.split()[20:35])]
+    found = findings(spark, texts, [sums, "blue whale calf", long])
+    assert set(found) == {(0, 0), (1, 1), (2, 2)} and found[2, 2].n_matched == 21
