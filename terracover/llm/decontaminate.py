@@ -11,9 +11,11 @@ nothing: hits of one shift (place in the document less place in the item), hits
 with words added or left out), and all hits of the document (a copy in parts far from each other). The
 item is reported if any of them passes, with the figures of the one that has most windows.
 
-Windows poor in literals (lists of numbers or names) and items of fewer than MIN_TOKENS tokens have no
-form to go by; they are joined with the words themselves as the key, so only equal fillers match. They
-count for coverage where an item has no other windows, and in excerpts: a run of EXCERPT successive
+Every window is also joined by a second key, its words without regard to case (A-Z and the accented
+letters below U+0100) and without placeholders, so a verbatim copy is found in any case and wherever a
+capital makes a name of a word. A copy with other fillers and other case at once is not found. Windows
+poor in literals (lists of numbers or names) and items of fewer than MIN_TOKENS tokens have this key
+only. Such windows count for coverage where an item has no others, and in excerpts: a run of EXCERPT successive
 windows (EXCERPT + WINDOW - 1 tokens) whose slots agree is reported whatever share of the item it is.
 
 The windows of documents pass a membership filter of bounded size built from the benchmark's windows
@@ -38,7 +40,7 @@ from .phrases import identified, in_doc, keyed_rows
 
 WINDOW = 10
 MIN_TOKENS = 5
-#: A window of placeholders needs so many literal tokens (half of a shorter one); others are joined by their words.
+#: A window of placeholders needs so many literal tokens (half of a shorter one); others are joined by their words only.
 MIN_LITERAL = 5
 COVERAGE = 0.5
 AGREEMENT = 0.8
@@ -132,15 +134,15 @@ def rich_windows(slot: np.ndarray, width: int) -> np.ndarray:
 def windows_of(tokens: tuple[np.ndarray, ...], n: int, width: int, exact: bool, wanted: np.ndarray | None = None):
     """Hash, document, place in the document, and filler hashes (0: literal) of the windows of one width, and which are rich.
 
-    tokens: canonical() of n documents. exact: keyed on the words, those of windows that are not rich; else on
-    placeholders, those of rich windows.
+    tokens: canonical() of n documents. exact: all windows, keyed on the words; else the rich windows,
+    keyed on placeholders.
     """
     token, word, slot, doc = tokens
     h = window_hash(word if exact else token, width)
     if not len(h):
         return h, doc[:0], doc[:0], np.zeros((0, width), U64), np.zeros(0, bool)
     rich = rich_windows(slot, width)
-    at = np.flatnonzero((doc[width - 1 :] == doc[: len(h)]) & (~rich if exact else rich))
+    at = np.flatnonzero((doc[width - 1 :] == doc[: len(h)]) & (exact | rich))
     h = h[at] ^ U64(width) ^ (EXACT if exact else U64(0))
     if wanted is not None:
         hit = maybe_in(wanted, h)

@@ -447,3 +447,10 @@ def test_poor_and_short_items_and_excerpts(spark):
     texts = [f"here it is: {sums} and more", f"He said Blue whale calf again", f"x y z {' '.join(long.split()[20:50])} x y z", sums.replace("42", "43").replace("90", "91"), " ".join(long.split()[20:35])]
     found = findings(spark, texts, [sums, "blue whale calf", long])
     assert set(found) == {(0, 0), (1, 1), (2, 2)} and found[2, 2].n_matched == 21
+
+
+def test_verbatim_copies_in_any_case(spark):
+    short = "Rivers carry sand and stones down into the sea"
+    found = findings(spark, [SHEEP.upper(), f"and {SHEEP.lower()}", f"We read that {short} every year", SHEEP.upper().replace("SHEEP", "GOATS AND COWS")], [SHEEP, short])
+    assert set(found) == {(0, 0), (1, 0), (2, 1), (3, 0)} and all(x.same_fillers for x in found.values())
+    assert {found[k].coverage for k in [(0, 0), (1, 0), (2, 1)]} == {1.0}
