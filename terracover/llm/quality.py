@@ -33,7 +33,7 @@ MIN_WORDS = 50
 BROADCAST_STRATA = 10_000
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
-METRICS_DDL = "doc_id long, stratum string, " + ", ".join(f"{m} long" for m in METRICS)
+METRICS_DDL = "doc_id long, stratum string, th long, " + ", ".join(f"{m} long" for m in METRICS)
 
 #: Score expression and cutoffs of each rule, from the mildest to the strictest (a score >= cutoff is rejected).
 RULES: dict[str, tuple[str, list[float]]] = {
@@ -94,17 +94,21 @@ def _in_doc(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def document_metrics(docs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """doc_id, stratum and METRICS of every whole text."""
+    """doc_id, stratum, th (a key of the text) and METRICS of every whole text."""
 
     def run(batches):
         for b in batches:
-            for c in chunks_of(b.column(2)):
+            for c in chunks_of(b.column(3)):
                 m = metrics_of(c)
                 at, n = int(c.rows[0]), c.n
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), b.column(1).slice(at, n), *(pa.array(m[k], pa.int64()) for k in METRICS)], ["doc_id", "stratum", *METRICS])
+                yield pa.RecordBatch.from_arrays([*(b.column(k).slice(at, n) for k in range(3)), *(pa.array(m[k], pa.int64()) for k in METRICS)], ["doc_id", "stratum", "th", *METRICS])
 
-    own = F.col(stratum).cast("string") if stratum in docs.columns else F.lit(None).cast("string")
-    return docs.select(F.col("doc_id").cast("long"), own.alias("stratum"), F.col("text").cast("string")).mapInArrow(run, METRICS_DDL)
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), stratum_of(docs, stratum).alias("stratum"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("th"), text).mapInArrow(run, METRICS_DDL)
+
+
+def stratum_of(docs: DataFrame, stratum: str = "lang", prefix: str = "") -> Column:
+    return F.col(f"{prefix}{stratum}").cast("string") if stratum in docs.columns else F.lit(None).cast("string")
 
 
 def base_failed() -> Column:
@@ -174,9 +178,11 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the rules keep, with the columns of docs; rows of one doc_id share a rejection."""
-    rejected = quality_verdicts(docs, labels).where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(LEAST_ID)).alias("did")).distinct()
-    return keyed_rows(docs).join(rejected, "did", "left_anti").select("row.*")
+    """The rows of docs that the rules keep, with the columns of docs; each row is judged by its own text and stratum."""
+    rejected = quality_verdicts(docs, labels).where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(LEAST_ID)).alias("did"), "th", F.col("stratum").alias("_stratum")).distinct()
+    rows = keyed_rows(docs).withColumn("stratum", stratum_of(docs, prefix="row."))
+    same = (rows["did"] == rejected["did"]) & (rows["th"] == rejected["th"]) & rows["stratum"].eqNullSafe(rejected["_stratum"])
+    return rows.join(rejected, same, "left_anti").select("row.*")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

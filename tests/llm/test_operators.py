@@ -266,6 +266,15 @@ def test_cutoffs_keep_good_documents(spark, docs, empty):
     assert quality.quality_verdicts(docs, labels.limit(0)).count() == len(DOCS)
 
 
+def test_a_rejection_holds_for_its_own_text(spark):
+    clean, short = " ".join(f"w{k}" for k in range(60)), "too short"
+    rows = [(None, clean, "en"), (None, short, "en"), (7, clean, "en"), (7, short, None), (8, None, "en"), (8, clean, None), (9, short, "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(7, 1)], "doc_id long, quality int")
+    assert sorted(tuple(map(str, r)) for r in quality.filter_documents(df, labels).collect()) == sorted(tuple(map(str, r)) for r in rows if r[1] == clean)
+    assert quality.filter_documents(df.drop("lang"), labels).count() == 3
+
+
 # ---------------------------------------------------------------- 6: chat
 
 
