@@ -91,6 +91,24 @@ def test_bpe_fuzz_and_cuts():
         assert not any(own.cut[a, b] for a, b in zip(raw, raw[1:], strict=False))
 
 
+def test_bpe_equals_the_library_on_every_code_point(monkeypatch):
+    from tokenizers import Tokenizer
+
+    own, library, r = bpe.WordBpe(bpe.vocabulary_path()), Tokenizer.from_file(bpe.vocabulary_path()), random.Random(9)
+    points = [chr(c) for c in range(0x32000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b {c}1{c}" for c in points]
+    texts += ["".join(r.choice([" ", "a", "'s", "1", *r.sample(points, 6)]) for _ in range(r.randint(0, 25))) for _ in range(20_000)]
+    got = own.encode_each(texts)
+    for k in range(0, len(texts), 5000):
+        for e, t in zip(library.encode_batch(texts[k : k + 5000], add_special_tokens=False), texts[k : k + 5000], strict=True):
+            assert next(got).tolist() == e.ids, [t, *map(hex, map(ord, t))]
+    monkeypatch.setattr(bpe, "PIECE_CHARS", 40)  # pieces of long texts
+    long = " ".join(texts[70_000:70_300]) + " <|endoftext|>\t" + "x" * 200
+    ids = library.encode(long, add_special_tokens=False).ids
+    assert [x.tolist() for x in own.encode_each([None, long, "", long])] == [[], ids, [], ids]
+    assert own.decode_digest(np.array(ids)) == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
 def test_token_file(spark, docs, empty):
     from tokenizers import Tokenizer
 
