@@ -72,12 +72,15 @@ class Chunk:
     """Some documents: ids, row numbers in their batch, and their bytes in one array.
 
     Document d holds bytes [off[d], off[d+1] - 1) of buf; the byte after each is a newline put
-    there as a separator, so that no word reaches over two documents.
+    there as a separator, so that no word reaches over two documents. A piece of a long text is a
+    chunk of its own, with the place of its first byte in the text, and whether it is the last piece.
     """
 
     rows: np.ndarray
     off: np.ndarray
     buf: np.ndarray
+    base: int = 0
+    last: bool = True
 
     @property
     def n(self) -> int:
@@ -95,8 +98,11 @@ def binary_column(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.fill_null(b"") if column.null_count else column
 
 
-def chunks_of(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """Cut a text column into chunks of at most about limit bytes, or of one longer text."""
+def chunks_of(column: pa.Array, limit: int = CHUNK_BYTES, overlap: int | None = None) -> Iterator[Chunk]:
+    """Cut a text column into chunks of at most about limit bytes, or of one longer text.
+
+    With an overlap, a longer text comes in pieces of limit bytes, each with so many bytes of the next.
+    """
     arr = binary_column(column)
     n = len(arr)
     if not n:
@@ -107,6 +113,12 @@ def chunks_of(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         lens = np.diff(offsets[at : to + 1])
+        if overlap is not None and lens[0] > limit + overlap:
+            for base in range(0, int(lens[0]) - overlap, limit):
+                own = data[offsets[at] + base : min(offsets[at] + base + limit + overlap, offsets[to])]
+                yield Chunk(np.arange(at, to), np.array([0, len(own) + 1]), np.append(own, np.uint8(10)), base, base + limit + overlap >= lens[0])
+            at = to
+            continue
         off = np.zeros(to - at + 1, np.int64)
         np.cumsum(lens + 1, out=off[1:])
         buf = np.full(int(off[-1]), 10, np.uint8)

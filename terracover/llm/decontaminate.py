@@ -205,7 +205,7 @@ def document_windows(rows: DataFrame, wanted: np.ndarray, widths: list[int]) ->
                         own = pa.array(c.rows[d])
                         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(b.column(k).take(own) for k in range(3)), pa.array(place), _lists(fill)], ["w", "doc_id", "did", "th", "at", "fill_d"])
 
-    return rows.select("doc_id", "did", "th", "text").mapInArrow(run, "w long, doc_id long, did long, th long, at long, fill_d array<long>")
+    return rows.select("doc_id", "did", "th", "text").mapInArrow(run, "w long, doc_id long, did long, th binary, at long, fill_d array<long>")
 
 
 def with_occurrences(hits: DataFrame) -> DataFrame:

@@ -100,7 +100,7 @@ def scan_sets(rows: DataFrame, width: int) -> DataFrame:
                 a = int(c.rows[0])
                 yield pa.RecordBatch.from_arrays([*(b.column(k).slice(a, c.n) for k in range(3)), pa.array(n, pa.int64()), pa.array(key.view(np.int64), mask=n == 0), pa.array(sig, pa.binary())], ["doc_id", "did", "th", "n", "node", "sig"])
 
-    return rows.select("doc_id", "did", "th", "text").mapInArrow(run, "doc_id long, did long, th long, n long, node long, sig binary")
+    return rows.select("doc_id", "did", "th", "text").mapInArrow(run, "doc_id long, did long, th binary, n long, node long, sig binary")
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:

@@ -91,13 +91,13 @@ def joined_words(chunk: Chunk, starts: np.ndarray, ends: np.ndarray, doc: np.nda
 def identified(docs: DataFrame) -> DataFrame:
     """doc_id, its comparable form, a key of the text, and the text."""
     own = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("did"), F.xxhash64(own).alias("th"), own.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("did"), F.unhex(F.md5(own)).alias("th"), own.alias("text"))
 
 
 def keyed_rows(docs: DataFrame) -> DataFrame:
     """row (a struct of all columns, so that no name can clash), did and th."""
     own = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("did"), F.xxhash64(own).alias("th"))
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("did"), F.unhex(F.md5(own)).alias("th"))
 
 
 def scan_words(rows: DataFrame) -> DataFrame:
@@ -119,7 +119,7 @@ def scan_words(rows: DataFrame) -> DataFrame:
                 a = int(c.rows[0])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(a, c.n), b.column(1).slice(a, c.n), b.column(2).slice(a, c.n), pa.array(n, pa.int64()), pa.array(sha), pa.array(blobs, pa.binary())], ["doc_id", "did", "th", "n", "sha", "phrases"])
 
-    return rows.mapInArrow(run, "doc_id long, did long, th long, n long, sha string, phrases binary")
+    return rows.mapInArrow(run, "doc_id long, did long, th binary, n long, sha string, phrases binary")
 
 
 def unpacked(rows: DataFrame, blob: str, name: str) -> DataFrame:
@@ -132,7 +132,7 @@ def unpacked(rows: DataFrame, blob: str, name: str) -> DataFrame:
             at = np.repeat(np.arange(len(sizes)), sizes)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(values)], ["did", "th", name])
 
-    return rows.select("did", "th", blob).mapInArrow(run, f"did long, th long, {name} long")
+    return rows.select("did", "th", blob).mapInArrow(run, f"did long, th binary, {name} long")
 
 
 def copies_of(scanned: DataFrame) -> DataFrame:
@@ -153,7 +153,7 @@ def holders(rows: DataFrame, keys: DataFrame, n_keys: int) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array(maybe_in(bits, b.column(0).to_numpy().view(U64)))).select(list(range(1, b.num_columns)))
 
-    ddl = "did long, th long, text string"
+    ddl = "did long, th binary, text string"
     likely = rows.select(F.xxhash64("did", "th").alias("k"), "did", "th", "text").mapInArrow(run, ddl).dropDuplicates(["did", "th"])
     return likely.join(keys, ["did", "th"])
 
@@ -249,7 +249,7 @@ def remove_words(rows: DataFrame) -> DataFrame:
                 a = int(c.rows[0])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(a, c.n), b.column(1).slice(a, c.n), pa.array(np.bincount(doc[~keep], minlength=c.n)), pa.array(kept, pa.binary()).cast(pa.string())], ["did", "th", "n_removed", "kept"])
 
-    return rows.select("did", "th", "text", "starts").mapInArrow(run, "did long, th long, n_removed long, kept string")
+    return rows.select("did", "th", "text", "starts").mapInArrow(run, "did long, th binary, n_removed long, kept string")
 
 
 def dedup_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

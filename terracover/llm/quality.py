@@ -33,7 +33,7 @@ MIN_WORDS = 50
 BROADCAST_STRATA = 10_000
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
-METRICS_DDL = "doc_id long, stratum string, th long, " + ", ".join(f"{m} long" for m in METRICS)
+METRICS_DDL = "doc_id long, stratum string, th binary, " + ", ".join(f"{m} long" for m in METRICS)
 
 #: Score expression and cutoffs of each rule, from the mildest to the strictest (a score >= cutoff is rejected).
 RULES: dict[str, tuple[str, list[float]]] = {
@@ -104,7 +104,7 @@ def document_metrics(docs: DataFrame, stratum: str = "lang") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(b.column(k).slice(at, n) for k in range(3)), *(pa.array(m[k], pa.int64()) for k in METRICS)], ["doc_id", "stratum", "th", *METRICS])
 
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long"), stratum_of(docs, stratum).alias("stratum"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("th"), text).mapInArrow(run, METRICS_DDL)
+    return docs.select(F.col("doc_id").cast("long"), stratum_of(docs, stratum).alias("stratum"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("th"), text).mapInArrow(run, METRICS_DDL)
 
 
 def stratum_of(docs: DataFrame, stratum: str = "lang", prefix: str = "") -> Column:
