@@ -4,14 +4,17 @@ A window is WINDOW consecutive words. Every window has one phrase of PHRASE word
 least of all phrases in it (winnowing), so two equal windows always share such a phrase.
   1. scan: each whole text gives its word count, the digest of its words and its winnowed phrases;
      texts with the same words as a text of a smaller doc_id are settled by the digest alone;
-  2. confirm: a phrase recurs if two documents of different ids hold it (counted over all documents);
-  3. locate: documents that hold a recurring phrase are streamed in shards of bounded size; for each
-     shard the recurring phrases are compiled into one Aho-Corasick automaton (pyahocorasick), which
-     finds every occurrence; the windows around them are hashed (96 bits);
+  2. confirm: a phrase recurs if two documents of different ids hold it (counted over all documents).
+     Confirmed phrases are dealt to shards of about SHARD_PHRASES, phrases that the same documents hold
+     to the same shard (by the least key of their holders), and read off the texts as words;
+  3. locate: for each shard one Aho-Corasick automaton over words is compiled (pyahocorasick), and all
+     documents that hold a confirmed phrase of the shard are streamed through it, about SHARD_BYTES a
+     task; so a phrase that a third of all documents hold is searched by many tasks. Only where an automaton
+     finds a phrase are the windows that it is the least phrase of hashed (96 bits);
   4. compare: the least doc_id of each window is found by an aggregation with map-side combining, and
      joined back; words of windows that start in a smaller doc_id too are removed.
-A document without a recurring phrase shares no window, so nothing is dropped or capped. Hot phrases
-and windows meet in aggregations and in joins that Spark may split, never in one collected group.
+A document without a confirmed phrase shares no window (winnowing), so it is routed to no shard; nothing is
+dropped or capped. Hot phrases and windows meet in aggregations and in joins that Spark may split.
 
 Defined results: null or empty text has no words; a null doc_id counts as the smallest; rows with the
 same doc_id never remove each other's words, and repeated rows are returned each; texts under WINDOW
@@ -27,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, U64, Chunk, chunks_of, doc_of, key_filter, materialize, maybe_in, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
+from .common import SPACE, U64, Chunk, chunks_of, doc_of, drop_table, key_filter, materialize, maybe_in, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
 
 WINDOW = 50
 PHRASE = 8
-#: Bytes of documents for which one automaton is compiled.
-SHARD_BYTES = 1_000_000
+#: Phrases of one automaton, and bytes of documents that one task streams through it.
+SHARD_PHRASES = 50_000
+SHARD_BYTES = 8_000_000
 LEAST_ID = -(2**63)
 NOTHING = hashlib.sha256(b"").hexdigest()
 
@@ -141,8 +145,18 @@ def copies_of(scanned: DataFrame) -> DataFrame:
 
 
 def recurring(marks: DataFrame, name: str) -> DataFrame:
-    """The marks that at least two ids have."""
-    return marks.groupBy(name).agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi").select(name)
+    """The marks that at least two ids have, and the least key of the rows that hold each."""
+    key = F.xxhash64("did", "th").alias("key")
+    return marks.select("did", name, key).groupBy(name).agg(F.min("did").alias("lo"), F.max("did").alias("hi"), F.min("key").alias("key")).where("lo < hi").select(name, "key")
+
+
+def sharded(known: DataFrame) -> DataFrame:
+    """(phrase, shard): about SHARD_PHRASES phrases a shard; those of one key together, unless they are more."""
+    n_shards = max(1, -(-known.count() // SHARD_PHRASES))
+    parts = known.groupBy("key").agg(F.ceil(F.count("*") / SHARD_PHRASES).alias("parts")).where("parts > 1")
+    parts = materialize(parts, "phrase-parts")  # at most phrases / SHARD_PHRASES rows
+    known = known.join(parts, "key", "left").withColumn("part", F.pmod(F.xxhash64("phrase"), F.coalesce("parts", F.lit(1))))
+    return known.select("phrase", F.pmod(F.xxhash64("key", "part"), F.lit(n_shards)).cast("int").alias("shard"))
 
 
 def holders(rows: DataFrame, keys: DataFrame, n_keys: int) -> DataFrame:
@@ -158,67 +172,95 @@ def holders(rows: DataFrame, keys: DataFrame, n_keys: int) -> DataFrame:
     return likely.join(keys, ["did", "th"])
 
 
-def locate_windows(held: DataFrame) -> DataFrame:
-    """(w1, w2, uid, did, pos): the different windows around all occurrences of the recurring phrases.
+def phrase_words(held: DataFrame) -> DataFrame:
+    """(shard, words): the confirmed phrases of every shard, once each, read off the texts that hold them.
 
-    held: uid, did, text, phrases (array of long).
+    held: text, phrases (array of struct phrase, shard).
     """
 
     def run(batches):
-        import ahocorasick
-
         for b in batches:
-            lists = b.column(3)
-            for c in chunks_of(b.column(2), SHARD_BYTES):
+            lists = b.column(1)
+            for c in chunks_of(b.column(0)):
                 starts, ends, doc, wh = words_of(c)
-                if len(wh) < WINDOW:
-                    continue
                 phrase = window_hash(wh, PHRASE)
-                wanted = np.unique(np.concatenate([np.asarray(lists[int(r)].values, np.int64) for r in c.rows]).view(U64))
+                own = [lists[int(r)].values for r in c.rows]
+                wanted = np.concatenate([np.asarray(x.field(0), np.int64) for x in own]).view(U64)
+                shard = np.concatenate([np.asarray(x.field(1), np.int32) for x in own])
+                wanted, first = np.unique(wanted, return_index=True)
+                shard = shard[first]
                 inside = np.flatnonzero(doc[PHRASE - 1 :] == doc[: len(phrase)])
-                known = inside[np.isin(phrase[inside], wanted)]
-                _, first = np.unique(phrase[known], return_index=True)
-                joined = joined_words(c, starts, ends, doc)
-                sizes = np.bincount(doc, minlength=c.n)
-                base = np.cumsum(sizes) - sizes
-                length = ends - starts + 1
-                begin = np.cumsum(length) - length
-                begin -= np.repeat(begin[np.minimum(base, len(begin) - 1)], sizes)  # of each word in its joined text
-                automaton = ahocorasick.Automaton()
-                for p in known[first].tolist():
-                    text = joined[doc[p]][begin[p] : begin[p + PHRASE - 1] + length[p + PHRASE - 1] - 1].decode("latin-1")
-                    automaton.add_word(f" {text} ", len(text) + 1)
-                if not len(first):
-                    continue
-                automaton.make_automaton()
-                keep_w, keep_d = [], []
-                for d in range(c.n):
-                    n = int(sizes[d])
-                    if n < WINDOW:
-                        continue
-                    found = [end - k for end, k in automaton.iter(f" {joined[d].decode('latin-1')} ")]
-                    if not found:
-                        continue
-                    own = begin[base[d] : base[d] + n]
-                    at = np.unique(np.searchsorted(own, np.array(found, np.int64)))
-                    cover = np.zeros(n + 1, np.int64)
-                    np.add.at(cover, np.maximum(at - (WINDOW - PHRASE), 0), 1)
-                    np.add.at(cover, at + 1, -1)
-                    s = np.flatnonzero(np.cumsum(cover[: n - WINDOW + 1]) > 0)
-                    keep_w.append(base[d] + s)
-                    keep_d.append(np.full(len(s), d))
-                if not keep_w:
-                    continue
-                at, d = np.concatenate(keep_w), np.concatenate(keep_d)
-                w1 = window_hash(wh, WINDOW)[at]
-                # of equal windows of a document (periodic text) the first stands for all
-                one = np.unique(in_doc(w1, d), return_index=True)[1]
-                at, d, w1 = at[one], d[one], w1[one]
-                w2 = window_hash(mix(wh ^ U64(0xA0761D6478BD642F)), WINDOW)[at]
-                rows = pa.array(c.rows[d])
-                yield pa.RecordBatch.from_arrays([pa.array(w1.view(np.int64)), pa.array((w2 >> U64(32)).astype(np.uint32).view(np.int32)), b.column(0).take(rows), b.column(1).take(rows), pa.array((at - base[d]).astype(np.int32))], ["w1", "w2", "uid", "did", "pos"])
-
-    return held.select("uid", "did", "text", "phrases").mapInArrow(run, "w1 long, w2 int, uid long, did long, pos int")
+                at = inside[np.isin(phrase[inside], wanted)]
+                at = at[np.unique(phrase[at], return_index=True)[1]]
+                shard = shard[np.searchsorted(wanted, phrase[at])]
+                raw = c.buf.tobytes()
+                words = [b" ".join(raw[s:e].split()) for s, e in zip(starts[at].tolist(), ends[at + PHRASE - 1].tolist(), strict=True)]
+                yield pa.record_batch({"shard": pa.array(shard), "words": pa.array(words, pa.binary())})
+
+    return held.select("text", "phrases").mapInArrow(run, "shard int, words binary").distinct()
+
+
+class Automaton:
+    """Finds phrases of words in texts; words are numbered by the phrases, all other words are 0."""
+
+    def __init__(self, phrases: list[bytes]):
+        import ahocorasick
+
+        self.number: dict[bytes, int] = {}
+        self.found = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for p in phrases:
+            self.found.add_word(tuple(self.number.setdefault(w, len(self.number) + 1) for w in p.split()), 1)
+        self.found.make_automaton()
+
+    def places(self, text: bytes) -> list[int]:
+        """The numbers of the words of a text at which a phrase starts."""
+        get = self.number.get
+        return [end - PHRASE + 1 for end, _ in self.found.iter(tuple([get(w, 0) for w in text.split()]))]
+
+
+def windows_in(docs: pa.Table, phrases: list[bytes]) -> pa.Table:
+    """The windows around the phrases of one shard; docs: uid, did, text."""
+    automaton, out = Automaton(phrases), []
+    text = docs["text"].combine_chunks()
+    for c in chunks_of(text):
+        _, _, doc, wh = words_of(c)
+        if len(wh) < WINDOW:
+            continue
+        sizes = np.bincount(doc, minlength=c.n)
+        base = np.cumsum(sizes) - sizes
+        hit = np.zeros(len(wh), bool)
+        for d in np.flatnonzero(sizes >= WINDOW).tolist():
+            hit[base[d] + np.array(automaton.places(c.buf[c.off[d] : c.off[d + 1] - 1].tobytes()), np.int64)] = True
+        least = winnow(window_hash(wh, PHRASE), WINDOW - PHRASE + 1)
+        at = np.flatnonzero(hit[least] & (doc[WINDOW - 1 :] == doc[: len(least)]))
+        d, w1 = doc[at], window_hash(wh, WINDOW)[at]
+        # of equal windows of a document (periodic text) the first stands for all
+        one = np.unique(in_doc(w1, d), return_index=True)[1]
+        at, d, w1 = at[one], d[one], w1[one]
+        w2 = window_hash(mix(wh ^ U64(0xA0761D6478BD642F)), WINDOW)[at]
+        rows = pa.array(c.rows[d])
+        out.append(pa.table({"w1": w1.view(np.int64), "w2": (w2 >> U64(32)).astype(np.uint32).view(np.int32), "uid": docs["uid"].take(rows), "did": docs["did"].take(rows), "pos": (at - base[d]).astype(np.int32)}))
+    return pa.concat_tables(out) if out else WINDOWS.empty_table()
+
+
+WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int32()), ("uid", pa.int64()), ("did", pa.int64()), ("pos", pa.int32())])
+
+
+def locate_windows(held: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(w1, w2, uid, did, pos): the different windows around all occurrences of the confirmed phrases.
+
+    held: uid, did, text, n_bytes, phrases (array of struct phrase, shard). phrases: phrase_words() of it.
+    """
+    routed = held.select("uid", "did", "n_bytes", F.explode(F.array_distinct("phrases.shard")).alias("shard"), "text")
+    tasks = routed.groupBy("shard").agg(F.ceil(F.sum("n_bytes") / SHARD_BYTES).cast("int").alias("tasks"))
+    tasks = materialize(tasks, "phrase-tasks")  # one row a shard
+    left = routed.join(tasks, "shard").select("shard", F.pmod(F.xxhash64("uid"), F.col("tasks")).alias("task"), "uid", "did", "text")
+    right = phrases.join(tasks, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks").cast("long") - 1)).alias("task"), "words")
+
+    def run(docs: pa.Table, own: pa.Table) -> pa.Table:
+        return windows_in(docs, own["words"].to_pylist()).cast(WINDOWS)
+
+    return left.groupBy("shard", "task").cogroup(right.groupBy("shard", "task")).applyInArrow(run, "w1 long, w2 int, uid long, did long, pos int")
 
 
 def later_windows(windows: DataFrame) -> DataFrame:
@@ -260,11 +302,17 @@ def dedup_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = materialize(copies_of(scanned), "phrase-copies")
     verdicts = scanned.join(copies, "sha", "left").withColumn("copy", F.coalesce(F.col("did") > F.col("rep"), F.lit(False)) & (F.col("n") >= WINDOW))
     marks = unpacked(verdicts.where(~F.col("copy") & (F.octet_length("phrases") > 0)), "phrases", "phrase")
-    known = materialize(recurring(marks, "phrase"), "phrase-recurring")  # a plain table, so that Spark can split hot phrases
-    both = marks.join(known, "phrase").groupBy("did", "th").agg(F.collect_set("phrase").alias("phrases"))
+    known = materialize(recurring(marks, "phrase"), "phrase-recurring")
+    shards = materialize(sharded(known), "phrase-shards")  # a plain table, so that Spark can split hot phrases
+    drop_table(known)
+    both = marks.join(shards, "phrase").groupBy("did", "th").agg(F.collect_set(F.struct("phrase", "shard")).alias("phrases"))
     both = materialize(both.withColumn("uid", F.monotonically_increasing_id()), "phrase-holders")
-    held = materialize(holders(rows, both, both.count()), "phrase-texts")
-    windows = materialize(locate_windows(held), "phrase-windows")
+    drop_table(shards)
+    held = materialize(holders(rows, both, both.count()).withColumn("n_bytes", F.octet_length("text").cast("long")), "phrase-texts")
+    drop_table(both)
+    phrases = materialize(phrase_words(held), "phrase-words")
+    windows = materialize(locate_windows(held, phrases), "phrase-windows")
+    drop_table(phrases)
     changed = remove_words(held.join(later_windows(windows), "uid"))
     return verdicts.drop("phrases", "rep"), changed
 

@@ -516,7 +516,10 @@ def test_hot_suffixes_are_divided(spark):
     assert 0 not in changed and len(changed) == 999 and min(changed.values()) >= len(passage) + 2
 
 
-def test_words(spark, docs, empty):
+@pytest.mark.parametrize("size", [50_000, 7])
+def test_words(spark, docs, empty, monkeypatch, size):
+    monkeypatch.setattr(phrases, "SHARD_PHRASES", size)
+    monkeypatch.setattr(phrases, "SHARD_BYTES", size * 100)
     def split(t):
         return WORD.findall(t or "")
 
@@ -534,6 +537,18 @@ def test_words(spark, docs, empty):
     assert phrases.dedup_phrases(empty)[0].count() == 0
 
 
+def test_automata_alone_place_the_windows(spark, monkeypatch):
+    rows = [(k, " ".join(f"own{k}x{j}" for j in range(20)) + " " + " ".join(f"shared{j}" for j in range(60))) for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.did: x.n_removed for x in phrases.dedup_phrases(df)[1].collect()} == {1: 60, 2: 60, 3: 60}
+    table, own = pa.table({"uid": [5], "did": [1], "text": pa.array([rows[1][1]], pa.large_string())}), [b" ".join(rows[1][1].encode().split()[k : k + 8]) for k in range(73)]
+    assert sorted(phrases.windows_in(table, own)["pos"].to_pylist()) == list(range(31))
+    assert phrases.windows_in(table, [b"not any of the phrases of the text"]).num_rows == 0
+    assert phrases.Automaton(own[:1]).places(b"own1x0 " + rows[1][1].encode()) == [1]
+
+
+# ---------------------------------------------------------------- 1: decontamination
+
 
 def test_decontamination(spark, docs, empty):
     filler = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor"
