@@ -9,8 +9,9 @@ With confidence 1 - CONFIDENCE_LOSS all strata together, the rules reject at mos
 the good documents of every stratum. A stratum with too few labels gets no cutoffs.
 
 Defined results: null text has no words (and fails the base rule); a null stratum is a stratum; a
-document labelled twice is good only if every label says so; labels of absent documents, null labels
-and extra columns are ignored; an empty table gives no rows.
+document labelled twice is good only if every label says so; rows that repeat a doc_id are one trial of
+their stratum; labels of absent documents, null labels and extra columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -121,12 +122,31 @@ def score(rule: str) -> Column:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X <= k) for X binomial(n, p), summed exactly in logarithms."""
+    """P(X <= k) for X binomial(n, p): the regularised incomplete beta function I(1 - p; n - k, k + 1), by continued fraction."""
     if k >= n:
         return 1.0
-    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k + 1)]
-    top = max(logs)
-    return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs))
+    if k < 0:
+        return 0.0
+    a, b, x = n - k, k + 1, 1.0 - p
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(p))
+    if x < (a + 1) / (a + b + 2):
+        return front * _beta_fraction(a, b, x) / a
+    return 1.0 - front * _beta_fraction(b, a, p) / b
+
+
+def _beta_fraction(a: int, b: int, x: float) -> float:
+    """The continued fraction of the incomplete beta function, by the modified Lentz method."""
+    tiny = 1e-300
+    c, d = 1.0, 1.0 / (1.0 - (a + b) * x / (a + 1) or tiny)
+    out = d
+    for m in range(1, 100_000):
+        for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1.0 / (1.0 + top * d or tiny)
+            c = 1.0 + top / c or tiny
+            out *= c * d
+        if abs(c * d - 1.0) < 1e-15:
+            break
+    return out
 
 
 def fit_cutoffs(metrics: DataFrame, labels: DataFrame, false_rejection: float = FALSE_REJECTION, loss: float = CONFIDENCE_LOSS) -> DataFrame:
@@ -134,8 +154,9 @@ def fit_cutoffs(metrics: DataFrame, labels: DataFrame, false_rejection: float =
     good = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1")
     held = metrics.join(good.select("doc_id"), "doc_id", "left_semi").where(~base_failed())
     levels = {r: sum((F.when(score(r) >= c, 1).otherwise(0) for c in cuts), F.lit(0)) for r, (_, cuts) in RULES.items()}
-    # how many good documents each cutoff rejects: the number of cutoffs a score reaches, counted from the strictest
-    wide = held.select("stratum", *(x.alias(f"_{r}") for r, x in levels.items()))
+    # how many good documents each cutoff rejects: the number of cutoffs a score reaches, counted from the strictest;
+    # rows that repeat an id are one trial, rejected where any of them is
+    wide = held.groupBy("stratum", "doc_id").agg(*(F.max(x).alias(f"_{r}") for r, x in levels.items()))
     counts = wide.select("stratum", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(f"_{r}").alias("level")) for r in RULES))).alias("x")).groupBy("stratum", "x.rule", "x.level").agg(F.count("*").alias("n"))
     n_strata = metrics.select("stratum").distinct().count()
     risk, level = false_rejection / len(RULES), loss / (len(RULES) * max(1, n_strata))

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import time
@@ -270,6 +271,58 @@ def test_metrics(docs, empty):
 def test_binomial_tail():
     assert abs(quality.binomial_tail(1, 3, 0.5) - 0.5) < 1e-12 and quality.binomial_tail(3, 3, 0.1) == 1.0
     assert abs(quality.binomial_tail(0, 100, 0.02) - 0.98**100) < 1e-12
+    for n, p in ((1, 0.3), (40, 0.004), (3000, 0.004), (700, 0.5)):
+        total = 0.0
+        for k in range(n):
+            total += math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p))
+            assert abs(quality.binomial_tail(k, n, p) - total) < 1e-9
+    assert 0 < quality.binomial_tail(3_990_000, 10**9, 0.004) < 1e-6 < quality.binomial_tail(3_999_000, 10**9, 0.004)
+
+
+def brute_verdicts(rows, labels):
+    """(doc_id, base_failed, kept) of (doc_id, text, lang) rows, by the docstring's rules in plain Python."""
+    good = {}
+    for d, q in labels:
+        if d is not None and q is not None:
+            good[d] = min(q, good.get(d, 1))
+    scored, held, strata = [], {}, {lang for _, _, lang in rows}
+    for d, t, lang in rows:
+        w, chars, symbols, dups, repeats, lines = brute_metrics(t)
+        part = lambda x, y: x / y if y else -1e300
+        scores = {"symbols": part(symbols, w), "dup_lines": part(dups, lines), "long_words": part(chars, w), "short_words": part(-chars, w), "repeats": part(repeats, w)}
+        failed = w < 50 or 100 * repeats > 50 * w
+        scored.append((d, lang, failed, scores))
+        if good.get(d) == 1 and not failed:
+            held.setdefault(lang, {}).setdefault(d, []).append(scores)
+    cutoff = {}
+    for lang, docs in held.items():
+        for rule, (_, cuts) in quality.RULES.items():
+            for cut in cuts:
+                k, n = sum(any(s[rule] >= cut for s in own) for own in docs.values()), len(docs)
+                p = 0.02 / len(quality.RULES)
+                tail = sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k + 1))
+                if tail > 0.05 / (len(quality.RULES) * len(strata)):
+                    break
+                cutoff[lang, rule] = cut
+    return collections.Counter((d, failed, not failed and not any(s[r] >= cutoff.get((lang, r), math.inf) for r in s)) for d, lang, failed, s in scored), cutoff
+
+
+def test_cutoffs_and_verdicts_by_brute_force(spark):
+    r = random.Random(3)
+
+    def text(junk):
+        words = ["".join(r.choice("abcdefgh") for _ in range(r.randint(1, 12))) + "#" * (r.random() < junk) for _ in range(r.randint(40, 90))]
+        if r.random() < junk:
+            words += words[:10] * r.randint(1, 6)
+        return "".join(w + r.choice(["\n", " ", " ", " "]) for w in words) + "\nsame line" * (r.randint(0, 9) if r.random() < junk else 0)
+
+    rows = [(k, text(0.01 if k % 9 else 0.6), ["en", "en", "en", "de", None][k % 5 % 4 + (k % 50 == 4)]) for k in range(4500)]
+    rows += [rows[0]] * 40 + [(0, text(0.9), "en")] + [(None, text(0.1), "en"), (4, None, "de")]  # repeated rows are one trial
+    labels = [(k, int(k % 9 > 0)) for k in range(4400)] + [(1, 0), (3, None), (None, 1), (10**6, 1)]
+    want, cutoff = brute_verdicts(rows, labels)
+    assert len(cutoff) >= 4 and any(c != quality.RULES[r][1][-1] for (_, r), c in cutoff.items())
+    got = quality.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert by_row(got.collect(), "doc_id", "base_failed", "kept") == want
 
 
 def test_cutoffs_keep_good_documents(spark, docs, empty):
