@@ -33,8 +33,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text that is left, with digests of ids and decoded text."""
-    return bpe.bpe_digest(docs, bpe.vocabulary_path())
+    """Token ids of every text that is left (token_ids: little-endian, 32 bits), with digests of ids and decoded text."""
+    return bpe.bpe_digest(docs, bpe.vocabulary_path(), keep_ids=True)
 
 
 STAGES = [
