@@ -4,18 +4,21 @@ Texts are lower-cased (A-Z) and cut into words; a document's set holds its disti
 fewer words than a shingle, the whole sequence as one; without words, nothing). Documents whose sets
 have a Jaccard similarity of at least THRESHOLD percent are linked; components of links are returned.
 
-  1. scan: set size, an order-free key of the set, and N_HASH universal-hash minima of every whole text;
-     equal sets share their key and are one node from here on, whatever their number;
-  2. banding: BANDS bands of N_HASH / BANDS minima; a bucket holds the nodes that agree in a band. A
-     pair at the threshold misses all bands with a chance of (1 - 0.8**4)**32 = 5e-8;
-  3. every bucket pairs its members with one pivot only. Pairs are verified on their signatures (a pair
-     at the threshold fails with a chance below 1e-6) and then on the full sets of both whole texts;
-  4. links become components by alternating large-star and small-star;
+  1. scan: set size, an order-free key of the set (128 bits), and N_HASH universal-hash minima of every
+     whole text; equal sets share their key and are one node from here on, whatever their number;
+  2. banding: BANDS bands of ROWS minima; a bucket holds the nodes that agree in a band. A pair at the
+     threshold misses all bands with a chance of (1 - 0.8**5)**32 = 3e-6;
+  3. every bucket pairs its members with one pivot only, another one in each band. Pairs are verified on their
+     signatures (a pair at the threshold fails with a chance below 1e-6); of the pivots that a node passes
+     with, the most alike one is verified on the full sets of both whole texts;
+  4. links become components by alternating large-star and small-star; a node's least neighbour is written
+     before it is joined back, so that Spark can split the edges of a hub;
   5. buckets that still hold several components are compared block against block: the members outside
-     the bucket's largest component with all members of other components. A task tests a pair of blocks
-     on signatures and then on the full sets, each pair in the first bucket it shares only (told by the
-     bucket keys themselves), and puts out the links; those are verified on the full texts like the
-     others. Of two components one link in a task is enough. No link is lost to the pivots,
+     the bucket's largest component with all members of other components, where their set sizes can reach
+     the threshold (blocks hold one class of sizes and meet their own and the next class). A task tests a
+     pair of blocks on signatures and then on the full sets, each pair in the first bucket it shares only
+     (told by the bucket keys themselves), and puts out the links; those are verified on the full texts like
+     the others. Of two components one link in a task is enough. No link is lost to the pivots,
      no list of all pairs leaves a task, and blocks of about BLOCK members bound every task.
 
 Defined results: null or empty text has an empty set, is its own component and linked with nothing; a
@@ -25,6 +28,8 @@ are separate rows of the result; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,11 +40,11 @@ from .phrases import holders, identified, keyed_rows
 
 SHINGLE = 5
 THRESHOLD = 80
-N_HASH = 128
 BANDS = 32
-ROWS = N_HASH // BANDS
+ROWS = 5
+N_HASH = BANDS * ROWS
 #: Least number of equal minima of a pair that is looked at further: the mean at the threshold less 5.5 deviations.
-LEAST_EQUAL = 77
+LEAST_EQUAL = 100
 BLOCK = 128
 CHUNK = 500_000
 
@@ -82,7 +87,7 @@ def signatures(h: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def scan_sets(rows: DataFrame, width: int) -> DataFrame:
-    """doc_id, did, th, n (set size), node (key of the set, null if empty) and sig of every text."""
+    """doc_id, did, th, n (set size), key (of the set, null if empty) and sig of every text."""
 
     def run(batches):
         for b in batches:
@@ -90,17 +95,16 @@ def scan_sets(rows: DataFrame, width: int) -> DataFrame:
                 h, d = shingle_sets(c, width)
                 n = np.bincount(d, minlength=c.n)
                 full = np.flatnonzero(n)
-                key, sig = np.zeros(c.n, U64), [None] * c.n
+                key, sig = [None] * c.n, [None] * c.n
                 if len(full):
                     first = np.searchsorted(d, full)
-                    key[full] = mix(np.add.reduceat(mix(h ^ U64(0x8EBC6AF09C88C6E3)), first) + n[full].astype(U64))
-                    own = signatures(h, first)
-                    for k, s in zip(full.tolist(), own, strict=True):
-                        sig[k] = s.tobytes()
+                    sums = np.stack([np.add.reduceat(mix(h ^ U64(salt)), first) for salt in (0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)], axis=1)
+                    for k, x, s in zip(full.tolist(), sums, signatures(h, first), strict=True):
+                        key[k], sig[k] = x.tobytes(), s.tobytes()
                 a = int(c.rows[0])
-                yield pa.RecordBatch.from_arrays([*(b.column(k).slice(a, c.n) for k in range(3)), pa.array(n, pa.int64()), pa.array(key.view(np.int64), mask=n == 0), pa.array(sig, pa.binary())], ["doc_id", "did", "th", "n", "node", "sig"])
+                yield pa.RecordBatch.from_arrays([*(b.column(k).slice(a, c.n) for k in range(3)), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "did", "th", "n", "key", "sig"])
 
-    return rows.select("doc_id", "did", "th", "text").mapInArrow(run, "doc_id long, did long, th binary, n long, node long, sig binary")
+    return rows.select("doc_id", "did", "th", "text").mapInArrow(run, "doc_id long, did long, th binary, n long, key binary, sig binary")
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
@@ -131,17 +135,17 @@ def _signature_rows(column: pa.Array) -> np.ndarray:
 
 
 def signature_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures agree in at least LEAST_EQUAL minima."""
+    """(a, b, equal): the pairs whose signatures agree in at least LEAST_EQUAL minima."""
 
     def run(batches):
         for b in batches:
             if b.num_rows:
                 equal = (_signature_rows(b.column(2)) == _signature_rows(b.column(3))).sum(axis=1)
-                yield b.filter(pa.array(equal >= LEAST_EQUAL)).select([0, 1])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(equal, pa.int32())], ["a", "b", "equal"]).filter(pa.array(equal >= LEAST_EQUAL))
 
     own = nodes.select("node", "sig")
     joined = pairs.join(own.toDF("b", "sig_b"), "b").join(own.toDF("a", "sig_a"), "a")
-    return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, equal int")
 
 
 def linked_pairs(pairs: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -180,15 +184,19 @@ def _all_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "star-least")
+    out = materialize(both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")), "star")
+    drop_table(least)
+    return out
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(down.groupBy("u").agg(F.min("v").alias("m")), "star-least")
     moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    out = materialize(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "star")
+    drop_table(least)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -201,9 +209,10 @@ def components(edges: DataFrame) -> DataFrame:
         state = known.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before or not state[0]:
             return known.select(F.col("u").alias("node"), F.col("v").alias("comp"))
-        before, old = state, known
-        known = materialize(small_star(large_star(known)), "star")
-        drop_table(old)
+        before, large = state, large_star(known)
+        drop_table(known)
+        known = small_star(large)
+        drop_table(large)
 
 
 def with_component(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -238,21 +247,24 @@ def compact_sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 def block_links(opened: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """(a, b): likely links between different components of a bucket.
 
-    opened: bucket, band, node, comp, main (the bucket's largest component), m (members), most (in main).
+    opened: bucket, band, node, comp, main (the bucket's largest component). Sizes of two sets that reach the
+    threshold lie in one class or in two that follow each other.
     """
     rows = opened.join(sets, "node").withColumn("res", F.col("comp") != F.col("main"))
-    count = F.when(F.col("res"), F.col("m") - F.col("most")).otherwise(F.col("most"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(count / BLOCK)).cast("int"))
-    blocks = rows.groupBy("bucket", "res", "block").agg(F.collect_list(F.struct("node", "comp", "n", "sig8", "keys", "set64")).alias("own"))
+    rows = rows.withColumn("size", F.floor(F.log("n") / F.lit(math.log(100 / threshold))).cast("int"))
+    counts = rows.groupBy("bucket", "res", "size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    counts = materialize(counts, "minhash-counts")
+    rows = rows.join(counts, ["bucket", "res", "size"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    blocks = rows.groupBy("bucket", "band", "res", "size", "block").agg(F.collect_list(F.struct("node", "comp", "n", "sig8", "keys", "set64")).alias("own"))
     blocks = materialize(blocks, "minhash-blocks")
-    left = opened.select("bucket", "band", F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int").alias("nr"), F.ceil(F.col("most") / BLOCK).cast("int").alias("nm")).distinct()
-    left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
-    inner = left.select("bucket", "band", "block", F.lit(True).alias("res_b"), F.explode(F.sequence("block", F.col("nr") - 1)).alias("block_b"))
-    outer = left.select("bucket", "band", "block", F.lit(False).alias("res_b"), F.explode(F.sequence(F.lit(0), F.col("nm") - 1)).alias("block_b"))
-    pairs = inner.union(outer)
-    pairs = pairs.join(blocks.where("res").drop("res"), ["bucket", "block"])
-    other = blocks.select("bucket", F.col("res").alias("res_b"), F.col("block").alias("block_b"), F.col("own").alias("own_b"))
-    pairs = pairs.join(other, ["bucket", "res_b", "block_b"])
+    left = counts.where("res").select("bucket", "size", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    left = left.withColumn("size_b", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
+    other = counts.select("bucket", F.col("res").alias("res_b"), F.col("size").alias("size_b"), F.col("blocks").alias("blocks_b"))
+    pairs = left.join(other, ["bucket", "size_b"]).withColumn("block_b", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1)))
+    pairs = pairs.where("NOT res_b OR size < size_b OR size = size_b AND block <= block_b").select("bucket", "size", "block", "res_b", "size_b", "block_b")
+    pairs = pairs.join(blocks.where("res").drop("res"), ["bucket", "size", "block"])
+    other = blocks.select("bucket", F.col("res").alias("res_b"), F.col("size").alias("size_b"), F.col("block").alias("block_b"), F.col("own").alias("own_b"))
+    pairs = pairs.join(other, ["bucket", "res_b", "size_b", "block_b"])
 
     def run(batches):
         for b in batches:
@@ -261,9 +273,10 @@ def block_links(opened: DataFrame, sets: DataFrame, threshold: int) -> DataFrame
                 if len(a):
                     yield pa.record_batch({"a": pa.array(np.minimum(a, o)), "b": pa.array(np.maximum(a, o))})
 
-    links = pairs.select("band", (F.col("res_b") & (F.col("block") == F.col("block_b"))).alias("same"), "own", "own_b").mapInArrow(run, "a long, b long").distinct()
+    links = pairs.select("band", (F.col("res_b") & (F.col("size") == F.col("size_b")) & (F.col("block") == F.col("block_b"))).alias("same"), "own", "own_b").mapInArrow(run, "a long, b long").distinct()
     links = materialize(links, "minhash-pairs")
     drop_table(blocks)
+    drop_table(counts)
     return links
 
 
@@ -309,31 +322,33 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRE
     """doc_id, did, th, n, comp_did, comp_th: the first (did, th) of each row's component."""
     rows = identified(docs)
     scanned = materialize(scan_sets(rows, width), "minhash-scan")
-    nodes = scanned.where("node is not null").groupBy("node").agg(F.min(F.struct("did", "th")).alias("rep"), F.first("sig").alias("sig")).select("node", "rep.did", "rep.th", "sig")
+    nodes = scanned.where("key is not null").groupBy("key").agg(F.min(F.struct("did", "th")).alias("rep"), F.first("sig").alias("sig")).select(F.monotonically_increasing_id().alias("node"), "key", "rep.did", "rep.th", "sig")
     nodes = materialize(nodes, "minhash-nodes")
-    slim = materialize(scanned.drop("sig"), "minhash-slim")
+    slim = materialize(scanned.drop("sig").join(nodes.select("key", "node"), "key", "left").drop("key"), "minhash-slim")
     drop_table(scanned)
     bands = band_rows(nodes)
-    buckets = bands.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("pivot < _last").drop("_last")
+    # another pivot in each band: a node that misses one of them may be linked with the next
+    buckets = bands.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "band")).alias("pivot"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     members = materialize(bands.join(buckets, "bucket"), "minhash-members")
-    met = members.select("node").distinct().join(nodes, "node")
-    met = materialize(met, "minhash-met")
+    met = materialize(members.select("node").distinct().join(nodes.drop("key"), "node"), "minhash-met")
     drop_table(nodes)
     texts = materialize(holders(rows, met.select("did", "th", "node"), met.count()).select("node", "text"), "minhash-texts")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        return materialize(linked_pairs(signature_pairs(pairs, met), texts, width, threshold), "minhash-links")
-
-    first = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    labels = components(verified(first).toDF("u", "v"))
+    first = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    alike = materialize(signature_pairs(first, met).groupBy("a").agg(F.max_by("b", "equal").alias("b")), "minhash-alike")
+    labels = components(materialize(linked_pairs(alike, texts, width, threshold), "minhash-links").toDF("u", "v"))
     placed = with_component(members.drop("pivot"), labels)
     sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
-    main = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("m"), F.max("k").alias("most")).where("m > most")
+    main = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("m"), F.max("k").alias("most")).where("m > most").select("bucket", "main")
     opened = materialize(placed.join(main, "bucket"), "minhash-open")
     drop_table(members)
+    drop_table(alike)
     sets = compact_sets(texts.join(opened.select("node").distinct(), "node", "left_semi"), met, width)
     pairs = block_links(opened, sets, threshold)
+    drop_table(opened)
     labels = merge_links(labels, materialize(linked_pairs(pairs, texts, width, threshold), "minhash-links"))
+    for table in (pairs, texts, met):
+        drop_table(table)
     placed = slim.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     firsts = placed.where("comp is not null").groupBy("comp").agg(F.min(F.struct("did", "th")).alias("first"), F.min("doc_id").alias("least"))
     firsts = materialize(firsts, "minhash-firsts")  # a plain table, so that Spark can split a hot component in the join

@@ -210,12 +210,29 @@ def test_blocks_own_a_pair_by_its_bucket(spark):
     other[0] += 256
     nodes = spark.createDataFrame([(1, bytearray(sig.tobytes())), (2, bytearray(other.tobytes()))], "node long, sig binary")
     bands = neardup.band_rows(nodes)
-    opened = bands.join(bands.groupBy("bucket").count().where("count = 2"), "bucket").select("bucket", "band", "node", F.col("node").alias("comp"), F.lit(1).cast("long").alias("main"), F.lit(2).cast("long").alias("m"), F.lit(1).cast("long").alias("most"))
+    opened = bands.join(bands.groupBy("bucket").count().where("count = 2"), "bucket").select("bucket", "band", "node", F.col("node").alias("comp"), F.lit(1).cast("long").alias("main"))
     assert {r.band for r in opened.collect()} == set(range(1, neardup.BANDS))
     links = neardup.block_links(opened, neardup.compact_sets(texts, nodes, 4), 80)
     assert [tuple(r) for r in links.collect()] == [(1, 2)]
 
 
+def test_hub_edges_are_not_dealt_by_the_hub(spark):
+    """Large-star joins the least neighbours back without a shuffle of all edges by a hub (here by broadcast of a small table)."""
+    edges = [(k, 10**6 if k % 2 else k + 1) for k in range(3000)]
+    labels = dict(neardup.components(spark.createDataFrame(edges, "u long, v long")).collect())
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        a, b = root(u), root(v)
+        parent[max(a, b)] = min(a, b)
+    assert labels == {x: root(x) for x in parent if root(x) != x}
+
+
 def test_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 200 + k) for k in range(50)] + [(7, 7)]
     labels = dict(neardup.components(spark.createDataFrame(edges, "u long, v long")).collect())
@@ -237,6 +254,14 @@ def test_shards(docs, empty, spark):
     many = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("same text")).otherwise(F.repeat(F.lit("x"), (F.col("id") % 50).cast("int"))).alias("text"))
     sizes = [r.b for r in sharding.shard(many, range_rows=100).groupBy("shard").agg(F.sum("size").alias("b")).collect()]
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 2 * 51
+    alike = spark.range(4000).select(F.when(F.col("id") % 2 == 0, 7).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
+    keys = sharding.materialize(sharding.keyed(alike), "test")
+    _, counts = sharding.split_ranges(keys, range_rows=100)
+    assert max(c["n"] for c in counts) <= 200 and sum(c["n"] for c in counts) == 4000  # rows that are alike in all are divided too
+    slots = collections.defaultdict(list)
+    for r in sharding.shard(alike, range_rows=100).collect():
+        slots[r.shard].append(r.slot)
+    assert len(slots) == 8 and all(sorted(s) == list(range(500)) for s in slots.values())
 
 
 def test_written_shards(docs, spark):
