@@ -10,15 +10,18 @@ all lengths with one table lookup (256 x 4) and all values with one gather.
 Documents lie in ascending doc_id order: shard by shard, and by `seq` in a shard.
 
 Passes: (1) encode every whole text once and store the ids; (2) count ids over the corpus; (3) recode
-to ranks, range-partition by doc_id, and write. The rank table is bounded by the vocabulary.
+to ranks, range-partition by (doc_id, row number) at splitters drawn in proportion to size, and write. The
+rank table is bounded by the vocabulary; SAMPLES keys a shard reach the driver.
 
 Defined results: null or empty text holds the end id only; null doc_id sorts first; repeated doc_ids
-are kept, ordered by their bytes; an empty table gives an empty folder of the same schema; other
-columns are not written.
+are kept, in any order among themselves, and may lie on several shards; an empty table gives an empty
+folder of the same schema; other columns are not written. A very long text is encoded in one call and
+needs about 60 bytes of memory for each of its bytes.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 
@@ -33,6 +36,7 @@ END_ID = 2
 #: Slots of a worker's piece table (16 bytes each); when half are taken it forgets them all.
 PIECE_SLOTS = 1 << 22
 SHARD_BYTES = 64 << 20
+SAMPLES = 16
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -44,7 +48,7 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 # ---------------------------------------------------------------- encoding with the library
 
 class PieceTable:
-    """Ids of the pieces a worker has met, in an open-addressing numpy table keyed by 64 + 32 hash bits."""
+    """Ids of the pieces a worker has met, in an open-addressing numpy table keyed by 64 + 32 hash bits, with their bytes."""
 
     def __init__(self, slots: int):
         self.slots = slots
@@ -53,7 +57,17 @@ class PieceTable:
     def forget(self) -> None:
         self.key, self.check, self.index = np.zeros(self.slots, U64), np.zeros(self.slots, np.uint32), np.full(self.slots, -1, np.int32)
         self.starts, self.lens, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(8192, np.uint32)
-        self.n = self.n_flat = 0
+        self.raw_at, self.size, self.spaced, self.raw = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(65536, np.uint8)
+        self.n = self.n_flat = self.n_raw = 0
+
+    def same(self, which: np.ndarray, buf: np.ndarray, at: np.ndarray, size: np.ndarray, spaced: np.ndarray) -> np.ndarray:
+        """Whether the pieces buf[at : at + size] are, byte for byte, those that the table holds under which."""
+        ok = (which >= 0) & (self.size[which] == size) & (self.spaced[which] == spaced)
+        own = np.flatnonzero(ok)
+        differ = buf[ragged(at[own], size[own])] != self.raw[ragged(self.raw_at[which[own]], size[own])]
+        if differ.any():
+            ok[np.repeat(own, size[own])[differ]] = False
+        return ok
 
     def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
         """The number of each piece, or -1."""
@@ -67,11 +81,16 @@ class PieceTable:
             todo, slot = todo[go], (slot[go] + 1) & (self.slots - 1)
         return out
 
-    def add(self, key: np.ndarray, check: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> None:
-        """Put in distinct new pieces; ids holds the ids of one after another."""
-        n, m = self.n + len(key), self.n_flat + len(ids)
+    def add(self, key: np.ndarray, check: np.ndarray, ids: np.ndarray, lens: np.ndarray, raw: np.ndarray, size: np.ndarray, spaced: np.ndarray) -> None:
+        """Put in new pieces of distinct keys; ids and raw hold the ids and the bytes of one after another."""
+        n, m, z = self.n + len(key), self.n_flat + len(ids), self.n_raw + len(raw)
         if n > len(self.lens):
-            self.starts, self.lens = (np.concatenate((x, np.zeros(n + n // 2 - len(x), np.int64))) for x in (self.starts, self.lens))
+            self.starts, self.lens, self.raw_at, self.size, self.spaced = (np.concatenate((x, np.zeros(n + n // 2 - len(x), np.int64))) for x in (self.starts, self.lens, self.raw_at, self.size, self.spaced))
+        if z > len(self.raw):
+            self.raw = np.concatenate((self.raw, np.zeros(z + z // 2 - len(self.raw), np.uint8)))
+        self.raw_at[self.n : n] = self.n_raw + np.cumsum(size) - size
+        self.size[self.n : n], self.spaced[self.n : n] = size, spaced
+        self.raw[self.n_raw : z] = raw
         if m > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros(m + m // 2 - len(self.flat), np.uint32)))
         self.starts[self.n : n] = self.n_flat + np.cumsum(lens) - lens
@@ -85,7 +104,7 @@ class PieceTable:
             own, at = todo[put], slot[put]
             self.key[at], self.check[at], self.index[at] = key[own], check[own], self.n + own
             todo, slot = todo[~put], (slot[~put] + 1) & (self.slots - 1)
-        self.n, self.n_flat = n, m
+        self.n, self.n_flat, self.n_raw = n, m, z
 
 
 def _flags(values: bytes | range) -> np.ndarray:
@@ -107,8 +126,9 @@ class PieceEncoder:
     Texts are cut only where the vocabulary's pre-tokenizer always cuts: before a space that a non-space
     follows, around a single newline between printable ASCII characters, and before a full stop or comma
     between an ASCII letter and such a cut. No merge reaches over those cuts, so the ids of a text are
-    the ids of its pieces. Texts with other white space at a cut, or that may hold the string of a
-    special token, go to the library whole.
+    the ids of its pieces. A piece is known again by all its bytes; hashes only find it. Texts with other
+    white space at a cut, that may hold the string of a special token, or of which two pieces share a hash,
+    go to the library whole, and so do all texts if the file's normaliser or pre-tokenizer is another one.
     """
 
     def __init__(self, path: str):
@@ -116,6 +136,10 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        rule = spec["pre_tokenizer"] or {}
+        self.cuts = spec["normalizer"] is None and (rule.get("type"), rule.get("add_prefix_space"), rule.get("use_regex")) == ("ByteLevel", False, True)
         special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = [t for t in special if t]
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -129,7 +153,7 @@ class PieceEncoder:
         """Ids of the documents of a chunk, one after another, and how many each has."""
         buf, off = c.buf, c.off
         size = np.diff(off) - 1
-        whole = np.zeros(c.n, bool)
+        whole = np.full(c.n, not self.cuts)
         space = np.flatnonzero(buf == 32)
         unsure = space[_UNSURE[buf[space + 1]]]
         whole[doc_of(unsure, off)] = True
@@ -157,6 +181,9 @@ class PieceEncoder:
         end = np.minimum(np.where(np.append(doc[1:] != doc[:-1], True), off[doc + 1] - 1, end), off[doc + 1] - 1) if len(at) else at
         at, kind, doc, end = at[good], (kind[good] == 1).astype(np.int64), doc[good], end[good]
         which = self.numbers(buf, at, end, kind)
+        if (which < 0).any():
+            whole[doc[which < 0]] = True
+            which, doc = which[~whole[doc]], doc[~whole[doc]]
         lens = self.table.lens[which]
         ids = self.table.flat[ragged(self.table.starts[which], lens)]
         counts = np.bincount(doc, weights=lens, minlength=c.n).astype(np.int64)
@@ -171,7 +198,7 @@ class PieceEncoder:
         return ids, counts
 
     def numbers(self, buf: np.ndarray, at: np.ndarray, end: np.ndarray, spaced: np.ndarray) -> np.ndarray:
-        """Numbers in the table of the pieces buf[at:end]; unknown ones are learnt."""
+        """Numbers in the table of the pieces buf[at:end], or -1 for one whose hash another piece has; unknown ones are learnt."""
         if self.table.n > PIECE_SLOTS // 2:
             self.table.forget()
         key = stretch_hash(prefix_hash(buf), at, end) ^ (spaced.astype(U64) * U64(0x9FB21C651E98DF25))
@@ -186,9 +213,9 @@ class PieceEncoder:
             _, first = np.unique(key[missing], return_index=True)
             new = missing[first]
             ids, lens = self.learn([buf[a:e].tobytes().decode() for a, e in zip(at[new].tolist(), end[new].tolist(), strict=True)], spaced[new].tolist())
-            self.table.add(key[new], check[new], ids, lens)
+            self.table.add(key[new], check[new], ids, lens, buf[ragged(at[new], size[new])], size[new], spaced[new])
             which[missing] = self.table.find(key[missing], check[missing])
-        return which
+        return np.where(self.table.same(which, buf, at, size, spaced), which, -1)
 
     def learn(self, pieces: list[str], spaced: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces from the library: plain ones go in long lines, cut again by the bytes of their tokens."""
@@ -224,7 +251,7 @@ def encoder(path: str) -> PieceEncoder:
 
 
 def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id and the ids of each whole text with the end id, as little-endian 16- or 32-bit integers."""
+    """doc_id, r (row number), and the ids of each whole text with the end id, as little-endian 16- or 32-bit integers."""
     from tokenizers import Tokenizer
 
     wide = max(Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) - 1, end_id) > 0xFFFF
@@ -243,9 +270,9 @@ def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFr
                 width = out.itemsize
                 offsets = pa.py_buffer(np.concatenate(([0], ends * width)).astype(np.int32))
                 blobs = pa.Array.from_buffers(pa.binary(), c.n, [None, offsets, pa.py_buffer(out)])
-                yield pa.record_batch({"doc_id": b.column(0).slice(int(c.rows[0]), c.n), "ids": blobs})
+                yield pa.record_batch({"doc_id": b.column(0).slice(int(c.rows[0]), c.n), "r": b.column(2).slice(int(c.rows[0]), c.n), "ids": blobs})
 
-    out = docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, ids binary")
+    out = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.monotonically_increasing_id()).mapInArrow(run, "doc_id long, r long, ids binary")
     return out.withMetadata("ids", {"width": 4 if wide else 2})
 
 
@@ -301,6 +328,12 @@ def count_ids(encoded: DataFrame, kind: str) -> np.ndarray:
     return counts
 
 
+def _range_keys(doc_id: pa.Array, r: pa.Array) -> np.ndarray:
+    """Byte strings that order like (doc_id, r), null first."""
+    pair = np.stack([doc_id.fill_null(-(2**63)).to_numpy(), r.to_numpy()], axis=1).astype(np.int64)
+    return (pair.view(U64) ^ U64(1 << 63)).astype(">u8").view("S16").ravel()
+
+
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> None:
     """Encode docs (doc_id, text) and write them under path in the module's format."""
     spark = docs.sparkSession
@@ -314,22 +347,22 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     rank_of[by_rank] = np.arange(len(by_rank))
     total = int(counts.sum()) * 3 // 2
     n_shards = max(shuffle_partitions(spark), total // shard_bytes)
-    at = encoded.agg(F.percentile_approx("doc_id", [k / n_shards for k in range(1, n_shards)] or [0.5], 100 * n_shards).alias("q")).first()["q"]
-    bounds = np.unique(np.array(at or [], np.int64))
-    lowest = -(2**63)
+    chance = F.octet_length("ids") * F.lit(1.5 * SAMPLES / max(1, total)) * n_shards
+    drawn = encoded.where(F.shiftrightunsigned(F.xxhash64("doc_id", "r"), 11) / F.lit(float(2**53)) < chance).select("doc_id", "r").toArrow()
+    drawn = np.sort(_range_keys(drawn["doc_id"], drawn["r"]))
+    bounds = np.unique(drawn[np.arange(1, n_shards) * len(drawn) // n_shards]) if len(drawn) else drawn
 
     def recode(batches):
         for b in batches:
-            ids = b.column(0).fill_null(lowest).to_numpy()
-            shard = np.searchsorted(bounds, ids, side="left")
+            shard = np.searchsorted(bounds, _range_keys(b.column(0), b.column(1)), side="right")
             n, control, data = [], [], []
-            for blob in b.column(1):
+            for blob in b.column(2):
                 own = rank_of[np.frombuffer(blob.as_buffer(), kind)]
                 c, d = pack(own)
                 n.append(len(own))
                 control.append(c)
                 data.append(d)
-            yield pa.record_batch({"shard": pa.array(shard, pa.int32()), "doc_id": b.column(0), "n_tokens": pa.array(n, pa.int64()), "control": pa.array(control, pa.binary()), "bytes": pa.array(data, pa.binary())})
+            yield pa.record_batch({"shard": pa.array(shard, pa.int32()), "doc_id": b.column(0), "r": b.column(1), "n_tokens": pa.array(n, pa.int64()), "control": pa.array(control, pa.binary()), "bytes": pa.array(data, pa.binary())})
 
     def place(batches):
         shard = seq = start = 0
@@ -349,8 +382,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
             shard, seq, start = own[-1], int(pos[-1]) + 1, int(begin[-1] + n[-1])
             yield pa.record_batch({"shard": b.column(0), "doc_id": b.column(1), "seq": pa.array(pos), "start": pa.array(begin), "n_tokens": b.column(2), "control": b.column(3), "bytes": b.column(4)})
 
-    recoded = encoded.mapInArrow(recode, "shard int, doc_id long, n_tokens long, control binary, bytes binary")
-    ordered = recoded.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "doc_id", "n_tokens", "bytes")
+    recoded = encoded.mapInArrow(recode, "shard int, doc_id long, r long, n_tokens long, control binary, bytes binary")
+    ordered = recoded.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "doc_id", "r").drop("r")
     placed = ordered.mapInArrow(place, "shard int, doc_id long, seq long, start long, n_tokens long, control binary, bytes binary")
     placed.write.option("compression", "zstd").parquet(f"{path}/data")
     spark.createDataFrame([(k, int(i)) for k, i in enumerate(by_rank)], "rank int, id long").coalesce(1).write.parquet(f"{path}/ranks")

@@ -132,6 +132,17 @@ def test_token_file(spark, docs, empty):
     assert tokens.read_tokens(spark, path, tokens.ids_crc32).count() == 0
 
 
+def test_hot_doc_ids_lie_on_several_shards(spark):
+    path = new_path(spark, "test")
+    df = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("the same text in all rows").alias("text"))
+    tokens.write_tokens(df, tokens.vocabulary_path(), path, shard_bytes=200)
+    sizes = [r["count"] for r in spark.read.parquet(f"{path}/data").groupBy("shard").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 150
+    rows = sorted(tokens.read_tokens(spark, path, tokens.ids_crc32).collect(), key=lambda r: r.start)
+    ids = [LEAST if r.doc_id is None else r.doc_id for r in rows]
+    assert ids == sorted(ids) and len(rows) == 900 and [r.start for r in rows] == [k * rows[0].n_tokens for k in range(900)]
+
+
 def test_token_code_round_trip():
     r = np.random.default_rng(1)
     for n in (0, 1, 3, 4, 5, 1000):
@@ -152,6 +163,21 @@ def test_pieces_equal_the_library():
             at += 1
 
 
+def test_pieces_of_one_hash_and_other_files(monkeypatch):
+    """Pieces are known by their bytes: with a hash of two values the ids stay right; without cuts too."""
+    enc, r = tokens.PieceEncoder(tokens.vocabulary_path()), random.Random(2)
+    texts = [" ".join(r.choice(["alpha", "alphb", "bet", "gamma,", "x"]) for _ in range(9)) for _ in range(200)]
+    want = enc.library(texts)
+    monkeypatch.setattr(tokens, "stretch_hash", lambda prefix, start, end: (end - start).astype(np.uint64) % np.uint64(2))
+    for cuts in (True, False):
+        enc = tokens.PieceEncoder(tokens.vocabulary_path())
+        enc.cuts &= cuts
+        ids, counts = enc.encode(next(chunks_of(pa.array(texts))))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+    other = tokens.PieceEncoder(bpe.vocabulary_path())
+    assert not other.cuts and other.encode(next(chunks_of(pa.array(["Two Words"]))))[0].tolist() == other.library(["Two Words"])[0]
+
+
 # ---------------------------------------------------------------- 3: near duplicates
 
 
