@@ -52,9 +52,9 @@ RECORDS_AT_ONCE = 50_000
 KEY = f"S{SPAN + 8}"
 
 
-def pieces_of(column: pa.Array):
+def pieces_of(column: pa.Array, chunk: int):
     """Chunks of texts and pieces of long texts; every window lies in one of them whole, by its start."""
-    return chunks_of(column, CHUNK, WINDOW - 1)
+    return chunks_of(column, chunk, WINDOW - 1)
 
 
 def gram_hash(buf: np.ndarray, width: int) -> np.ndarray:
@@ -81,7 +81,7 @@ def scan_bytes(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "did", "th", F.length(own).cast("long").alias("n"), F.sha2(own, 256).alias("sha"))
 
 
-def recurring_anchors(rows: DataFrame, n_ranges: int) -> DataFrame:
+def recurring_anchors(rows: DataFrame, n_ranges: int, chunk: int = CHUNK) -> DataFrame:
     """(th, grams): the recurring anchors of a text (in parts)."""
     shift = U64(64 - 20)
     bound = (np.arange(1, n_ranges, dtype=U64) * U64(1 << 20)) // U64(n_ranges)
@@ -89,7 +89,7 @@ def recurring_anchors(rows: DataFrame, n_ranges: int) -> DataFrame:
     def emit(batches):
         for b in batches:
             ths = np.frombuffer(b"".join(b.column(0).to_pylist()), "<u8").reshape(-1, 2)
-            for c in pieces_of(b.column(1)):
+            for c in pieces_of(b.column(1), chunk):
                 starts, anchor, grams = anchored(c)
                 at = np.unique(anchor)
                 if not len(at):
@@ -219,7 +219,7 @@ def record_parts(c: Chunk, wanted: np.ndarray):
         yield at[own], lo[own], hi[own], contexts(c, at[own], lo[own], hi[own])
 
 
-def suffix_records(held: DataFrame, splitters: np.ndarray) -> DataFrame:
+def suffix_records(held: DataFrame, splitters: np.ndarray, chunk: int = CHUNK) -> DataFrame:
     """(bucket, uid, did, at, least, most, context) at every recurring anchor.
 
     least and most: the distances of the window starts from the anchor.
@@ -228,7 +228,7 @@ def suffix_records(held: DataFrame, splitters: np.ndarray) -> DataFrame:
     def run(batches):
         for b in batches:
             uids = b.column(0).to_numpy()
-            for c in pieces_of(b.column(2)):
+            for c in pieces_of(b.column(2), chunk):
                 for at, lo, hi, context in record_parts(c, _wanted(b.column(3), c.rows)):
                     d = doc_of(at, c.off)
                     rows = pa.array(c.rows[d])
@@ -239,7 +239,7 @@ def suffix_records(held: DataFrame, splitters: np.ndarray) -> DataFrame:
     return held.select("uid", "did", "text", "grams").mapInArrow(run, "bucket int, uid long, did long, at long, least int, most int, context binary")
 
 
-def sample_splitters(held: DataFrame, n_held: int, n_records: int, n_buckets: int) -> np.ndarray:
+def sample_splitters(held: DataFrame, n_held: int, n_records: int, n_buckets: int, chunk: int = CHUNK) -> np.ndarray:
     """Splitters of n_buckets ranges: quantiles of the keys of sampled suffixes."""
     wanted = max(SAMPLE_SUFFIXES, SAMPLE_EACH * n_buckets)
     every = max(1, n_held // max(SAMPLE_DOCS, n_buckets))
@@ -248,7 +248,7 @@ def sample_splitters(held: DataFrame, n_held: int, n_records: int, n_buckets: in
     def run(batches):
         for b in batches:
             uids = b.column(0).to_numpy()
-            for c in pieces_of(b.column(1)):
+            for c in pieces_of(b.column(1), chunk):
                 for at, _, _, context in record_parts(c, _wanted(b.column(2), c.rows)):
                     own = split_keys(context, uids[c.rows[doc_of(at, c.off)]])[step // 2 :: step]
                     yield pa.record_batch({"key": pa.array([x.ljust(SPAN + 8, b"\0") for x in own.tolist()], pa.binary())})
@@ -389,7 +389,7 @@ def across_boundaries(marks: DataFrame) -> DataFrame:
     return windows.join(least, "window").where("did > lo").select("uid", "at", "mask")
 
 
-def remove_bytes(rows: DataFrame) -> DataFrame:
+def remove_bytes(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(did, th, n_removed, n_spans, kept). rows: did, th, text, grams, marks (array of struct at, mask).
 
     A mark stands for all records of its document (of its piece, if it is long) that are alike.
@@ -423,7 +423,7 @@ def remove_bytes(rows: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             gone, text = [], []
-            for c in pieces_of(b.column(2)):
+            for c in pieces_of(b.column(2), chunk):
                 wanted = _wanted(b.column(3), c.rows)
                 own = [b.column(4)[int(r)].values for r in c.rows]
                 at = np.concatenate([np.asarray(x.field(0), np.int64) + c.off[k] for k, x in enumerate(own)]) - c.base
@@ -451,7 +451,7 @@ def remove_bytes(rows: DataFrame) -> DataFrame:
     return rows.select("did", "th", "text", "grams", "marks").mapInArrow(run, "did long, th binary, n_removed long, n_spans long, kept binary")
 
 
-def dedup_suffixes(docs: DataFrame, bucket_records: int = BUCKET_RECORDS) -> tuple[DataFrame, DataFrame]:
+def dedup_suffixes(docs: DataFrame, bucket_records: int = BUCKET_RECORDS, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     """(verdicts, changed): doc_id, did, th, n, sha, copy for every row; and did, th, n_removed, n_spans,
     kept for the distinct rows, other than whole copies, of which bytes were removed."""
     spark = docs.sparkSession
@@ -461,7 +461,7 @@ def dedup_suffixes(docs: DataFrame, bucket_records: int = BUCKET_RECORDS) -> tup
     verdicts = scanned.join(copies, "sha", "left").withColumn("copy", F.coalesce(F.col("did") > F.col("rep"), F.lit(False)) & (F.col("n") >= WINDOW)).drop("rep")
     size = scanned.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n_ranges = int(max(shuffle_partitions(spark), size // RANGE_BYTES))
-    found = materialize(recurring_anchors(rows, n_ranges), "suffix-anchors")
+    found = materialize(recurring_anchors(rows, n_ranges, chunk), "suffix-anchors")
     reps = scanned.groupBy("th").agg(F.min("did").alias("did"))
     n_grams = F.sum(F.octet_length("grams") / 8).cast("long").alias("n_grams")
     keys = found.groupBy("th").agg(F.collect_list("grams").alias("grams"), n_grams).join(reps, "th")
@@ -471,11 +471,11 @@ def dedup_suffixes(docs: DataFrame, bucket_records: int = BUCKET_RECORDS) -> tup
     held = materialize(holders(rows, keys.drop("n_grams"), n_held), "suffix-texts")
     drop_table(keys)
     n_buckets = int(max(shuffle_partitions(spark), n_records // bucket_records))
-    splitters = sample_splitters(held, n_held, n_records, n_buckets)
-    marks = materialize(sorted_marks(suffix_records(held, splitters), n_buckets, splitters), "suffix-marks")
+    splitters = sample_splitters(held, n_held, n_records, n_buckets, chunk)
+    marks = materialize(sorted_marks(suffix_records(held, splitters, chunk), n_buckets, splitters), "suffix-marks")
     marks = marks.where("window is null").select("uid", "at", "mask").union(across_boundaries(marks))
     marked = marks.groupBy("uid").agg(F.collect_list(F.struct("at", "mask")).alias("marks"))
-    return verdicts, remove_bytes(held.join(marked, "uid"))
+    return verdicts, remove_bytes(held.join(marked, "uid"), chunk)
 
 
 def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:

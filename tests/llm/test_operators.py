@@ -402,13 +402,17 @@ def test_a_rejection_holds_for_its_own_text(spark):
 # ---------------------------------------------------------------- 6: chat
 
 
-def test_chat(spark):
+@pytest.mark.parametrize("piece", [2_000_000, 100])
+def test_chat(spark, piece):
     r = random.Random(5)
     parts = ["<", "\\", "s>", "/s>", "<s>", "</s>", "[", "INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "\n", "␊", "␀", "␁", "é", " "]
     turns = [(c, k, r.choice(["user", "assistant", "system", None, "odd\nrole<s>"]), None if r.random() < 0.1 else "".join(r.choice(parts) for _ in range(r.randint(0, 9)))) for c in range(40) for k in range(r.randint(1, 9))]
     turns += [(77, k, "assistant", "x" * 50) for k in range(3000)] + [(None, 0, "user", "no id"), (3, 0, "user", "again"), (3, 0, "user", "again")]
     df = spark.createDataFrame([(*t, "e") for t in turns], "conv_id long, turn long, role string, text string, segment string").repartition(4)
-    rows = {x.conv_id: x for x in chat.chat_digest(chat.format_chat(df)).collect()}
+    path = new_path(spark, "chat")
+    chat.write_chat(df, path, piece)
+    written = spark.read.parquet(path)
+    rows = {x.conv_id: x for x in chat.chat_digest(written).collect()}
     groups = collections.defaultdict(list)
     for c, k, role, text in turns:
         groups[c].append((k, role or "", text or "", role is not None, text is not None))
@@ -420,8 +424,16 @@ def test_chat(spark):
         assert (x.n_turns, x.loss_chars) == (len(own), len(loss))
         assert x.turns_sha256 == hashlib.sha256("".join(f"{role}\n{t}\n" for _, role, t, _, _ in own).encode()).hexdigest()
         assert x.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
-    for s in chat.format_chat(df).select("segment").collect():
-        assert not re.search(r"</?s>|\[/?INST\]|<</?SYS>>", s.segment[3:-5])
+    per = {r.conv_id: r["count"] for r in written.groupBy("conv_id").count().collect()}
+    assert (piece > 100) == (per[77] == 1) and (piece == 100 or written.count() < len(turns) / 5)  # rows are not turns: the marks are
+    back = collections.defaultdict(list)
+    for r in sorted(chat.read_turns(written).collect(), key=lambda r: (r.seq, r.place)):
+        back[r.conv_id].append((r.role, r.text))
+    for c, own in groups.items():
+        assert back[c] == [(role, t) for _, role, t, _, _ in own]
+    for s in written.select("text").collect():
+        inside = s.text.split("</s>\n")
+        assert inside[-1] == "" and not any(re.search(r"</?s>|\[/?INST\]|<</?SYS>>", x[3:]) or x[:3] != "<s>" for x in inside[:-1])
     assert chat.chat_digest(chat.format_chat(df.limit(0))).count() == 0
 
 
@@ -571,15 +583,14 @@ def first_ids(split, width):
 
 
 @pytest.mark.parametrize("bucket, chunk", [(200_000, 400_000), (40, 3_000)])
-def test_bytes(spark, docs, empty, monkeypatch, bucket, chunk):
+def test_bytes(spark, docs, empty, bucket, chunk):
     """All rows, in one bucket a task, and with so many splitters and pieces that windows lie on both sides of them."""
-    monkeypatch.setattr(suffixes, "CHUNK", chunk)
 
     def split(t):
         return (t or "").encode()
 
     seen = first_ids(split, 50)
-    verdicts, changed = suffixes.dedup_suffixes(docs, bucket)
+    verdicts, changed = suffixes.dedup_suffixes(docs, bucket, chunk)
     kept = {(x.did, bytes(x.th)): x for x in changed.collect()}
     rows = {(x.did, bytes(x.th)): x for x in verdicts.collect()}
     assert verdicts.count() == len(DOCS)
