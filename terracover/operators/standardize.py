@@ -87,3 +87,9 @@ def to_points(df: DataFrame, lat: str, lon: str, crs: str = "EPSG:4326") -> Data
 def key_minus(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """U4: distinct keys of left that right lacks."""
     return left.select(key).distinct().join(right.select(key).distinct(), key, "left_anti")
+
+
+def choropleth(aggregate: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns in keep, all totals, and the geometry if there is one; nothing else reaches the payload."""
+    own = [c for c in aggregate.columns if c in keep or c.startswith("total_") or c == "geometry"]
+    return aggregate.select(*own)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import html as H
 from ..functions import text as X
 from ..functions.geometry import contains, edges
 from ..functions.html import script_urls, stylesheet_urls
@@ -19,10 +20,13 @@ from ..operators import checks as C
 from ..operators import encode as E
 from ..operators import geocode as G
 from ..operators import spatial as P
+from ..operators.standardize import choropleth
 from ..operators.standardize import client_properties as properties
 from ..operators.standardize import enrich_units as enrich
 from ..operators.standardize import key_minus
 from ..operators.standardize import unit_dimensions as dimensions
+from ..sources import files as S
+from ..sources import json_files as J
 from .registry import query
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -58,24 +62,26 @@ CATEGORISED = f"SELECT *, CASE WHEN source = 'supplier' THEN 'BANK' ELSE 'COOP'
 
 
 def units(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations, and one unit more for each region, in which no register has a point."""
     nations, regions = table(spark, sf, "nation"), table(spark, sf, "region")
-    return nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("unit"), F.col("n_name").alias("unit_name"), F.col("r_name").alias("region"))
+    own = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("unit"), F.col("n_name").alias("unit_name"), F.col("r_name").alias("region"))
+    return own.union(regions.select(F.col("r_regionkey") + 103, "r_name", "r_name"))
 
 
-UNITS = "SELECT n_nationkey unit, n_name unit_name, r_name region FROM nation JOIN region ON n_regionkey = r_regionkey"
+UNITS = "SELECT n_nationkey unit, n_name unit_name, r_name region FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT r_regionkey + 103, r_name, r_name FROM region"
 BRANDS = [*COOP, "SUPPLIER"]
 
 
-def wide_counts(spark: SparkSession, sf: str, extra: str = "unit % 5 <> 3") -> DataFrame:
-    """A1, A2 over a part of the units, so that some units stay empty."""
-    counts = A.count_points(categorised(spark, sf).where(extra), "unit", "category", "brand")
+def wide_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, A2."""
+    counts = A.count_points(categorised(spark, sf), "unit", "category", "brand")
     return A.pivot_counts(counts, BRANDS, "unit", "category", "brand", {"total_coop": "COOP", "total_bank": "BANK"})
 
 
-def _sums(extra: str = "unit % 5 <> 3") -> str:
+def _sums() -> str:
     brands = ", ".join(f"CAST(count(CASE WHEN brand = '{b}' THEN 1 END) AS BIGINT) total_{b.lower()}" for b in BRANDS)
     return f"""SELECT unit, CAST(count(*) AS BIGINT) total_geral, CAST(count(CASE WHEN category = 'COOP' THEN 1 END) AS BIGINT) total_coop,
-    CAST(count(CASE WHEN category = 'BANK' THEN 1 END) AS BIGINT) total_bank, {brands} FROM ({CATEGORISED}) WHERE {extra} GROUP BY unit"""
+    CAST(count(CASE WHEN category = 'BANK' THEN 1 END) AS BIGINT) total_bank, {brands} FROM ({CATEGORISED}) GROUP BY unit"""
 
 
 TOTALS = ["total_geral", "total_coop", "total_bank", *(f"total_{b.lower()}" for b in BRANDS)]
@@ -140,11 +146,11 @@ def bucket_detail(spark, sf):
     return A.bucket_detail(rows, "unit", "brand", "mark", "other")
 
 
-@query("detail_join", "SELECT CAST(n_nationkey AS INTEGER) unit, coalesce(d, '') outras_coops_detalhe FROM nation LEFT JOIN (SELECT unit, string_agg(brand || ' ' || n, ' · ' ORDER BY n DESC, brand) d FROM (SELECT c_nationkey unit, c_mktsegment brand, count(*) n FROM customer WHERE c_nationkey % 2 = 0 GROUP BY ALL) GROUP BY unit) ON unit = n_nationkey")
+@query("detail_join", f"SELECT u.unit, coalesce(d, '') outras_coops_detalhe FROM ({UNITS}) u LEFT JOIN (SELECT unit, string_agg(brand || ' ' || n, ' · ' ORDER BY n DESC, brand) d FROM (SELECT c_nationkey unit, c_mktsegment brand, count(*) n FROM customer GROUP BY ALL) GROUP BY unit) w ON w.unit = u.unit")
 def detail_join(spark, sf):
     """J2."""
-    rows = table(spark, sf, "customer").where("c_nationkey % 2 = 0").select(F.col("c_nationkey").alias("unit"), F.lit("other").alias("brand"), F.col("c_mktsegment").alias("mark"))
-    return A.join_detail(table(spark, sf, "nation").select(F.col("n_nationkey").alias("unit")), A.bucket_detail(rows, "unit", "brand", "mark", "other"), "unit")
+    rows = table(spark, sf, "customer").select(F.col("c_nationkey").alias("unit"), F.lit("other").alias("brand"), F.col("c_mktsegment").alias("mark"))
+    return A.join_detail(units(spark, sf).select("unit"), A.bucket_detail(rows, "unit", "brand", "mark", "other"), "unit")
 
 
 @query("reconcile_totals", f"SELECT unit, total_geral FROM ({AGGREGATE}) WHERE total_geral <> total_coop + total_bank OR total_geral <> {' + '.join(f'total_{b.lower()}' for b in BRANDS)}")
@@ -168,14 +174,16 @@ def affiliate_roots(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", first_match([("affiliate", root.isin("00000000", "00000001", "00000012"))], F.lit("other")).alias("brand"))
 
 
+_SCOPED = f"SELECT * FROM ({AGGREGATE}) WHERE region IN ('AFRICA', 'AMERICA', 'EUROPE')"
+
+
 @query("coverage_summary", f"""SELECT CAST(count(*) AS BIGINT) units, CAST(count(CASE WHEN total_geral > 0 THEN 1 END) AS BIGINT) served, CAST(count(CASE WHEN total_geral = 0 THEN 1 END) AS BIGINT) unserved,
 CAST(sum(CASE WHEN total_geral = 0 THEN populacao END) AS BIGINT) unserved_population, CAST(median(CASE WHEN total_geral = 0 THEN populacao END) AS DOUBLE) unserved_population_median,
-CAST((SELECT count(*) FROM ({CATEGORISED}) WHERE unit % 5 = 3 AND unit NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey < 20)) AS BIGINT) points_outside FROM ({AGGREGATE})""")
+CAST((SELECT count(*) FROM ({CATEGORISED}) WHERE unit NOT IN (SELECT unit FROM ({_SCOPED}))) AS BIGINT) points_outside FROM ({_SCOPED})""")
 def coverage_summary(spark, sf):
-    """A12."""
-    known = units(spark, sf).where("unit < 20").select("unit")
-    outside = A.unmatched(categorised(spark, sf).where("unit % 5 = 3"), known, "unit").agg(F.count("*").alias("points_outside"))
-    return A.coverage_summary(aggregate(spark, sf).withColumnRenamed("unit", "municipio_ibge"), registers(spark, sf).limit(0).withColumnRenamed("unit", "municipio_ibge")).drop("points_outside").crossJoin(outside)
+    """Units of three regions; the points of the others are outside."""
+    own = aggregate(spark, sf).where(F.col("region").isin("AFRICA", "AMERICA", "EUROPE"))
+    return A.coverage_summary(own.withColumnRenamed("unit", "municipio_ibge"), categorised(spark, sf).withColumnRenamed("unit", "municipio_ibge"))
 
 
 @query("column_totals", " UNION ALL ".join(f"SELECT '{c}' AS name, CAST(sum({c}) AS BIGINT) total, CAST(count(CASE WHEN {c} > 0 THEN 1 END) AS BIGINT) units FROM ({AGGREGATE})" for c in TOTALS))
@@ -523,7 +531,7 @@ def median_index_3(spark, sf):
     return _as_double(G.consolidate(_lines(spark, sf), "mun", "chave", "num"))
 
 
-@query("lookup_cascade", f"""WITH i3 AS (SELECT mun, chave, num, {_MEDIANS} FROM ({_LINES}) WHERE num < 3 GROUP BY ALL), i2 AS (SELECT mun, chave, {_MEDIANS} FROM ({_LINES}) WHERE num < 5 GROUP BY ALL), i1 AS (SELECT mun, {_MEDIANS} FROM ({_LINES}) WHERE mun % 2 = 0 GROUP BY ALL)
+@query("lookup_cascade", f"""WITH i3 AS (SELECT mun, chave, num, {_MEDIANS} FROM ({_LINES}) WHERE num < 3 GROUP BY ALL), i2 AS (SELECT mun, chave, {_MEDIANS} FROM ({_LINES}) WHERE num < 5 GROUP BY ALL), i1 AS (SELECT mun, {_MEDIANS} FROM ({_LINES}) WHERE num < 7 GROUP BY ALL)
 SELECT t.l_orderkey, t.l_linenumber, coalesce(a.lat, b.lat, c.lat) latitude, coalesce(a.lon, b.lon, c.lon) longitude, CASE WHEN a.lat IS NOT NULL THEN 'exact' WHEN b.lat IS NOT NULL THEN 'street' WHEN c.lat IS NOT NULL THEN 'locality' ELSE '' END precisao
 FROM lineitem t LEFT JOIN i3 a ON a.mun = l_partkey AND a.chave = l_suppkey AND a.num = l_linenumber LEFT JOIN i2 b ON b.mun = l_partkey AND b.chave = l_suppkey LEFT JOIN i1 c ON c.mun = l_partkey""")
 def lookup_cascade(spark, sf):
@@ -531,7 +539,7 @@ def lookup_cascade(spark, sf):
     lines = _lines(spark, sf)
     i3 = G.consolidate(lines.where("num < 3"), "mun", "chave", "num")
     i2 = G.consolidate(lines.where("num < 5"), "mun", "chave")
-    i1 = G.consolidate(lines.where("mun % 2 = 0"), "mun")
+    i1 = G.consolidate(lines.where("num < 7"), "mun")
     unit, key, num = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber").cast("double")
     out = G.cascade(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), [("exact", i3, [unit, key, num]), ("street", i2, [unit, key]), ("locality", i1, [unit])])
     return out.select("l_orderkey", "l_linenumber", "latitude", "longitude", "precisao")
@@ -574,12 +582,12 @@ def place_or_fallback(spark, sf):
     return placed.select("event_id", "precisao", F.when(F.col("precisao") == "endereço", F.col("longitude")).alias("x"))
 
 
-_SPOTS = "SELECT l_orderkey * 10 + l_linenumber AS _rid, l_quantity - 26 latitude, floor(l_extendedprice / 5000) - 5 longitude FROM lineitem WHERE l_orderkey % 10 = 0"
+_SPOTS = "SELECT l_orderkey * 10 + l_linenumber AS _rid, l_quantity - 26 latitude, floor(l_extendedprice / 5000) - 5 longitude FROM lineitem"
 _FAN = f"""SELECT *, 20.0 * sqrt(i / greatest(n - 1, 1)) AS dist, i * (pi() * (3 - sqrt(5))) AS angle FROM (SELECT *, row_number() OVER (PARTITION BY latitude, longitude ORDER BY _rid) - 1 i, count(*) OVER (PARTITION BY latitude, longitude) n FROM ({_SPOTS}))"""
 
 
 def _spots(spark, sf):
-    return table(spark, sf, "lineitem").where("l_orderkey % 10 = 0").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_rid"), (F.col("l_quantity") - 26).alias("latitude"), (F.floor(F.col("l_extendedprice") / 5000) - 5).cast("double").alias("longitude"), F.lit("logradouro").alias("precisao"))
+    return table(spark, sf, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_rid"), (F.col("l_quantity") - 26).alias("latitude"), (F.floor(F.col("l_extendedprice") / 5000) - 5).cast("double").alias("longitude"), F.lit("logradouro").alias("precisao"))
 
 
 @query("fan_out", f"SELECT n_same, CAST(count(*) AS BIGINT) points, round(sum(dist), 3) total_dist, round(max(dist), 6) most FROM (SELECT n n_same, sqrt(power((lat2 - latitude) * 111320, 2) + power((lon2 - longitude) * 111320 * cos(radians(latitude)), 2)) dist FROM (SELECT *, latitude + dist * sin(angle) / 111320 lat2, longitude + dist * cos(angle) / (111320 * cos(radians(latitude))) lon2 FROM ({_FAN}))) GROUP BY n_same")
@@ -591,10 +599,10 @@ def fan_out(spark, sf):
     return rows.withColumn("dist", metres).join(sizes, ["latitude", "longitude"]).groupBy("n_same").agg(F.count("*").alias("points"), F.round(F.sum("dist"), 3).alias("total_dist"), F.round(F.max("dist"), 6).alias("most"))
 
 
-@query("fan_out_revert", "SELECT event_id, round(CASE WHEN abs(lon2 - 5) + abs(lat2 - 5) < 5 THEN lon2 ELSE x END, 9) longitude, round(CASE WHEN abs(lon2 - 5) + abs(lat2 - 5) < 5 THEN lat2 ELSE y END, 9) latitude FROM (SELECT *, x + 0.5 lon2, y + 0.25 lat2 FROM (" + POINTS_SQL + ") WHERE k = 0)")
+@query("fan_out_revert", f"SELECT event_id, round(CASE WHEN {INSIDE_SQL} THEN x ELSE x - 0.5 END, 9) longitude, round(CASE WHEN {INSIDE_SQL} THEN y ELSE y - 0.25 END, 9) latitude FROM (SELECT event_id, k, x + 0.5 x, y + 0.25 y FROM ({POINTS_SQL}))")
 def fan_out_revert(spark, sf):
     """G7."""
-    rows = shape_points(spark, sf).where("municipio_ibge = 0").withColumns({"lon_nova": F.col("longitude") + 0.5, "lat_nova": F.col("latitude") + 0.25})
+    rows = shape_points(spark, sf).withColumns({"lon_nova": F.col("longitude") + 0.5, "lat_nova": F.col("latitude") + 0.25})
     return P.revert_outside(rows, shapes(spark)).select("event_id", F.round("longitude", 9).alias("longitude"), F.round("latitude", 9).alias("latitude"))
 
 
@@ -612,14 +620,18 @@ def box_zoom(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", P.zoom_of(F.lit(-30.0), F.lit(0.0), F.lit(-30.0) + (k % 60) / 3.0, (k % 90) / 2.0).alias("zoom"))
 
 
-@query("dissolve_edges", "WITH e AS (SELECT n_regionkey, n_nationkey x, 0 y, unnest([[x, 0, x + 1, 0], [x + 1, 0, x + 1, 1], [x, 1, x + 1, 1], [x, 0, x, 1]]) e FROM nation) SELECT n_regionkey, CAST(count(*) AS BIGINT) edges FROM (SELECT n_regionkey, e FROM e GROUP BY ALL HAVING count(*) = 1) GROUP BY n_regionkey")
-def dissolve_edges(spark, sf):
-    """Unit squares in a row, one a nation, dissolved by region."""
+def cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Unit squares in a row, one a nation, as units with a code."""
     x = F.col("n_nationkey").cast("double")
     pt = lambda a, b: F.struct(a.alias("x"), F.lit(float(b)).alias("y"))
     ring = F.struct(F.lit(0).alias("part"), F.lit(0).alias("ring"), F.array(pt(x, 0), pt(x + 1, 0), pt(x + 1, 1), pt(x, 1)).alias("pts"))
-    cells = table(spark, sf, "nation").select("n_regionkey", F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("rings")).alias("geometry"))
-    return P.dissolve(cells, "n_regionkey").groupBy("n_regionkey").agg(F.count("*").alias("edges"))
+    return table(spark, sf, "nation").select(F.col("n_nationkey").alias("municipio_ibge"), "n_name", "n_regionkey", F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("rings")).alias("geometry"))
+
+
+@query("dissolve_edges", "WITH e AS (SELECT n_regionkey, n_nationkey x, 0 y, unnest([[x, 0, x + 1, 0], [x + 1, 0, x + 1, 1], [x, 1, x + 1, 1], [x, 0, x, 1]]) e FROM nation) SELECT n_regionkey, CAST(count(*) AS BIGINT) edges FROM (SELECT n_regionkey, e FROM e GROUP BY ALL HAVING count(*) = 1) GROUP BY n_regionkey")
+def dissolve_edges(spark, sf):
+    """Unit squares in a row, one a nation, dissolved by region."""
+    return P.dissolve(cells(spark, sf), "n_regionkey").groupBy("n_regionkey").agg(F.count("*").alias("edges"))
 
 
 # ---------------------------------------------------------------- payload and client analytics
@@ -737,8 +749,121 @@ def json_output(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", F.to_json(F.struct(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))).alias("line"))
 
 
-@query("representative_point", None)
+@query("representative_point", "SELECT n_nationkey AS municipio_ibge, n_nationkey + 0.5::DOUBLE x, 0.5::DOUBLE y, true inside FROM nation")
 def representative_point(spark, sf):
-    """The unit's own point, and that it lies inside (no rows of another kind exist)."""
-    spots = P.representative_points(shapes(spark))
-    return spots.join(shapes(spark), "municipio_ibge").select("municipio_ibge", F.col("_inside.x").alias("x"), F.col("_inside.y").alias("y"), contains(edges(F.col("geometry.rings")), F.col("_inside.x"), F.col("_inside.y")).alias("inside"))
+    """A point of each unit, and that it lies inside."""
+    spots = P.representative_points(cells(spark, sf))
+    return spots.join(cells(spark, sf), "municipio_ibge").select("municipio_ibge", F.col("_inside.x").alias("x"), F.col("_inside.y").alias("y"), contains(edges(F.col("geometry.rings")), F.col("_inside.x"), F.col("_inside.y")).alias("inside"))
+
+
+# ---------------------------------------------------------------- sources and sinks: written, read back, compared
+
+
+@query("parquet_round_trip", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def parquet_round_trip(spark, sf):
+    """A table written, and the columns that its reader asks for."""
+    path = S.shared_path(spark, "points")
+    S.write_table(table(spark, sf, "customer"), path)
+    return S.read_points(spark, path, ["c_custkey", "c_name", "c_acctbal"]).select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("geocoded_columns", "SELECT o_orderkey, o_totalprice FROM orders")
+def geocoded_columns(spark, sf):
+    """K3: a table written without its working columns."""
+    path = S.shared_path(spark, "geocoded")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    S.write_geocoded(rows.withColumns({c: F.lit("work") for c in G.WORK_COLUMNS}), path)
+    return spark.read.parquet(path)
+
+
+@query("geoparquet_round_trip", "SELECT n_nationkey AS municipio_ibge, 'Polygon' AS type, n_nationkey::DOUBLE west, (n_nationkey + 1)::DOUBLE east, 0.0::DOUBLE south, 1.0::DOUBLE north FROM nation")
+def geoparquet_round_trip(spark, sf):
+    """Geometries as WKB with a declared reference system, and their boxes after reading."""
+    path = S.shared_path(spark, "geo")
+    S.write_geo(cells(spark, sf), path)
+    pts = F.flatten("geometry.rings.pts")
+    xs, ys = F.transform(pts, lambda p: p["x"]), F.transform(pts, lambda p: p["y"])
+    return S.read_geo(spark, path, ["municipio_ibge"]).select("municipio_ibge", "geometry.type", F.array_min(xs).alias("west"), F.array_max(xs).alias("east"), F.array_min(ys).alias("south"), F.array_max(ys).alias("north"))
+
+
+@query("geojson_round_trip", "SELECT lpad(CAST(n_nationkey AS VARCHAR), 7, '0') codarea, n_nationkey::DOUBLE west, (n_nationkey + 1)::DOUBLE east FROM nation")
+def geojson_round_trip(spark, sf):
+    """One collection a region, each feature as written, read again together."""
+    folder = S.shared_path(spark, "features")
+    x = F.col("municipio_ibge")
+    corners = F.concat_ws(",", *(F.concat(F.lit("["), (x + a).cast("string"), F.lit(f",{b}]")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))))
+    shape = F.concat(F.lit('{"type":"Polygon","coordinates":[['), corners, F.lit("]]}"))
+    rows = cells(spark, sf).select("n_regionkey", F.struct(F.lpad(x.cast("string"), 7, "0").alias("codarea")).alias("properties"), shape.alias("geometry_json"))
+    S.write_features(rows, f"{folder}/lines")
+    lines = spark.read.text(f"{folder}/lines").withColumn("group", F.substring(F.get_json_object("value", "$.properties.codarea"), 7, 1))
+    whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}"))  # one state's features
+    lines.groupBy("group").agg(whole.alias("value")).write.partitionBy("group").text(f"{folder}/collections")
+    read = J.read_boundaries(spark, f"{folder}/collections")
+    xs = F.transform(F.flatten("geometry.rings.pts"), lambda p: p["x"])
+    return read.select("codarea", F.array_min(xs).alias("west"), F.array_max(xs).alias("east"))
+
+
+@query("unit_names_source", "SELECT lpad(CAST(n_nationkey AS VARCHAR), 7, '0') municipio_ibge, n_name AS municipio_nome FROM nation")
+def unit_names_source(spark, sf):
+    """A JSON list of ids and names."""
+    path = S.shared_path(spark, "names")
+    rows = table(spark, sf, "nation").agg(F.to_json(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("nome")))).alias("value"))  # one small file
+    rows.coalesce(1).write.text(path)
+    return J.read_unit_names(spark, path)
+
+
+@query("csv_export", "SELECT CAST(c_custkey AS VARCHAR) c_custkey, c_name, c_mktsegment FROM customer")
+def csv_export(spark, sf):
+    """K4: any suffix but .parquet gives CSV with a header."""
+    path = S.shared_path(spark, "report") + ".csv"
+    S.export(table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment"), path)
+    return spark.read.option("header", True).csv(path)
+
+
+@query("payload_files", "SELECT o_orderkey AS _pos, o_orderpriority AS value FROM orders")
+def payload_files(spark, sf):
+    """K6: encoded points and their dictionary written as JSON, and decoded again."""
+    path = S.shared_path(spark, "payload")
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("_pos"), "o_orderpriority", F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"))
+    S.payload(*E.encode(rows, ["o_orderpriority"], []), path)
+    codes = spark.read.json(f"{path}/o_orderpriority").select(F.col("code").alias("o_orderpriority_code"), "value")
+    return spark.read.json(f"{path}/points").join(codes, "o_orderpriority_code").select("_pos", "value")
+
+
+@query("text_files", "SELECT page_id, md5(html) digest FROM pages")
+def text_files(spark, sf):
+    """K8: whole files read byte for byte, line ends kept (here as JSON strings, one file a partition)."""
+    path = S.shared_path(spark, "pages")
+    table(spark, sf, "pages").select(F.to_json(F.struct("page_id", "html")).alias("value")).write.text(path)
+    lines = S.read_text(spark, f"{path}/*.txt").select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
+    row = F.from_json("line", "page_id long, html string")
+    return lines.select(row.alias("r")).select("r.page_id", F.md5(F.col("r.html").cast("binary")).alias("digest"))
+
+
+@query("inline_scripts", "SELECT page_id, md5(html || '<script>/*' || url || '*/</script>') digest, CAST(1 AS BIGINT) scripts, CAST(0 AS BIGINT) stylesheets FROM pages")
+def inline_scripts(spark, sf):
+    """Every page gets a script tag with an address, and the tag gives way to the contents at that address."""
+    pages = table(spark, sf, "pages")
+    tagged = pages.select("page_id", F.concat("html", F.lit('<script src="'), "url", F.lit('"></script>')).alias("html"))
+    resources = pages.select("url").distinct().select("url", F.concat(F.lit("/*"), "url", F.lit("*/")).alias("body"))
+    return H.inline(tagged, resources).select("page_id", F.md5(F.col("html").cast("binary")).alias("digest"), F.col("scripts").cast("long").alias("scripts"), F.col("stylesheets").cast("long").alias("stylesheets"))
+
+
+@query("css_addresses", "SELECT page_id, 'a{b:url(' || regexp_extract(url, '^[a-z]+://[^/]+') || '/i/' || page_id || '.png) c:url(#f) d:url(''//x/y'')}' css FROM pages")
+def css_addresses(spark, sf):
+    """References relative to the host of a page become absolute; fragments and absolute ones stay."""
+    css = F.concat(F.lit("a{b:url(/i/"), F.col("page_id").cast("string"), F.lit(".png) c:url(#f) d:url('//x/y')}"))
+    return table(spark, sf, "pages").select("page_id", H.absolute_css_urls(css, F.col("url")).alias("css"))
+
+
+@query("unclassified_rows", "SELECT id, source FROM (SELECT c_custkey id, 'customer' source, c_mktsegment brand FROM customer) WHERE brand NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')")
+def unclassified_rows(spark, sf):
+    """Rows that no rule gave a brand."""
+    known = F.when(F.col("brand").isin(*COOP, "SUPPLIER"), F.col("brand"))
+    return C.unclassified(registers(spark, sf).withColumns({"categoria_if": F.lit("x"), "sub_categoria": known})).select("id", "source")
+
+
+@query("choropleth_columns", f"SELECT unit, unit_name, region, populacao, {', '.join(TOTALS)} FROM ({AGGREGATE})")
+def choropleth_columns(spark, sf):
+    """Only what the map's payload needs reaches it."""
+    return choropleth(aggregate(spark, sf).withColumn("working", F.lit(1)), ["unit", "unit_name", "region", "populacao"])

@@ -5,7 +5,9 @@ from __future__ import annotations
 import glob
 import json
 import os
+import tempfile
 import time
+import uuid
 import zipfile
 from collections.abc import Callable
 
@@ -19,6 +21,17 @@ from ..schema import require_columns
 _GEO = {"version": "1.0.0", "primary_column": "geometry", "columns": {"geometry": {"encoding": "WKB", "geometry_types": ["Polygon", "MultiPolygon"], "crs": "OGC:CRS84"}}}
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share (spark.checkpoint.dir); a temporary one only in a local session without it."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="shared-tables-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/files/{name}-{uuid.uuid4().hex}"
+
+
 def read_points(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """S2."""
     return require_columns(spark.read.parquet(path), columns, path)
