@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Chunk, chunks_of, doc_of, drop_table, materialize, new_path, prefix_hash, ragged, read_table, shuffle_partitions, stretch_hash
+from .common import BYTE_CODE, U64, Chunk, chunks_of, doc_of, drop_table, materialize, mix, new_path, ragged, read_table, shuffle_partitions
 
 END_ID = 2
 #: Slots of a worker's piece table (16 bytes each); when half are taken it forgets them all.
@@ -48,65 +48,92 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 # ---------------------------------------------------------------- encoding with the library
 
 class PieceTable:
-    """Ids of the pieces a worker has met, in an open-addressing numpy table keyed by 64 + 32 hash bits, with their bytes."""
+    """Ids of the pieces a worker has met, in an open-addressing numpy table, with all bytes of each piece.
+
+    A piece is looked up by a 64-bit hash and accepted only if length, leading space and bytes agree.
+    """
 
     def __init__(self, slots: int):
         self.slots = slots
         self.forget()
 
     def forget(self) -> None:
-        self.key, self.check, self.index = np.zeros(self.slots, U64), np.zeros(self.slots, np.uint32), np.full(self.slots, -1, np.int32)
-        self.starts, self.lens, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(8192, np.uint32)
-        self.raw_at, self.size, self.spaced, self.raw = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(65536, np.uint8)
+        self.key, self.index = np.zeros(self.slots, U64), np.full(self.slots, -1, np.int32)
+        self.starts, self.lens, self.size, self.raw_at = (np.zeros(1024, np.int64) for _ in range(4))
+        self.low, self.high = np.zeros(1024, U64), np.zeros(1024, U64)
+        self.flat, self.raw = np.zeros(8192, np.uint32), np.zeros(8192, np.uint8)
         self.n = self.n_flat = self.n_raw = 0
 
-    def same(self, which: np.ndarray, buf: np.ndarray, at: np.ndarray, size: np.ndarray, spaced: np.ndarray) -> np.ndarray:
-        """Whether the pieces buf[at : at + size] are, byte for byte, those that the table holds under which."""
-        ok = (which >= 0) & (self.size[which] == size) & (self.spaced[which] == spaced)
-        own = np.flatnonzero(ok)
-        differ = buf[ragged(at[own], size[own])] != self.raw[ragged(self.raw_at[which[own]], size[own])]
-        if differ.any():
-            ok[np.repeat(own, size[own])[differ]] = False
-        return ok
-
-    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
-        """The number of each piece, or -1."""
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The number of the piece with each key, or -1."""
         out = np.full(len(key), -1, np.int64)
         todo, slot = np.arange(len(key)), (key & U64(self.slots - 1)).astype(np.int64)
         while len(todo):
             index = self.index[slot]
-            hit = (self.key[slot] == key[todo]) & (self.check[slot] == check[todo]) & (index >= 0)
+            hit = (self.key[slot] == key[todo]) & (index >= 0)
             out[todo[hit]] = index[hit]
             go = ~hit & (index >= 0)
             todo, slot = todo[go], (slot[go] + 1) & (self.slots - 1)
         return out
 
-    def add(self, key: np.ndarray, check: np.ndarray, ids: np.ndarray, lens: np.ndarray, raw: np.ndarray, size: np.ndarray, spaced: np.ndarray) -> None:
-        """Put in new pieces of distinct keys; ids and raw hold the ids and the bytes of one after another."""
-        n, m, z = self.n + len(key), self.n_flat + len(ids), self.n_raw + len(raw)
-        if n > len(self.lens):
-            self.starts, self.lens, self.raw_at, self.size, self.spaced = (np.concatenate((x, np.zeros(n + n // 2 - len(x), np.int64))) for x in (self.starts, self.lens, self.raw_at, self.size, self.spaced))
-        if z > len(self.raw):
-            self.raw = np.concatenate((self.raw, np.zeros(z + z // 2 - len(self.raw), np.uint8)))
-        self.raw_at[self.n : n] = self.n_raw + np.cumsum(size) - size
-        self.size[self.n : n], self.spaced[self.n : n] = size, spaced
-        self.raw[self.n_raw : z] = raw
-        if m > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros(m + m // 2 - len(self.flat), np.uint32)))
+    def same(self, which: np.ndarray, p: Pieces) -> np.ndarray:
+        """Whether the pieces are, byte for byte, those that the table holds under which."""
+        ok = (which >= 0) & (self.size[which] == p.size) & (self.low[which] == p.low) & (self.high[which] == p.high)
+        long = np.flatnonzero(ok & (p.bytes_in > 16))
+        n = p.bytes_in[long]
+        differ = p.buf[ragged(p.at[long], n)] != self.raw[ragged(self.raw_at[which[long]], n)]
+        if differ.any():
+            ok[np.repeat(long, n)[differ]] = False
+        return ok
+
+    def add(self, p: Pieces, own: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> None:
+        """Put in the pieces own of p, which have distinct keys; ids holds the ids of one after another."""
+        n, m = self.n + len(own), self.n_flat + len(ids)
+        long = np.where(p.bytes_in[own] > 16, p.bytes_in[own], 0)
+        z = self.n_raw + int(long.sum())
+        for name, need in (("starts", n), ("lens", n), ("size", n), ("raw_at", n), ("low", n), ("high", n), ("flat", m), ("raw", z)):
+            have = getattr(self, name)
+            if need > len(have):
+                setattr(self, name, np.concatenate((have, np.zeros(need + need // 2 - len(have), have.dtype))))
         self.starts[self.n : n] = self.n_flat + np.cumsum(lens) - lens
-        self.lens[self.n : n] = lens
+        self.lens[self.n : n], self.size[self.n : n], self.low[self.n : n], self.high[self.n : n] = lens, p.size[own], p.low[own], p.high[own]
+        self.raw_at[self.n : n] = self.n_raw + np.cumsum(long) - long
+        self.raw[self.n_raw : z] = p.buf[ragged(p.at[own], long)]
         self.flat[self.n_flat : m] = ids
+        key = p.key[own]
         todo, slot = np.arange(len(key)), (key & U64(self.slots - 1)).astype(np.int64)
         while len(todo):
             first = np.zeros(len(todo), bool)
             first[np.unique(slot, return_index=True)[1]] = True
             put = first & (self.index[slot] < 0)
-            own, at = todo[put], slot[put]
-            self.key[at], self.check[at], self.index[at] = key[own], check[own], self.n + own
+            to, at = todo[put], slot[put]
+            self.key[at], self.index[at] = key[to], self.n + to
             todo, slot = todo[~put], (slot[~put] + 1) & (self.slots - 1)
         self.n, self.n_flat, self.n_raw = n, m, z
 
 
+_LEAD = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
+
+
+class Pieces:
+    """Pieces buf[at:end], with or without a space before: their first 16 bytes as two numbers, and a hash."""
+
+    def __init__(self, buf: np.ndarray, at: np.ndarray, end: np.ndarray, spaced: np.ndarray):
+        self.buf, self.at, self.bytes_in = buf, at, end - at
+        self.size = 2 * self.bytes_in + spaced
+        padded = np.concatenate((buf, np.zeros(16, np.uint8)))
+        word = np.ndarray((len(buf) + 9,), "<u8", padded.data, strides=(1,))
+        self.low = word[at] & _LEAD[np.minimum(self.bytes_in, 8)]
+        self.high = word[at + 8] & _LEAD[np.clip(self.bytes_in - 8, 0, 8)]
+        self.key = mix(self.low ^ mix(self.high + self.size.astype(U64) * U64(0x9FB21C651E98DF25)))
+        long = np.flatnonzero(self.bytes_in > 16)
+        if len(long):
+            n = self.bytes_in[long]
+            first = np.cumsum(n) - n
+            place = np.arange(int(n.sum())) - np.repeat(first, n)
+            self.key[long] = mix(self.key[long] + np.add.reduceat(BYTE_CODE[buf[ragged(at[long], n)]] * mix(place.astype(U64)), first))
+
+
 def _flags(values: bytes | range) -> np.ndarray:
     out = np.zeros(256, bool)
     out[list(values)] = True
@@ -201,21 +228,15 @@ class PieceEncoder:
         """Numbers in the table of the pieces buf[at:end], or -1 for one whose hash another piece has; unknown ones are learnt."""
         if self.table.n > PIECE_SLOTS // 2:
             self.table.forget()
-        key = stretch_hash(prefix_hash(buf), at, end) ^ (spaced.astype(U64) * U64(0x9FB21C651E98DF25))
-        size = end - at
-        head = np.append(buf, np.zeros(3, np.uint8)).astype(np.uint32)
-        check = head[at] | head[at + 1] << np.uint32(8) | head[at + 2] << np.uint32(16)
-        check &= np.array([0, 0xFF, 0xFFFF, 0xFFFFFF], np.uint32)[np.minimum(size, 3)]
-        check |= size.astype(np.uint32) << np.uint32(24)
-        which = self.table.find(key, check)
+        p = Pieces(buf, at, end, spaced)
+        which = self.table.find(p.key)
         missing = np.flatnonzero(which < 0)
         if len(missing):
-            _, first = np.unique(key[missing], return_index=True)
-            new = missing[first]
+            new = missing[np.unique(p.key[missing], return_index=True)[1]]
             ids, lens = self.learn([buf[a:e].tobytes().decode() for a, e in zip(at[new].tolist(), end[new].tolist(), strict=True)], spaced[new].tolist())
-            self.table.add(key[new], check[new], ids, lens, buf[ragged(at[new], size[new])], size[new], spaced[new])
-            which[missing] = self.table.find(key[missing], check[missing])
-        return np.where(self.table.same(which, buf, at, size, spaced), which, -1)
+            self.table.add(p, new, ids, lens)
+            which[missing] = self.table.find(p.key[missing])
+        return np.where(self.table.same(which, p), which, -1)
 
     def learn(self, pieces: list[str], spaced: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces from the library: plain ones go in long lines, cut again by the bytes of their tokens."""

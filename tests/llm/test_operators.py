@@ -168,7 +168,9 @@ def test_pieces_of_one_hash_and_other_files(monkeypatch):
     enc, r = tokens.PieceEncoder(tokens.vocabulary_path()), random.Random(2)
     texts = [" ".join(r.choice(["alpha", "alphb", "bet", "gamma,", "x"]) for _ in range(9)) for _ in range(200)]
     want = enc.library(texts)
-    monkeypatch.setattr(tokens, "stretch_hash", lambda prefix, start, end: (end - start).astype(np.uint64) % np.uint64(2))
+    texts += [" ".join(r.choice(["incomprehensibilities", "incomprehensibilitied", "x" * 30, "x" * 29 + "y"]) for _ in range(9)) for _ in range(50)]
+    want = enc.library(texts)
+    monkeypatch.setattr(tokens, "mix", lambda x: x % np.uint64(2))
     for cuts in (True, False):
         enc = tokens.PieceEncoder(tokens.vocabulary_path())
         enc.cuts &= cuts
