@@ -8,9 +8,9 @@ have a Jaccard similarity of at least THRESHOLD percent are linked; components o
      whole text; equal sets share their key and are one node from here on, whatever their number;
   2. banding: BANDS bands of ROWS minima; a bucket holds the nodes that agree in a band. A pair at the
      threshold misses all bands with a chance of (1 - 0.8**5)**32 = 3e-6;
-  3. every bucket pairs its members with one pivot only, another one in each band. Pairs are verified on their
-     signatures (a pair at the threshold fails with a chance below 1e-6); of the pivots that a node passes
-     with, the most alike one is verified on the full sets of both whole texts;
+  3. every bucket pairs its members with one pivot only, its least node, so that alike nodes have few. Pairs are
+     verified on their signatures (a pair at the threshold fails with a chance below 1e-6); of the pivots that
+     a node passes with, the most alike one is verified on the full sets of both whole texts;
   4. links become components by alternating large-star and small-star; a node's least neighbour is written
      before it is joined back, so that Spark can split the edges of a hub;
   5. buckets that still hold several components are compared block against block: the members outside
@@ -327,8 +327,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRE
     slim = materialize(scanned.drop("sig").join(nodes.select("key", "node"), "key", "left").drop("key"), "minhash-slim")
     drop_table(scanned)
     bands = band_rows(nodes)
-    # another pivot in each band: a node that misses one of them may be linked with the next
-    buckets = bands.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "band")).alias("pivot"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    buckets = bands.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("pivot < _last").drop("_last")
     members = materialize(bands.join(buckets, "bucket"), "minhash-members")
     met = materialize(members.select("node").distinct().join(nodes.drop("key"), "node"), "minhash-met")
     drop_table(nodes)
