@@ -247,14 +247,15 @@ def compact_sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 def block_links(opened: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """(a, b): likely links between different components of a bucket.
 
-    opened: bucket, band, node, comp, main (the bucket's largest component). Sizes of two sets that reach the
+    opened: bucket, band, node, n, comp, main (the bucket's largest component). Sizes of two sets that reach the
     threshold lie in one class or in two that follow each other.
     """
-    rows = opened.join(sets, "node").withColumn("res", F.col("comp") != F.col("main"))
+    rows = opened.withColumn("res", F.col("comp") != F.col("main"))
     rows = rows.withColumn("size", F.floor(F.log("n") / F.lit(math.log(100 / threshold))).cast("int"))
     counts = rows.groupBy("bucket", "res", "size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     counts = materialize(counts, "minhash-counts")
     rows = rows.join(counts, ["bucket", "res", "size"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.join(sets.drop("n"), "node")  # sets last: they are shuffled to their blocks only
     blocks = rows.groupBy("bucket", "band", "res", "size", "block").agg(F.collect_list(F.struct("node", "comp", "n", "sig8", "keys", "set64")).alias("own"))
     blocks = materialize(blocks, "minhash-blocks")
     left = counts.where("res").select("bucket", "size", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
@@ -322,7 +323,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRE
     """doc_id, did, th, n, comp_did, comp_th: the first (did, th) of each row's component."""
     rows = identified(docs)
     scanned = materialize(scan_sets(rows, width), "minhash-scan")
-    nodes = scanned.where("key is not null").groupBy("key").agg(F.min(F.struct("did", "th")).alias("rep"), F.first("sig").alias("sig")).select(F.monotonically_increasing_id().alias("node"), "key", "rep.did", "rep.th", "sig")
+    nodes = scanned.where("key is not null").groupBy("key").agg(F.min(F.struct("did", "th")).alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")).select(F.monotonically_increasing_id().alias("node"), "key", "rep.did", "rep.th", "n", "sig")
     nodes = materialize(nodes, "minhash-nodes")
     slim = materialize(scanned.drop("sig").join(nodes.select("key", "node"), "key", "left").drop("key"), "minhash-slim")
     drop_table(scanned)
@@ -339,7 +340,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRE
     placed = with_component(members.drop("pivot"), labels)
     sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
     main = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("m"), F.max("k").alias("most")).where("m > most").select("bucket", "main")
-    opened = materialize(placed.join(main, "bucket"), "minhash-open")
+    opened = materialize(placed.join(main, "bucket").join(met.select("node", "n"), "node"), "minhash-open")
     drop_table(members)
     drop_table(alike)
     sets = compact_sets(texts.join(opened.select("node").distinct(), "node", "left_semi"), met, width)

@@ -238,7 +238,7 @@ def test_blocks_own_a_pair_by_its_bucket(spark):
     other[0] += 256
     nodes = spark.createDataFrame([(1, bytearray(sig.tobytes())), (2, bytearray(other.tobytes()))], "node long, sig binary")
     bands = neardup.band_rows(nodes)
-    opened = bands.join(bands.groupBy("bucket").count().where("count = 2"), "bucket").select("bucket", "band", "node", F.col("node").alias("comp"), F.lit(1).cast("long").alias("main"))
+    opened = bands.join(bands.groupBy("bucket").count().where("count = 2"), "bucket").select("bucket", "band", "node", F.col("node").alias("comp"), F.lit(1).cast("long").alias("main"), F.when(F.col("node") == 1, 57).otherwise(58).cast("long").alias("n"))
     assert {r.band for r in opened.collect()} == set(range(1, neardup.BANDS))
     links = neardup.block_links(opened, neardup.compact_sets(texts, nodes, 4), 80)
     assert [tuple(r) for r in links.collect()] == [(1, 2)]
