@@ -713,3 +713,136 @@ def test_verbatim_copies_in_any_case(spark):
     found = findings(spark, [SHEEP.upper(), f"and {SHEEP.lower()}", f"We read that {short} every year", SHEEP.upper().replace("SHEEP", "GOATS AND COWS")], [SHEEP, short])
     assert set(found) == {(0, 0), (1, 0), (2, 1), (3, 0)} and all(x.same_fillers for x in found.values())
     assert {found[k].coverage for k in [(0, 0), (1, 0), (2, 1)]} == {1.0}
+
+
+def brute_tokens(t):
+    """(token, word, placeholder or not) of a text, from its characters."""
+    out, before, place = [], None, 0
+    for m in re.finditer(r"[^\x20\t-\r]+", t or ""):
+        raw = m.group()
+        plain = [k for k, ch in enumerate(raw) if ch.isascii() and ch.isalnum() or not ch.isascii()]
+        if not plain:
+            continue
+        core = raw[plain[0] : plain[-1] + 1]
+        capital = "A" <= core[0] <= "Z" or "\xc0" <= core[0] <= "\xde"
+        word = "".join(chr(ord(ch) + 32) if "A" <= ch <= "Z" or "\xc0" <= ch <= "\xde" else ch for ch in core)
+        opens = before is None or "\n" in t[place : m.start()] or before[-1] in '.!?:;"' or plain[0] > 0
+        number = bool(re.fullmatch(r"[0-9.,:/%+$-]+", core)) and any("0" <= ch <= "9" for ch in core)
+        if number:
+            kind = "NUMBER"
+        elif "0" <= core[0] <= "9":
+            kind = "QUANTITY"
+        elif out and out[-1][0] == "NUMBER" and word in decontaminate.UNITS:
+            kind = "UNIT"
+        else:
+            kind = "NAME" if capital and not opens else None
+        out.append((kind or word, word, kind is not None))
+        before, place = raw, m.start()
+    return out
+
+
+def brute_windows(tokens, width):
+    """place, key of form (None: poor in literals), key of words, and fillers by place in the window."""
+    for p in range(len(tokens) - width + 1):
+        own = tokens[p : p + width]
+        literal = sum(not slot for _, _, slot in own)
+        rich = width >= decontaminate.MIN_TOKENS and literal >= min(decontaminate.MIN_LITERAL, (width + 1) // 2)
+        yield p, tuple((x, slot) for x, _, slot in own) if rich else None, tuple(w for _, w, _ in own), [(k, w) for k, (_, w, slot) in enumerate(own) if slot]
+
+
+def brute_finding(doc, item):
+    """The best occurrence of an item in a text, or None."""
+    size = min(len(item), decontaminate.WINDOW)
+    if not size:
+        return None
+    own, theirs = list(brute_windows(item, size)), list(brute_windows(doc, size))
+    rich = sum(form is not None for _, form, _, _ in own)
+    total = rich or len(own)
+    hits = []
+    for pos, form, words, fill in own:
+        equal = [at for at, _, w, _ in theirs if w == words]
+        equal = equal[:1] if size < decontaminate.WINDOW else equal  # the same whole item again says nothing new
+        for at, f, _, fill_d in theirs:
+            if at in equal or form is not None and f == form:
+                pairs = tuple((a, a if at in equal else b) for (_, a), (_, b) in zip(fill, fill if at in equal else fill_d))
+                hits.append((pos, at, form is not None or not rich, pairs))
+    groups, near, last = collections.defaultdict(list), 0, None
+    seen = set()
+    for pos, at, counted, pairs in sorted(hits, key=lambda h: h[1]):
+        if (pos, pairs) not in seen:
+            groups["text", 0].append((pos, counted, pairs))
+        seen.add((pos, pairs))
+    by_shift = collections.defaultdict(list)
+    for pos, at, counted, pairs in hits:
+        by_shift[at - pos].append((pos, counted, pairs))
+    for shift in sorted(by_shift):
+        near += last is not None and shift - last > max(decontaminate.GAP, total // 2)
+        last = shift
+        groups["near", near] += by_shift[shift]
+        groups["shift", shift] += by_shift[shift]
+        run = []
+        for hit in sorted(by_shift[shift]) + [(10**9, False, ())]:
+            if run and hit[0] != run[-1][0] + 1:
+                if len(run) >= decontaminate.EXCERPT:
+                    groups["excerpt", shift, run[0][0]] = run
+                run = []
+            run.append(hit)
+    best = None
+    for (kind, *_), rows in groups.items():
+        matched = len({pos for pos, counted, _ in rows if counted})
+        if matched / total < decontaminate.COVERAGE and kind != "excerpt":
+            continue
+        slots = collections.defaultdict(collections.Counter)
+        for _, _, pairs in rows:
+            for a, b in pairs:
+                slots[a][b] += 1
+        count = sum(sum(c.values()) for c in slots.values())
+        agreement = sum(max(c.values()) for c in slots.values()) / count if count else 1.0
+        if agreement >= decontaminate.AGREEMENT:
+            best = max(best or (-1,), (matched, all(set(c) == {a} for a, c in slots.items()), round(agreement, 9)))
+    return best and (best[0], total, *best[1:])
+
+
+def test_decontamination_by_brute_force(spark):
+    r = random.Random(11)
+    plain = "river stone market bread carries under seven against ÉTUDE paid the of and with slowly km red".split()
+    slots = ["12", "3.5", "40%", "7kg", "15 km", "9 minutes", "Maria", "Tomas", "Lisbon,", "Élan"]
+
+    def some(n, poor=0.25):
+        return [r.choice(slots) if r.random() < poor else r.choice(plain) + r.choice(["", "", "", ",", ".", "\n"]) for _ in range(n)]
+
+    items = [" ".join(some(n, poor)) for n, poor in [(1, 0), (3, 0.3), (5, 0), (7, 0.2), (10, 0.2), (11, 0.9), (14, 0.3), (20, 0.2), (30, 0.8), (45, 0.1), (60, 0.3)]]
+    items += [items[6], "", None, "-- ..."]
+    texts = [None, "", "?", *items[:11]]
+    for _ in range(110):
+        parts = some(r.randrange(12))
+        for _ in range(r.randrange(1, 4)):
+            words = r.choice(items[:11]).split(" ")
+            a = r.randrange(len(words))
+            words = words if r.random() < 0.5 else words[a : a + r.randrange(1, 40)]
+            change = {s: r.choice(slots) for s in slots}
+            how = r.random()
+            if how < 0.35:
+                words = [change.get(w, w) for w in words]
+            elif how < 0.5:
+                words = [r.choice(slots) if w in slots else w for w in words]
+            elif how < 0.6:
+                words = [w.upper() for w in words]
+            elif how < 0.7:
+                words.insert(r.randrange(len(words) + 1), "new")
+            parts += words + some(r.randrange(8))
+        texts.append(" ".join(parts))
+    rows = [(None if k % 40 == 39 else k, t) for k, t in enumerate(texts)]
+    rows += rows[::9]
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    shown = collections.Counter((x.doc_id, x.item_id, x.n_matched, x.n_windows, x.same_fillers, round(x.slot_agreement, 9)) for x in got)
+    wanted = collections.Counter()
+    tokens = [brute_tokens(t) for t in items]
+    for did, t in set(rows):
+        doc = brute_tokens(t)
+        for k, item in enumerate(tokens):
+            found = brute_finding(doc, item)
+            if found:
+                wanted[(did, k, *found)] += 1
+    assert shown == wanted
+    assert len(wanted) > 150 and len({k for _, k, *_ in wanted}) == 12 and any(not x[4] for x in wanted) and any(x[2] < x[3] for x in wanted)
