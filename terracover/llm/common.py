@@ -198,6 +198,31 @@ def window_hash(values: np.ndarray, width: int) -> np.ndarray:
     return mix((prefix[width:] - prefix[:-width]) * powers(BASE_INV, n) + U64(width))
 
 
+def window_hashes(values: np.ndarray, width: int, step: int = 250_000) -> np.ndarray:
+    """window_hash in steps, so that a long run of values needs little more than its hashes."""
+    parts = [window_hash(values[a : a + step + width - 1], width) for a in range(0, len(values) - width + 1, step)]
+    return np.concatenate(parts) if parts else np.zeros(0, U64)
+
+
+def word_hashes(buf: np.ndarray, off: np.ndarray, piece: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word of a chunk's bytes, and its document.
+
+    The bytes are gone through in pieces that end behind a space; only one longer word makes a longer piece.
+    """
+    space = SPACE[buf]
+    words, docs = [np.zeros(0, U64)], [np.zeros(0, np.int32)]
+    at = 0
+    while at < len(buf):
+        to = min(at + piece, len(buf))
+        to += int(space[to - 1 :].argmax())  # a chunk ends with a newline
+        own = buf[at:to]
+        starts, ends = word_bounds(own)
+        words.append(stretch_hash(prefix_hash(own), starts, ends))
+        docs.append(doc_of(starts + at, off).astype(np.int32))
+        at = to
+    return np.concatenate(words), np.concatenate(docs)
+
+
 def lower_ascii(buf: np.ndarray) -> np.ndarray:
     """A-Z to a-z; every other byte stays."""
     return np.where((buf >= 65) & (buf <= 90), buf | 32, buf)

@@ -23,7 +23,8 @@ have a Jaccard similarity of at least THRESHOLD percent are linked; components o
 
 Defined results: null or empty text has an empty set, is its own component and linked with nothing; a
 null doc_id never names a component (component_id is null if all ids of it are); rows with one doc_id
-are separate rows of the result; an empty table gives no rows; other columns are ignored.
+are separate rows of the result; an empty table gives no rows; other columns are ignored. A very long
+text is hashed in pieces that end behind a space.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Chunk, chunks_of, doc_of, drop_table, lower_ascii, materialize, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
+from .common import U64, Chunk, chunks_of, drop_table, lower_ascii, materialize, mix, read_table, window_hash, window_hashes, word_hashes
 from .phrases import holders, identified, keyed_rows
 
 SHINGLE = 5
@@ -55,12 +56,12 @@ ADDEND = _rng.integers(1, 2**64, N_HASH, dtype=U64)
 
 def shingle_sets(c: Chunk, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle hashes of the documents of a chunk, and the document of each, in order."""
-    buf = lower_ascii(c.buf)
-    starts, ends = word_bounds(buf)
-    words = stretch_hash(prefix_hash(buf), starts, ends)
-    doc = doc_of(starts, c.off)
+    words, doc = word_hashes(lower_ascii(c.buf), c.off)
     n = np.bincount(doc, minlength=c.n)
-    shingle = window_hash(words, width)
+    shingle = window_hashes(words, width)
+    if c.n == 1 and n[0] >= width:  # one text, which may be long: no index arrays
+        h = np.unique(shingle)
+        return h, np.zeros(len(h), np.int32)
     own = np.flatnonzero(doc[width - 1 :] == doc[: len(shingle)])
     h, d = shingle[own], doc[own]
     short = np.flatnonzero((n > 0) & (n < width))

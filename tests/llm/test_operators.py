@@ -6,6 +6,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -15,7 +16,7 @@ import regex
 from pyspark.sql import functions as F
 
 from terracover.llm import bpe, chat, decontaminate, neardup, phrases, pii, quality, sharding, suffixes, tokens
-from terracover.llm.common import chunks_of, new_path
+from terracover.llm.common import chunks_of, new_path, prefix_hash, stretch_hash, window_hash, window_hashes, word_bounds, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LEAST = -(2**63)
@@ -209,6 +210,28 @@ def test_near_duplicates(docs, empty, width):
     assert neardup.near_duplicates(empty, width).count() == 0 and neardup.keep_one(empty, width).count() == 0
 
 
+def test_words_in_pieces():
+    """Words hashed piece by piece are those of the whole bytes, words longer than a piece among them."""
+    r = random.Random(5)
+    texts = [None, "", "a", " \n", "a b c d"] + [" ".join(r.choice(["x", "Yy", "zé z", "w" * r.randint(1, 50)]) for _ in range(r.randint(0, 60))) for _ in range(100)]
+    for c in chunks_of(pa.array(texts), 2000):
+        starts, ends = word_bounds(c.buf)
+        whole = stretch_hash(prefix_hash(c.buf), starts, ends)
+        for piece in (1, 7, 100):
+            words, doc = word_hashes(c.buf, c.off, piece)
+            assert words.tolist() == whole.tolist() and doc.tolist() == (np.searchsorted(c.off, starts, side="right") - 1).tolist()
+            assert window_hashes(words, 5, piece).tolist() == window_hash(words, 5).tolist()
+
+
+def test_long_text_needs_few_times_its_bytes():
+    text = pa.array([" ".join(map(str, range(1_000_000)))])
+    tracemalloc.start()
+    h, _ = neardup.shingle_sets(next(chunks_of(text)), 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(h) == 999_996 and peak < 10 * len(text[0].as_py())
+
+
 def test_blocks_find_every_link(spark, monkeypatch):
     """A group of near copies of near copies, with blocks so small that many pairs of blocks meet."""
     monkeypatch.setattr(neardup, "BLOCK", 3)
