@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
 CHUNK_BYTES = 2_000_000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,10 +41,18 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Write df to the shared folder and read it back, which cuts the lineage."""
+    """Write df to the shared folder and read it back, which cuts the lineage.
+
+    Spark removes the shuffle files of the write when it ends: only the table is read from there on.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path
     return out
