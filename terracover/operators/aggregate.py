@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import tables
-from ..functions.text import snake_case
+from ..functions.text import number_br, snake_case
 
 CODE, CATEGORY, BRAND = "municipio_ibge", "categoria_if", "sub_categoria"
 
@@ -144,3 +144,22 @@ def cumulative_levels(points: DataFrame, level: str, order: list[str]) -> DataFr
 def group_counts(points: DataFrame, category: str = CATEGORY, brand: str = BRAND) -> DataFrame:
     """Counts by category and by brand inside it, in one pass (brand null: the whole category)."""
     return points.rollup(category, brand).agg(F.count("*").alias("n"), F.grouping_id().alias("_g")).where("_g < 3").drop("_g")
+
+
+def territory_labels(units: DataFrame, *keys: str, first: tuple[str, ...] = (), state: str = "uf") -> DataFrame:
+    """Name and header line of the territory that units cover, as found in the data (one row, or one a key).
+
+    States are listed as in first, then by code, then unknown ones by name; null states only count as units.
+    """
+    every = list(dict.fromkeys([*first, *sorted(tables.STATE_CODES, key=tables.STATE_CODES.get)]))
+    rows = units.groupBy(*keys).agg(F.count("*").alias("_n"), F.collect_set(state).alias("_found"))  # states: 27 at most
+    order = F.array(*map(F.lit, every))
+    found = F.concat(F.array_intersect(order, "_found"), F.array_except(F.array_sort("_found"), order))
+
+    label, where = F.concat(F.size(found).cast("string"), F.lit(" UFs")), F.concat(F.lit("de "), F.array_join(found, ", "))
+    named = {**{f"Região {r}": (f"da Região {r}", own) for r, own in tables.REGIONS.items()}, "Brasil": ("do Brasil", every)}
+    for name, (place, states) in named.items():
+        whole = F.array_sort("_found") == F.array(*map(F.lit, sorted(states)))
+        label, where = F.when(whole, name).otherwise(label), F.when(whole, place).otherwise(where)
+    line = F.concat(F.lit("Agências e postos de atendimento nos "), number_br(F.col("_n")), F.lit(" municípios "), where, F.lit("."))
+    return rows.select(*keys, label.alias("label"), line.alias("subtitle"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions import tables as T
 from ..functions import text as X
 from ..functions.geometry import contains, edges
 from ..functions.html import script_urls, stylesheet_urls
@@ -25,6 +26,7 @@ from ..operators.standardize import client_properties as properties
 from ..operators.standardize import enrich_units as enrich
 from ..operators.standardize import key_minus
 from ..operators.standardize import unit_dimensions as dimensions
+from ..scope import Scope
 from ..sources import files as S
 from ..sources import json_files as J
 from .registry import query
@@ -867,3 +869,57 @@ def unclassified_rows(spark, sf):
 def choropleth_columns(spark, sf):
     """Only what the map's payload needs reaches it."""
     return choropleth(aggregate(spark, sf).withColumn("working", F.lit(1)), ["unit", "unit_name", "region", "populacao"])
+
+
+# ---------------------------------------------------------------- territory: every customer is a unit of some state
+
+_EVERY_STATE = sorted(T.STATE_CODES, key=T.STATE_CODES.get)
+_LIST_SQL = "[" + ", ".join(f"'{s}'" for s in _EVERY_STATE) + "]"
+_BY_SEGMENT = dict(zip(SEGMENTS, T.REGIONS.items(), strict=True))
+
+
+def _in_states(spark: SparkSession, sf: str) -> DataFrame:
+    state = F.element_at(F.array(*map(F.lit, _EVERY_STATE)), (F.col("c_custkey") % len(_EVERY_STATE) + 1).cast("int"))
+    return table(spark, sf, "customer").select("c_custkey", "c_mktsegment", state.alias("uf"))
+
+
+_IN_STATES = f"SELECT c_custkey, c_mktsegment, {_LIST_SQL}[c_custkey % {len(_EVERY_STATE)} + 1] uf FROM customer"
+
+
+@query("territory_scope", f"SELECT c_custkey, uf FROM ({_IN_STATES}) WHERE uf IN ('MS', 'MT', 'GO', 'DF')")
+def territory_scope(spark, sf):
+    """A region's name in another spelling, as a filter on states."""
+    return _in_states(spark, sf).where(Scope.parse(" centro_OESTE ").contains(F.col("uf"))).select("c_custkey", "uf")
+
+
+@query("incomplete_states", f"""WITH e(uf, expected) AS (VALUES {', '.join(f"('{s}', {T.UNITS_PER_STATE[s]})" for s in _EVERY_STATE)}), f AS (SELECT uf, count(*) found FROM ({_IN_STATES}) WHERE uf <> 'SP' GROUP BY uf)
+SELECT uf, CAST(coalesce(expected, 0) AS BIGINT) expected, CAST(coalesce(found, 0) AS BIGINT) found FROM e FULL JOIN f USING (uf) WHERE coalesce(expected, 0) <> coalesce(found, 0)""")
+def incomplete_states(spark, sf):
+    """States whose number of units is not the official one, one state without any."""
+    return C.incomplete_states(_in_states(spark, sf).where("uf <> 'SP'"), _EVERY_STATE)
+
+
+@query("territory_labels", f"""WITH r(segment, region, own) AS (VALUES {', '.join(f"('{s}', '{r}', [{', '.join(chr(39) + x + chr(39) for x in sorted(own, key=_EVERY_STATE.index))}])" for s, (r, own) in _BY_SEGMENT.items())}),
+u AS (SELECT segment, region, own, own[c_custkey % (len(own) - CASE segment WHEN 'HOUSEHOLD' THEN 1 ELSE 0 END) + 1] uf FROM customer JOIN r ON c_mktsegment = segment),
+g AS (SELECT segment, any_value(region) region, any_value(own) own, list(DISTINCT uf) found, count(*) n FROM u GROUP BY segment),
+l AS (SELECT segment, n, list_filter(own, lambda s: list_contains(found, s)) found, len(own) = len(found) AS whole, 'Região ' || region AS name FROM g)
+SELECT segment, CASE WHEN whole THEN name ELSE len(found) || ' UFs' END AS label, 'Agências e postos de atendimento nos ' || replace(format('{{:,}}', n), ',', '.') || ' municípios ' || CASE WHEN whole THEN 'da ' || name ELSE 'de ' || array_to_string(found, ', ') END || '.' AS subtitle FROM l""")
+def territory_labels(spark, sf):
+    """Labels by segment; each holds the states of one region, one of them not all."""
+    state = F.lit(None).cast("string")
+    for segment, (_, own) in _BY_SEGMENT.items():
+        own = sorted(own, key=_EVERY_STATE.index)[: -1 if segment == "HOUSEHOLD" else None]
+        state = F.when(F.col("c_mktsegment") == segment, F.element_at(F.array(*map(F.lit, own)), (F.col("c_custkey") % len(own) + 1).cast("int"))).otherwise(state)
+    return A.territory_labels(table(spark, sf, "customer").select(F.col("c_mktsegment").alias("segment"), state.alias("uf")), "segment")
+
+
+@query("transliterated_names", "SELECT p_partkey, 'STRASSE AEON COES ' || upper(p_name) AS name FROM part")
+def transliterated_names(spark, sf):
+    """Letters with and without decomposition as ASCII."""
+    return table(spark, sf, "part").select("p_partkey", X.transliterate(F.concat(F.lit("  Straße Æon çõés "), "p_name", F.lit(" "))).alias("name"))
+
+
+@query("frequent_types", "SELECT p_type, count(*) n FROM part GROUP BY p_type ORDER BY n DESC, p_type LIMIT 10")
+def frequent_types(spark, sf):
+    """The ten most frequent values, ties by value."""
+    return A.value_counts(table(spark, sf, "part"), "p_type").limit(10)

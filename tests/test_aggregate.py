@@ -104,3 +104,16 @@ def test_encoding(spark):
 def test_levels(spark):
     df = spark.createDataFrame([("a",), ("a",), ("c",), ("x",)], "level string")
     assert [(r.level, r.n, r.running, r.running_pct) for r in A.cumulative_levels(df, "level", ["a", "b", "c"]).collect()] == [("a", 2, 2, 66.7), ("b", 0, 2, 66.7), ("c", 1, 3, 100.0)]
+
+
+def test_territory_labels(spark):
+    def labels(states, **kw):
+        return tuple(A.territory_labels(spark.createDataFrame([(s,) for s in states], "uf string"), **kw).first())
+
+    line = "Agências e postos de atendimento nos {} municípios {}."
+    south = ["PR", "SC", "RS"]
+    assert labels([*south, "RS", None]) == ("Região Sul", line.format(5, "da Região Sul"))
+    assert labels([*tables.STATE_CODES] * 50) == ("Brasil", line.format("1.350", "do Brasil"))
+    assert labels(["RS", "PR", "AC", "ZZ", "XX"]) == ("5 UFs", line.format(5, "de AC, PR, RS, XX, ZZ"))
+    assert labels(["PR", "RS", "AC"], first=("RS", "SC", "PR")) == ("3 UFs", line.format(3, "de RS, PR, AC"))
+    assert labels([]) == ("0 UFs", line.format(0, "de "))
