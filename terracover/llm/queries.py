@@ -6,6 +6,7 @@ from . import sql
 from .bpe import op8_bpe
 from .chat import op6_chat
 from .decontaminate import op1_decontaminate
+from .divergence import op11_divergence
 from .neardup import op3_minhash
 from .phrases import op10_phrases
 from .pii import op7_pii
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_suffixes": op9_suffixes,
     "op10_phrases": op10_phrases,
+    "op11_divergence": op11_divergence,
 }
 ORACLE_SQL = {
     "op3_minhash": sql.NEAR_DUPLICATES,
     "op6_chat": sql.CHAT,
     "op9_suffixes": sql.SUFFIXES,
     "op10_phrases": sql.PHRASES,
+    "op11_divergence": sql.DIVERGENCE,
 }

@@ -47,3 +47,18 @@ r AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) pos FROM f JOIN m USI
 SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) n_words, CAST(coalesce(g.n, 0) AS BIGINT) n_removed, sha256(coalesce(g.kept, '')) kept_sha256
 FROM w LEFT JOIN (SELECT u.doc_id, count(r.pos) n, string_agg(x, ' ' ORDER BY u.pos) FILTER (WHERE r.pos IS NULL) kept FROM u LEFT JOIN r ON r.doc_id = u.doc_id AND r.pos = u.pos GROUP BY u.doc_id) g USING (doc_id)
 """
+
+_F = "((CAST({p} AS HUGEINT) - {q}) * (CAST({p} AS HUGEINT) - {q}) // (CAST({p} AS HUGEINT) + {q}))"
+DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () i, coalesce(lang, '') lang, coalesce(source, '') source, translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') text FROM documents),
+t AS (SELECT i, lang, source, unnest(list_filter(string_split_regex(text, '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) term FROM d),
+k AS (SELECT lang, term, count(*) total FROM t GROUP BY lang, term HAVING count(DISTINCT i) >= 10),
+v AS (SELECT lang, count(*) V, sum(total) M FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) n FROM t SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT lang, source, coalesce(N, 0) N, V, M FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(n) N FROM c GROUP BY lang, source) USING (lang, source) LEFT JOIN v USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) n, 1 + (1000000000 * CAST(coalesce(c.n, 0) + 2 AS HUGEINT)) // (g.N + 2 * g.V) p, 1 + (1000000000 * CAST(k.total + 2 AS HUGEINT)) // (g.M + 2 * g.V) q FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+x AS (SELECT a.lang, a.source, b.source item, sum({_F.format(p='a.p', q='b.p')}) f FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY a.lang, a.source, b.source),
+r AS (SELECT a.lang, a.source, 'pair' part, b.source item, coalesce(x.f, 0) f FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+UNION ALL SELECT lang, source, 'term', term, {_F.format(p='p', q='q')} FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(f AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, item) rank FROM r) WHERE part = 'pair' OR rank <= 10
+"""
