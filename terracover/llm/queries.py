@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import sql
+from .align import op13_align
 from .bpe import op8_bpe
 from .chat import op6_chat
 from .decontaminate import op1_decontaminate
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_suffixes": op9_suffixes,
     "op10_phrases": op10_phrases,
     "op11_divergence": op11_divergence,
+    "op13_align": op13_align,
 }
 ORACLE_SQL = {
     "op3_minhash": sql.NEAR_DUPLICATES,
