@@ -9,6 +9,7 @@ from .chat import op6_chat
 from .decontaminate import op1_decontaminate
 from .divergence import op11_divergence
 from .neardup import op3_minhash
+from .overlap import op12_overlap
 from .phrases import op10_phrases
 from .pii import op7_pii
 from .quality import op5_quality
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_suffixes": op9_suffixes,
     "op10_phrases": op10_phrases,
     "op11_divergence": op11_divergence,
+    "op12_overlap": op12_overlap,
     "op13_align": op13_align,
 }
 ORACLE_SQL = {
@@ -36,4 +38,5 @@ ORACLE_SQL = {
     "op9_suffixes": sql.SUFFIXES,
     "op10_phrases": sql.PHRASES,
     "op11_divergence": sql.DIVERGENCE,
+    "op12_overlap": sql.OVERLAP,
 }

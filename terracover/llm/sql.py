@@ -62,3 +62,5 @@ r AS (SELECT a.lang, a.source, 'pair' part, b.source item, coalesce(x.f, 0) f FR
 UNION ALL SELECT lang, source, 'term', term, {_F.format(p='p', q='q')} FROM p WHERE n > 0 AND p > q)
 SELECT lang, source, part, item, CAST(f AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, item) rank FROM r) WHERE part = 'pair' OR rank <= 10
 """
+
+OVERLAP = NEAR_DUPLICATES.replace("100 * count(*) >= 80 *", "100 * count(*) >= 85 *").replace(", w.doc_id <= coalesce(c.least, w.doc_id) kept", "")
