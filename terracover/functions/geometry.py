@@ -24,25 +24,37 @@ def edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, of_ring))
 
 
+def _side(e, x: Column, y: Column) -> Column:
+    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
+
+
+def _crosses(e, x: Column, y: Column) -> Column:
+    # which side of the edge the point is on, without a division
+    return ((e["y1"] > y) != (e["y2"] > y)) & ((_side(e, x, y) > 0) == (e["y2"] > e["y1"]))
+
+
+def _touches(e, x: Column, y: Column) -> Column:
+    return (_side(e, x, y) == 0) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+
+
+def crosses(x: Column, y: Column) -> Column:
+    """Whether a ray from the point crosses the edge of the row (x1, y1, x2, y2)."""
+    return _crosses({c: F.col(c) for c in ("x1", "y1", "x2", "y2")}, x, y)
+
+
+def touches(x: Column, y: Column) -> Column:
+    """Whether the point lies on the edge of the row."""
+    return _touches({c: F.col(c) for c in ("x1", "y1", "x2", "y2")}, x, y)
+
+
 def contains(edge_list: Column, x: Column, y: Column) -> Column:
     """G1: whether (x, y) lies strictly inside, by even-odd crossings; the boundary is outside.
 
     Holes and further parts need no special care: their edges count like any other.
     """
-
-    def crosses(e: Column) -> Column:
-        spans = (e["y1"] > y) != (e["y2"] > y)
-        # which side of the edge the point is on, without a division
-        side = (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
-        return spans & ((side > 0) == (e["y2"] > e["y1"]))
-
-    def touches(e: Column) -> Column:
-        side = (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
-        return (side == 0) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-
-    inside = F.size(F.filter(edge_list, crosses)) % 2 == 1
+    inside = F.size(F.filter(edge_list, lambda e: _crosses(e, x, y))) % 2 == 1
     known = x.isNotNull() & y.isNotNull() & edge_list.isNotNull()
-    return F.when(known, inside & ~F.exists(edge_list, touches)).otherwise(F.lit(False))
+    return F.when(known, inside & ~F.exists(edge_list, lambda e: _touches(e, x, y))).otherwise(F.lit(False))
 
 
 def edge_key(e: Column) -> Column:

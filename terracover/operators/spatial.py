@@ -9,30 +9,36 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import tables
-from ..functions.geometry import contains, edge_key, edges, interior_point, is_valid
+from ..functions.geometry import crosses, edge_key, edges, interior_point, touches
 from ..functions.text import lookup
+from .polygons import in_slabs, slab_of, slab_stats
 
 CODE = "municipio_ibge"
 
 
 def unit_edges(units: DataFrame, code: str = CODE) -> DataFrame:
-    """Edges and box of every unit, one row a code (the rings of repeated codes together)."""
-    rows = units.where(F.col("geometry.rings").isNotNull()).select(code, edges(F.col("geometry.rings")).alias("_edges"))
-    rows = rows.groupBy(code).agg(F.flatten(F.collect_list("_edges")).alias("_edges"))  # the few rows of one code
-    xs, ys = F.transform("_edges", lambda e: e["x1"]), F.transform("_edges", lambda e: e["y1"])
-    return rows.withColumns({"_x0": F.array_min(xs), "_x1": F.array_max(xs), "_y0": F.array_min(ys), "_y1": F.array_max(ys)})
+    """The edges of every unit, a row each: code, x1, y1, x2, y2."""
+    return units.select(code, F.explode(edges(F.col("geometry.rings"))).alias("e")).select(code, "e.*")
 
 
 def inside_own_unit(points: DataFrame, units: DataFrame, lat: str = "latitude", lon: str = "longitude", flag: str = "dentro", code: str = CODE) -> DataFrame:
-    """Whether a point lies strictly inside the polygon of its own code, by an equi-join on the code.
+    """Whether a point lies strictly inside the polygon of its own code; the boundary is outside.
 
-    Only the own polygon decides, so no spatial join is needed; the box is tested before the edges.
+    Only the own polygon decides, so no spatial join is needed. Edges are dealt to slabs of latitude, and a place (code,
+    lat, lon; once, however many points it has) meets the edges of its own slab only, by an equi-join on (code, slab)
+    behind a box test; crossings are summed up as they are found. Holes and further parts need no special care: their
+    edges count like any other. Edges of repeated codes count together.
     """
-    own = unit_edges(units, code)
-    x, y = F.col(lon), F.col(lat)
-    joined = points.join(own, code, "left")
-    box = x.between(F.col("_x0"), F.col("_x1")) & y.between(F.col("_y0"), F.col("_y1"))
-    return joined.withColumn(flag, F.when(box, contains(F.col("_edges"), x, y)).otherwise(F.lit(False))).drop("_edges", "_x0", "_x1", "_y0", "_y1")
+    rows = unit_edges(units.where(F.col("geometry.rings").isNotNull()), code)
+    stats = slab_stats(rows, code)
+    x, y = F.col("_x"), F.col("_y")
+    places = points.select(code, F.col(lon).cast("double").alias("_x"), F.col(lat).cast("double").alias("_y")).dropna().distinct()
+    asked = places.join(stats, code).where(x.between(F.col("_west"), F.col("_east")) & y.between(F.col("_south"), F.col("_north"))).select(code, "_x", "_y", slab_of(y).alias("slab"))
+    met = asked.join(in_slabs(rows, stats, code), [code, "slab"])
+    found = met.groupBy(code, "_x", "_y").agg(F.count_if(crosses(x, y)).alias("_n"), F.max(touches(x, y)).alias("_on")).where("_n % 2 = 1 AND NOT _on")
+    own = found.select(F.col(code).alias("_c"), "_x", "_y", F.lit(True).alias("_in"))
+    joined = points.join(own, (F.col(code) == F.col("_c")) & (F.col(lon).cast("double") == x) & (F.col(lat).cast("double") == y), "left")
+    return joined.withColumn(flag, F.coalesce("_in", F.lit(False))).drop("_c", "_x", "_y", "_in")
 
 
 def representative_points(units: DataFrame) -> DataFrame:
@@ -105,13 +111,7 @@ def zoom_of(south: Column, west: Column, north: Column, east: Column, width: int
     return F.coalesce(F.array_max(fits), F.lit(least))
 
 
-def dissolve(units: DataFrame, key: str = "uf") -> DataFrame:
+def dissolve_edges(units: DataFrame, key: str = "uf") -> DataFrame:
     """Outer boundary edges of each key: an edge that two of its units share is inside."""
     e = units.select(key, F.explode(edges(F.col("geometry.rings"))).alias("e"))
     return e.groupBy(key, edge_key(F.col("e")).alias("edge")).agg(F.count("*").alias("n")).where("n = 1").drop("n")
-
-
-def repair(units: DataFrame) -> DataFrame:
-    """Polygonal parts only, with a flag for rings that cross themselves (even-odd containment covers them)."""
-    kept = units.where(F.col("geometry.type").isin("Polygon", "MultiPolygon"))
-    return kept.withColumn("valida", is_valid(F.col("geometry.rings")))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tables
 from ..operators import aggregate as A
-from ..operators import checks, encode, geocode, spatial
+from ..operators import checks, encode, geocode, polygons, spatial
 from ..operators.standardize import categorise, enrich_units, standardize, unit_dimensions
 from ..scope import Scope
 from ..sources import files, json_files
@@ -78,7 +78,7 @@ class Pipeline:
     def units(self) -> DataFrame:
         """Boundaries of the scope with dimensions, names and population, by code."""
         raw = unit_dimensions(json_files.read_boundaries(self.spark, *self.inputs.boundaries))
-        raw = spatial.repair(raw.where(self.scope.contains(F.col("uf"))))
+        raw = polygons.repair(raw.where(self.scope.contains(F.col("uf"))))
         names = json_files.read_unit_names(self.spark, *self.inputs.names) if self.inputs.names else None
         people = json_files.read_population(self.spark, *self.inputs.population) if self.inputs.population else None
         return enrich_units(raw, names, people).orderBy("municipio_ibge")

@@ -633,7 +633,7 @@ def cells(spark: SparkSession, sf: str) -> DataFrame:
 @query("dissolve_edges", "WITH e AS (SELECT n_regionkey, n_nationkey x, 0 y, unnest([[x, 0, x + 1, 0], [x + 1, 0, x + 1, 1], [x, 1, x + 1, 1], [x, 0, x, 1]]) e FROM nation) SELECT n_regionkey, CAST(count(*) AS BIGINT) edges FROM (SELECT n_regionkey, e FROM e GROUP BY ALL HAVING count(*) = 1) GROUP BY n_regionkey")
 def dissolve_edges(spark, sf):
     """Unit squares in a row, one a nation, dissolved by region."""
-    return P.dissolve(cells(spark, sf), "n_regionkey").groupBy("n_regionkey").agg(F.count("*").alias("edges"))
+    return P.dissolve_edges(cells(spark, sf), "n_regionkey").groupBy("n_regionkey").agg(F.count("*").alias("edges"))
 
 
 # ---------------------------------------------------------------- payload and client analytics

@@ -32,6 +32,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/files/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read back, which cuts its lineage and fixes row numbers made in it."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_points(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """S2."""
     return require_columns(spark.read.parquet(path), columns, path)

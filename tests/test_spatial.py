@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terracover.functions.geometry import contains, crosses_itself, edges, from_wkb_bytes, interior_point_of, to_wkb_bytes
+from terracover.operators import polygons as Y
 from terracover.operators import spatial as P
 
 GEOMETRY = "struct<type:string, rings:array<struct<part:int, ring:int, pts:array<struct<x:double,y:double>>>>>"
@@ -69,7 +70,7 @@ def test_dissolve_and_bounds(spark):
     a = [(0, 0, [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)])]
     b = [(0, 0, [(1.0, 0.0), (2.0, 0.0), (2.0, 1.0), (1.0, 1.0), (1.0, 0.0)])]
     df = units(spark, ua=a, ub=b).withColumn("uf", F.lit("X"))
-    assert P.dissolve(df).count() == 6
+    assert P.dissolve_edges(df).count() == 6
     assert {tuple(r) for r in P.bounds(df, "uf").select("uf", "south", "west", "north", "east").collect()} == {("X", 0.0, 0.0, 1.0, 2.0), ("todos", 0.0, 0.0, 1.0, 2.0)}
     mixed = df.union(df.withColumn("geometry", F.col("geometry").withField("type", F.lit("GeometryCollection"))))
-    assert P.repair(mixed).where("valida").count() == 2
+    assert Y.repair(mixed).where("valida").count() == 2
