@@ -5,21 +5,23 @@ than a shingle, the whole sequence as one; without words, nothing). Documents wh
 at least THRESHOLD percent are linked; the components of links are returned. The search is exact.
 
 A set of n shingles shares at least T = ceil(n * THRESHOLD / 100) with any set it is linked with. In one order of all
-shingles, rare ones first, two linked sets therefore share one of their first n - T + 1 shingles, their heads.
+shingles, rare ones first, two linked sets therefore share c of their first n - T + c shingles, their heads, where c is
+SHARED percent of the smaller one. A passage that two texts have in common gives them too few common heads.
 
   1. order: shingles that occur at least LEAST times among WINDOW shingles of a task are counted, and of these the
      HOT_SHINGLES most counted (a table of bounded size) come last, by the logarithm of their count; all others come
      first, by hash. Any order gives the same result;
   2. scan: set size, an order-free key of the set (128 bits) and the head of every whole text. Equal sets are one node;
-  3. lists: the nodes of every shingle that is in two heads. The least node of a list leads it, and every other node
-     of the list asks for its leader;
+  3. lists: the nodes of every shingle that is in two heads. The least node of a list leads it, and every node asks for
+     the leader of most of its lists, if these are half of c;
   4. search: the sets asked for are dealt to blocks of about BLOCK shingles, each an inverted index, and the asking
      nodes go to the blocks, QUERIES a task. DivideSkip answers: the lists of the query's shingles are divided into a
      few long ones and short ones; the short ones are merged by a heap that skips all documents that cannot reach
      T less the weight of the long lists; those that do are looked up in the long lists by binary search, and are
      retained if the overlap is reached. Lists with the same documents are merged once, with their number as weight;
   5. links become components. Lists that still hold several components are searched again: nodes outside the list's
-     largest component ask all blocks that hold another component's node of the list and of a like set size. Blocks
+     largest component ask all blocks with which they share, in such lists, c / 2 heads of other components' nodes of a
+     like set size (of all lists that two nodes share, one of the two is outside in half at least). Blocks
      are made of nodes of one list, so a list of k nodes is asked for in k / (nodes a block) blocks. One link
      between two components is enough in a task. No link between two components is left out, and no list of
      pairs is put out.
@@ -47,6 +49,8 @@ from .phrases import holders, identified
 
 SHINGLE = 5
 THRESHOLD = 80
+#: Percent of a set that its head is longer than the shortest that shares one shingle.
+SHARED = 10
 LEAST = 4
 WINDOW = 2_000_000
 HOT_SHINGLES = 1 << 20
@@ -117,7 +121,7 @@ def scan_heads(rows: DataFrame, width: int, threshold: int, hot: tuple[np.ndarra
                         at = np.minimum(np.searchsorted(known, h), len(known) - 1)
                         rank = np.where(known[at] == h, level[at], 0).astype(np.uint8)
                     order = np.lexsort((h, rank, d))
-                    size = n[full] - -(-threshold * n[full] // 100) + 1
+                    size = n[full] - -(-threshold * n[full] // 100) - (-SHARED * n[full] // 100)
                     own = h[order[ragged(first, size)]]
                     ends = np.cumsum(size).tolist()
                     for k, s, e, z in zip(full.tolist(), sums, ends, size.tolist(), strict=True):
@@ -282,10 +286,11 @@ def _inverted(sets: list[tuple]) -> Inverted:
 
 
 def leaders_asked(members: DataFrame, met: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """Blocks of leaders, and the nodes that ask for them. members: shingle, node, n, leader, leader_n."""
-    near = F.expr(f"100 * least(n, leader_n) >= {threshold} * greatest(n, leader_n)")
-    pairs = members.where((F.col("node") != F.col("leader")) & near).select("node", "leader").distinct()
-    pairs = materialize(pairs, "overlap-pairs")
+    """Blocks of leaders, and the nodes that ask for them. members: shingle, node, n, leader."""
+    shared = members.where("node <> leader").groupBy("node", "n", "leader").agg(F.count("*").alias("k"))
+    near = F.expr(f"100 * least(n, leader_n) >= {threshold} * greatest(n, leader_n) AND 200 * k >= {SHARED} * n")
+    shared = shared.join(met.select(F.col("node").alias("leader"), F.col("n").alias("leader_n")), "leader").where(near)
+    pairs = materialize(shared.groupBy("node").agg(F.max_by("leader", F.struct("k", "leader")).alias("leader")), "overlap-pairs")
     leaders = pairs.select(F.col("leader").alias("node")).distinct().join(met, "node")
     blocks = max(1, -(-(leaders.agg(F.sum("n")).first()[0] or 0) // BLOCK))
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
@@ -304,8 +309,9 @@ def open_asked(members: DataFrame, labels: DataFrame, threshold: int) -> tuple[D
     index = homes.join(parts, ["home", "size"]).select("node", "comp", F.xxhash64("home", "size", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("block"))
     index = materialize(index, "overlap-index")
     entries = opened.join(index.select("node", "block"), "node").groupBy("shingle", F.col("size").alias("size_b"), "block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    asked = opened.where("comp <> main").join(entries, "shingle").where("abs(size - size_b) <= 1 AND (lo <> comp OR hi <> comp)").select("block", "node", "comp").distinct()
-    asked = materialize(asked, "overlap-asked")
+    shared = opened.where("comp <> main").join(entries, "shingle").where("abs(size - size_b) <= 1 AND (lo <> comp OR hi <> comp)").groupBy("block", "node", "comp", "n").agg(F.count("*").alias("k"))
+    # c of the smallest set that may be linked; in half of the lists that two nodes share, one of the two is outside the largest component
+    asked = materialize(shared.where(f"2 * k >= ceil({SHARED} * ceil({threshold} * n / 100) / 100)").select("block", "node", "comp"), "overlap-asked")
     drop_table(opened)
     drop_table(parts)
     return index.join(asked.select("block").distinct(), "block", "left_semi"), asked
@@ -319,8 +325,8 @@ def overlap_components(docs: DataFrame, width: int = SHINGLE, threshold: int = T
     nodes = materialize(nodes, "overlap-nodes")
     slim = materialize(scanned.drop("head").join(nodes.select("key", "node"), "key", "left").select("doc_id", "n", "node"), "overlap-slim")
     drop_table(scanned)
-    lists = head_rows(nodes).groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("first"), F.max("node").alias("last")).where("first.node < last")
-    lists = materialize(lists.select("shingle", F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n")), "overlap-lists")
+    lists = head_rows(nodes).select("shingle", "node").groupBy("shingle").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
+    lists = materialize(lists.select("shingle", "leader"), "overlap-lists")
     among = key_filter(lists, "shingle", lists.count())
     members = materialize(head_rows(nodes, among).join(lists, "shingle"), "overlap-members")
     drop_table(lists)
