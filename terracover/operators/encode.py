@@ -7,24 +7,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .aggregate import BRAND, CATEGORY, panel_rank
+from .numbering import numbered
 
 
 def dictionary(df: DataFrame, column: str, position: str = "_pos") -> DataFrame:
-    """(value, code) of a column, codes by first appearance; the ordered part sees distinct values only."""
+    """(value, code) of a column, codes by first appearance; distinct values are ordered, and by many tasks."""
     firsts = df.groupBy(F.coalesce(F.col(column).cast("string"), F.lit("")).alias("value")).agg(F.min(position).alias("first"))
-    return firsts.select("value", (F.row_number().over(W.orderBy("first")) - 1).alias("code"))
+    return numbered(firsts, ["first", "value"], position="code").select("value", F.col("code").cast("int").alias("code"))
 
 
 def emission_order(points: DataFrame, panel: list[str], order: str = "_rid") -> DataFrame:
-    """Points in the order of the panel, then of the source, numbered by `_pos`.
-
-    Positions come from counts by brand and a row number inside each brand, not from one global sort.
-    """
-    counts = points.groupBy(BRAND).agg(F.count("*").alias("_n"))
-    w = W.orderBy(panel_rank(F.col(BRAND), panel), BRAND)
-    starts = counts.select(F.col(BRAND).alias("_b"), (F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_start"))
-    rows = points.join(starts, F.col(BRAND).eqNullSafe(F.col("_b")))
-    return rows.withColumn("_pos", F.col("_start") + F.row_number().over(W.partitionBy(BRAND).orderBy(order)) - 1).drop("_b", "_start")
+    """Points in the order of the panel, then of the source, numbered by `_pos`."""
+    rows = points.withColumn("_rank", panel_rank(F.col(BRAND), panel))
+    return numbered(rows, ["_rank", BRAND, order]).drop("_rank")
 
 
 def encode(points: DataFrame, coded: list[str], free: list[str], position: str = "_pos") -> tuple[DataFrame, dict[str, DataFrame]]:

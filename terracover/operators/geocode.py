@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import tables
 from ..functions.text import digits, has_kilometre, is_postcode, street_key
-
-WORK_COLUMNS = ["cep8", "cep_generico", "logradouro", "numero_imovel", "chave_logr"]
-
+from ..schema import WORK_COLUMNS as WORK_COLUMNS
+from ..sources.files import stored
+from .numbering import medians
 
 def address_keys(points: DataFrame) -> DataFrame:
     """Post code, street, house number (0 is none; a road's kilometre is none) and street key."""
@@ -53,9 +53,22 @@ def retain(addresses: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return addresses.select("mun", F.col(key).alias("chave"), "num", "lat", "lon").join(wanted, ["mun", "chave"], "left_semi")
 
 
-def consolidate(rows: DataFrame, *keys: str) -> DataFrame:
-    """A4: the exact median coordinate of each key, single-precision; rows with a null key part are left out."""
-    return rows.na.drop(subset=list(keys)).groupBy(*keys).agg(F.median("lat").cast("float").alias("lat"), F.median("lon").cast("float").alias("lon"))
+#: Rows of a key from which its median is found by many tasks.
+HOT_ROWS = 100_000
+
+
+def consolidate(rows: DataFrame, *keys: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """A4: the exact median coordinate of each key, single-precision; rows with a null key part are left out.
+
+    A key's distinct values meet in one task, so keys of many rows go another way with the same result.
+    """
+    rows = rows.na.drop(subset=list(keys))
+    usual = lambda own: own.groupBy(*keys).agg(F.median("lat").cast("float").alias("lat"), F.median("lon").cast("float").alias("lon"))
+    hot = stored(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).drop("_n"), "hot-keys")
+    if hot.isEmpty():
+        return usual(rows)
+    spread = hot.join(medians(rows.join(hot, list(keys), "left_semi"), list(keys), ["lat", "lon"]), list(keys), "left")
+    return usual(rows.join(hot, list(keys), "left_anti")).unionByName(spread.select(*keys, *(F.col(c).cast("float").alias(c) for c in ("lat", "lon"))))
 
 
 def build_index(target: DataFrame, addresses: DataFrame) -> dict[str, DataFrame]:

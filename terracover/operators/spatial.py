@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import tables
 from ..functions.geometry import crosses, edge_key, edges, interior_point, touches
 from ..functions.text import lookup
+from .numbering import numbered
 from .polygons import in_slabs, slab_of, slab_stats
 
 CODE = "municipio_ibge"
@@ -72,10 +72,7 @@ def fan_out(points: DataFrame, radius: Column | None = None, lat: str = "latitud
     square root of the rank up to the radius of the point's precision.
     """
     radius = F.coalesce(lookup(F.col("precisao"), tables.FAN_OUT_METRES), F.lit(0.0)) if radius is None else radius
-    same = W.partitionBy(lat, lon)
-    i = F.row_number().over(same.orderBy(order)) - 1
-    n = F.count("*").over(same)
-    rows = points.withColumns({"_i": i, "_n": n})
+    rows = numbered(points, [order], [lat, lon], "_i", "_n")  # a hot coordinate is spread over many tasks
     distance = radius * F.sqrt(F.col("_i") / F.greatest(F.col("_n") - 1, F.lit(1)))
     angle = F.col("_i") * F.lit(math.pi * (3 - math.sqrt(5)))
     dlat = distance * F.sin(angle) / tables.METRES_PER_DEGREE

@@ -11,6 +11,7 @@ from .functions.text import plain_fold, snake_case
 
 _S, _L, _D = T.StringType(), T.LongType(), T.DoubleType()
 
+#: Names of the common columns.
 COMMON_COLUMNS = ["cnpj", "nome_instituicao", "segmento", "nome_instalacao", "endereco", "numero", "bairro", "cep", "municipio", "uf", "municipio_ibge", "tipo_instalacao", "fonte_arquivo"]
 COMMON = T.StructType([T.StructField(c, _S) for c in COMMON_COLUMNS])
 POINT = T.StructType([T.StructField("x", _D), T.StructField("y", _D)])
@@ -18,12 +19,13 @@ POINT = T.StructType([T.StructField("x", _D), T.StructField("y", _D)])
 RINGS = T.ArrayType(T.StructType([T.StructField("part", T.IntegerType()), T.StructField("ring", T.IntegerType()), T.StructField("pts", T.ArrayType(POINT))]))
 GEOMETRY = T.StructType([T.StructField("type", _S), T.StructField("rings", RINGS)])
 BOUNDARIES = T.StructType([T.StructField("municipio_ibge", _S), T.StructField("municipio_nome", _S), T.StructField("uf", _S), T.StructField("regiao", _S), T.StructField("populacao", _L), T.StructField("populacao_ano", _S), T.StructField("geometry", GEOMETRY)])
+#: Headers of the address files.
 ADDRESS_COLUMNS = ["COD_MUNICIPIO", "CEP", "NOM_TIPO_SEGLOGR", "NOM_TITULO_SEGLOGR", "NOM_SEGLOGR", "NUM_ENDERECO", "LATITUDE", "LONGITUDE"]
 ADDRESSES = T.StructType([T.StructField(c, _S) for c in ADDRESS_COLUMNS])
 UNIT_NAMES = T.StructType([T.StructField("municipio_ibge", _S), T.StructField("municipio_nome", _S)])
 POPULATION = T.StructType([T.StructField("municipio_ibge", _S), T.StructField("populacao", _L), T.StructField("populacao_ano", _S)])
 
-#: Accepted headers of the register spreadsheets for each target column.
+#: Accepted headers of the register spreadsheets for each target column.
 REGISTER_HEADERS = {
     "cnpj": ["CNPJ"],
     "nome_instituicao": ["NOME INSTITUIÇÃO"],
@@ -37,6 +39,9 @@ REGISTER_HEADERS = {
     "uf": ["UF"],
     "municipio_ibge": ["MUNICIPIO IBGE", "MUNICÍPIO IBGE"],
 }
+#: Columns that the address keys add, for the lookup only.
+WORK_COLUMNS = ["cep8", "cep_generico", "logradouro", "numero_imovel", "chave_logr"]
+#: Accepted names of the unit code.
 UNIT_CODE_COLUMNS = ["codarea", "CD_MUN", "CD_GEOCMU", "GEOCODIGO", "geocodigo", "CD_MUNICIPIO"]
 
 

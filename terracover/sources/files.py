@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import glob
-import json
 import os
 import tempfile
 import time
@@ -15,11 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import from_wkb, to_wkb
-from ..operators.geocode import WORK_COLUMNS
-from ..schema import require_columns
-
-_GEO = {"version": "1.0.0", "primary_column": "geometry", "columns": {"geometry": {"encoding": "WKB", "geometry_types": ["Polygon", "MultiPolygon"], "crs": "OGC:CRS84"}}}
-
+from ..schema import WORK_COLUMNS, require_columns
+from .geoparquet import GeoParquetSink, geometry_column
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share (spark.checkpoint.dir); a temporary one only in a local session without it."""
@@ -55,30 +51,24 @@ def write_geocoded(df: DataFrame, path: str) -> None:
 
 
 def write_geo(df: DataFrame, path: str) -> None:
-    """K2: geometry as WKB; the reference system and encoding go into a side file that readers need."""
-    write_table(df.withColumn("geometry", to_wkb(F.col("geometry"))), path)
-    df.sparkSession.createDataFrame([(json.dumps(_GEO),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.geo")
+    """K2: geometry as WKB; every file's footer declares it and its reference system."""
+    df.sparkSession.dataSource.register(GeoParquetSink)
+    df.withColumn("geometry", to_wkb(F.col("geometry"))).write.format("geoparquet").mode("overwrite").save(path)
 
 
 def read_geo(spark: SparkSession, path: str, columns: list[str] = ()) -> DataFrame:
-    """S3: the reference system must be declared and be longitude and latitude."""
-    try:
-        declared = json.loads(spark.read.text(f"{path}.geo").first()[0])
-    except Exception as e:
-        raise ValueError(f"{path} declares no reference system") from e
-    crs = declared["columns"][declared["primary_column"]].get("crs")
-    if crs not in ("OGC:CRS84", "EPSG:4326"):
-        raise ValueError(f"unsupported reference system {crs}")
-    df = require_columns(spark.read.parquet(path), [*columns, "geometry"], path)
-    return df.withColumn("geometry", from_wkb(F.col("geometry")))
+    """S3: a GeoParquet table of any writer; the reference system must be longitude and latitude."""
+    own = geometry_column(spark, path)
+    df = require_columns(spark.read.parquet(path).withColumnRenamed(own, "geometry"), [*columns, "geometry"], path)
+    return df.withColumn("geometry", F.when(F.col("geometry").isNotNull(), from_wkb(F.col("geometry"))))
 
 
 def export(df: DataFrame, path: str) -> None:
-    """K4: Parquet or, by any other suffix, one CSV file with a header (a small report, made by one task)."""
+    """K4: Parquet or, by any other suffix, CSV in parts with a header each."""
     if path.endswith(".parquet"):
         write_table(df, path)
     else:
-        df.coalesce(1).write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+        df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
 
 
 def write_features(df: DataFrame, path: str) -> None:
