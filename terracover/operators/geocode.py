@@ -36,6 +36,7 @@ def reference_addresses(raw: DataFrame) -> DataFrame:
         x = F.col(name).try_cast("float")
         return F.when(~F.isnan(x), x)
 
+    raw = raw.where("LATITUDE IS NOT NULL AND LONGITUDE IS NOT NULL")  # which a scan can take over
     street = F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("NOM_TIPO_SEGLOGR", "NOM_TITULO_SEGLOGR", "NOM_SEGLOGR")))
     return raw.select(F.col("COD_MUNICIPIO").alias("mun"), digits(F.col("CEP")).alias("cep"), street_key(street).alias("logr"), F.col("NUM_ENDERECO").try_cast("double").alias("num"), single("LATITUDE").alias("lat"), single("LONGITUDE").alias("lon")).na.drop(subset=["lat", "lon"])
 

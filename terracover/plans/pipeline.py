@@ -17,7 +17,7 @@ from ..operators.standardize import categorise, enrich_units, standardize, unit_
 from ..scope import Scope
 from ..sources import files, json_files
 from ..sources.xlsx import XlsxSource
-from ..sources.zipcsv import ZipCsvSource
+from ..sources.zipcsv import read_addresses
 
 LOG = logging.getLogger("terracover")
 
@@ -60,7 +60,6 @@ class Pipeline:
     def __init__(self, spark: SparkSession, scope: Scope, inputs: Inputs, out: str):
         self.spark, self.scope, self.inputs, self.out = spark, scope, inputs, out
         spark.dataSource.register(XlsxSource)
-        spark.dataSource.register(ZipCsvSource)
 
     def path(self, kind: str) -> str:
         return self.scope.path(self.out, kind)
@@ -106,7 +105,7 @@ class Pipeline:
 
     def geocoded(self) -> None:
         target = geocode.address_keys(self.spark.read.parquet(self.path("categorised")))
-        raw = self.spark.read.format("zipcsv").option("path", self.inputs.addresses).load()
+        raw = read_addresses(self.spark, self.inputs.addresses)
         units = files.read_geo(self.spark, self.path("boundaries"))
         found = geocode.locate(target, geocode.build_index(target, geocode.reference_addresses(raw)))
         placed, _ = spatial.place(found, units)

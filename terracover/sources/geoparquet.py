@@ -1,26 +1,26 @@
 """GeoParquet: a sink that puts the `geo` key into every footer, and what a file's footer declares (S3, K2).
 
-The sink is a data source of its own (`format("geoparquet")`): each task writes one Parquet file under a temporary
-folder of the target, with the geometry types it has seen in the footer; the commit moves the files of the tasks that
-succeeded into place and then removes the folder, an abort removes it. Files are read by Spark's own Parquet
-reader; only the footers are looked at here, through Hadoop's file system.
+The sink is a data source of its own (`format("geoparquet")`): each task writes one Parquet file, with the geometry
+types it has seen in the footer (see stores.PartsWriter for the commit). Files are read by Spark's own Parquet reader;
+only the footers are looked at here, through Hadoop's file system.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import struct
-import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource
 from pyspark.sql.types import StructType
 
+from .stores import PartsWriter
+
 #: The reference system of longitude and latitude as the format's specification spells it.
 CRS84 = {
     "$schema": "https://proj.org/schemas/v0.5/projjson.schema.json",
@@ -38,13 +38,6 @@ LON_LAT = {("OGC", "CRS84"), ("EPSG", "4326")}
 KINDS = {1: "Point", 2: "LineString", 3: "Polygon", 4: "MultiPoint", 5: "MultiLineString", 6: "MultiPolygon", 7: "GeometryCollection"}
 
 
-def file_system(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a path or address that a Python worker can reach without the JVM, and the path in it."""
-    if path.startswith("file:"):
-        path = "/" + path.removeprefix("file:").lstrip("/")
-    return pafs.FileSystem.from_uri(path)
-
-
 def kind_of(blob: bytes) -> str:
     return KINDS[struct.unpack_from("<I" if blob[0] else ">I", blob, 1)[0]]
 
@@ -53,55 +46,20 @@ def declaration(column: str, kinds: set[str]) -> str:
     return json.dumps({"version": "1.0.0", "primary_column": column, "columns": {column: {"encoding": "WKB", "geometry_types": sorted(kinds), "crs": CRS84}}})
 
 
-@dataclass
-class Written(WriterCommitMessage):
-    name: str | None
+class GeoParquetWriter(PartsWriter):
+    suffix = ".parquet"
 
-
-class GeoParquetWriter(DataSourceArrowWriter):
     def __init__(self, path: str, column: str, schema: StructType, overwrite: bool):
-        self.path, self.column, self.schema, self.overwrite = path, column, schema, overwrite
-        self.temporary = f"_temporary/{uuid.uuid4().hex}"
-
-    def write(self, iterator) -> Written:
-        batch = next(iterator, None)
-        return Written(None if batch is None else self._file(batch, iterator))
-
-    def _file(self, batch: pa.RecordBatch, rest) -> str:
-        fs, root = file_system(self.path)
-        fs.create_dir(f"{root}/{self.temporary}", recursive=True)
-        name, kinds = f"part-{uuid.uuid4().hex}.parquet", set()
-        with pq.ParquetWriter(f"{root}/{self.temporary}/{name}", batch.schema, filesystem=fs, compression="zstd") as out:
-            while batch is not None:
+        super().__init__(path, schema, overwrite)
+        self.column = column
+
+    def parts(self, batches: Iterator[pa.RecordBatch], open_file) -> None:
+        first, kinds = next(batches), set()
+        with open_file() as file, pq.ParquetWriter(file, first.schema, compression="zstd") as out:
+            for batch in itertools.chain([first], batches):
                 kinds |= {kind_of(b) for b in batch.column(self.column).to_pylist() if b is not None}
                 out.write_batch(batch)
-                batch = next(rest, None)
             out.add_key_value_metadata({"geo": declaration(self.column, kinds)})
-        return name
-
-    def commit(self, messages) -> None:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        fs, root = file_system(self.path)
-        names = [m.name for m in messages if m is not None and m.name]
-        if not names:  # a table without rows still declares its columns
-            names = [self._file(pa.RecordBatch.from_pylist([], schema=to_arrow_schema(self.schema)), iter(()))]
-        if self.overwrite:
-            for f in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
-                if f.base_name != "_temporary":
-                    (fs.delete_dir if f.type == pafs.FileType.Directory else fs.delete_file)(f.path)
-        for name in names:
-            fs.move(f"{root}/{self.temporary}/{name}", f"{root}/{name}")
-        fs.open_output_stream(f"{root}/_SUCCESS").close()
-        self._clear(fs, root)
-
-    def abort(self, messages) -> None:
-        self._clear(*file_system(self.path))
-
-    def _clear(self, fs: pafs.FileSystem, root: str) -> None:
-        for folder in (self.temporary, "_temporary"):
-            if fs.get_file_info(f"{root}/{folder}").type == pafs.FileType.Directory and (folder == self.temporary or not fs.get_file_info(pafs.FileSelector(f"{root}/{folder}"))):
-                fs.delete_dir(f"{root}/{folder}")
 
 
 class GeoParquetSink(DataSource):

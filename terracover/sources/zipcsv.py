@@ -1,21 +1,32 @@
-"""CSV members of ZIP files (S7): `spark.read.format("zipcsv")`, projected to the schema's columns, as text.
-
-One partition for each (archive, member); a member is read as a stream of Arrow batches of bounded size.
-Options: path (files or folders by comma), sep (default ;), columns (by comma).
+"""CSV members of ZIP files (S7, E13): `spark.read.format("zipcsv")`, projected to the schema's columns, as text.
+
+One partition for each (archive, member); a member is read as a stream of Arrow batches of bounded size. Comparisons with
+constants, IN lists, prefixes and null tests are pushed into the scan, so rows that they reject never reach the JVM.
+Options: path (files or folders by comma), sep (default ;), columns (by comma), counts (a folder into which every scan
+puts the rows that it read and kept, as JSON lines).
+`df.write.format("zipcsv")` writes a folder of archives, one member each; all columns must be text.
+Empty text and a missing value are both written as nothing and read as null.
 """
 
 from __future__ import annotations
 
-import os
+import io
+import json
+import uuid
 import zipfile
+from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.csv as pc
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow.compute as pc
+import pyarrow.csv as pv
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, IsNull, Not, StringStartsWith
 
 from ..schema import ADDRESS_COLUMNS
+from .stores import PartsWriter, file_system, listed
 
 BLOCK = 16 << 20
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
 class Member(InputPartition):
@@ -36,29 +47,123 @@ class ZipCsvSource(DataSource):
         return ", ".join(f"`{c}` string" for c in self.columns())
 
     def reader(self, schema) -> ZipCsvReader:
-        paths = []
-        for p in self.options["path"].split(","):
-            p = p.removeprefix("file://")
-            paths += sorted(os.path.join(p, f) for f in os.listdir(p) if f.endswith(".zip")) if os.path.isdir(p) else [p]
-        return ZipCsvReader(paths, [f.name for f in schema.fields], self.options.get("sep", ";"))
+        return ZipCsvReader(listed(self.options["path"], ".zip"), [f.name for f in schema.fields], self.options.get("sep", ";"), self.options.get("counts"))
+
+    def writer(self, schema, overwrite: bool) -> ZipCsvWriter:
+        return ZipCsvWriter(self.options["path"], schema, overwrite, self.options.get("sep", ";"))
 
 
 class ZipCsvReader(DataSourceReader):
-    def __init__(self, paths: list[str], columns: list[str], sep: str):
-        self.paths, self.names, self.sep = paths, columns, sep
+    def __init__(self, paths: list[str], columns: list[str], sep: str, counts: str | None):
+        self.paths, self.names, self.sep, self.counts = paths, columns, sep, counts
+        self.tests: list[tuple] = []
+
+    def pushFilters(self, filters):
+        for f in filters:
+            test = self._test(f)
+            if test:
+                self.tests.append(test)
+            else:
+                yield f
+
+    @staticmethod
+    def _test(f) -> tuple | None:
+        """(kind, column, value, wanted), if the scan can decide the filter."""
+        wanted = True
+        if isinstance(f, Not):
+            f, wanted = f.child, False
+            if not isinstance(f, (IsNull, IsNotNull)):  # a null passes neither the test nor its opposite
+                return None
+        if len(f.attribute) != 1:
+            return None
+        if isinstance(f, (IsNull, IsNotNull)):
+            return "null", f.attribute[0], None, isinstance(f, IsNull) == wanted
+        if isinstance(f, In):
+            return "in", f.attribute[0], tuple(f.value), True
+        if isinstance(f, EqualTo):
+            return "in", f.attribute[0], (f.value,), True
+        if isinstance(f, StringStartsWith):
+            return "starts", f.attribute[0], f.value, True
+        return None
 
     def partitions(self) -> list[Member]:
         out = []
         for p in self.paths:
-            with zipfile.ZipFile(p) as z:
+            fs, path = file_system(p)
+            with fs.open_input_file(path) as f, zipfile.ZipFile(f) as z:
                 members = [n for n in z.namelist() if n.lower().endswith(".csv")]
             if not members:
                 raise ValueError(f"{p} holds no CSV file")
             out += [Member(p, n) for n in members]
         return out
 
-    def read(self, partition: Member):
-        with zipfile.ZipFile(partition.path) as z, z.open(partition.name) as f:
+    def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
+        fs, path = file_system(partition.path)
+        read = kept = 0
+        with fs.open_input_file(path) as file, zipfile.ZipFile(file) as z, z.open(partition.name) as f:
             types = {c: pa.string() for c in self.names}
-            reader = pc.open_csv(f, pc.ReadOptions(block_size=BLOCK), pc.ParseOptions(delimiter=self.sep), pc.ConvertOptions(column_types=types, include_columns=self.names, strings_can_be_null=True))
-            yield from reader
+            batches = pv.open_csv(f, pv.ReadOptions(block_size=BLOCK), pv.ParseOptions(delimiter=self.sep), pv.ConvertOptions(column_types=types, include_columns=self.names, strings_can_be_null=True, null_values=[""], quoted_strings_can_be_null=True))
+            for batch in batches:
+                own = batch if not self.tests else batch.filter(self._mask(batch))
+                read, kept = read + batch.num_rows, kept + own.num_rows
+                if own.num_rows:
+                    yield own
+        if self.counts:
+            fs, folder = file_system(self.counts)
+            fs.create_dir(folder, recursive=True)
+            with fs.open_output_stream(f"{folder}/{uuid.uuid4().hex}.json") as out:
+                out.write(json.dumps({"archive": partition.path.rsplit("/", 1)[-1], "member": partition.name, "read": read, "kept": kept}).encode())
+
+    def _mask(self, batch: pa.RecordBatch) -> pa.Array:
+        mask = None
+        for kind, column, value, wanted in self.tests:
+            own = batch.column(column)
+            if kind == "null":
+                test = own.is_null() if wanted else own.is_valid()
+            elif kind == "in":
+                test = pc.is_in(own, pa.array([v for v in value if v is not None], pa.string()))
+            else:
+                test = pc.fill_null(pc.starts_with(own, value), False)
+            mask = test if mask is None else pc.and_(mask, test)
+        return mask
+
+
+class ZipCsvWriter(PartsWriter):
+    suffix = ".zip"
+
+    def __init__(self, path: str, schema, overwrite: bool, sep: str):
+        super().__init__(path, schema, overwrite)
+        self.sep = sep
+
+    def parts(self, batches: Iterator[pa.RecordBatch], open_file) -> None:
+        first = next(batches)
+        with open_file() as file, zipfile.ZipFile(_Forward(file), "w", zipfile.ZIP_DEFLATED) as z, z.open("part.csv", "w", force_zip64=True) as member:
+            out = pv.CSVWriter(member, first.schema, write_options=pv.WriteOptions(delimiter=self.sep, quoting_style="needed"))
+            out.write_batch(first)
+            for batch in batches:
+                out.write_batch(batch)
+            out.close()
+
+
+class _Forward(io.RawIOBase):
+    """An output stream that zipfile may not seek in."""
+
+    def __init__(self, out):
+        self.out = out
+
+    def writable(self) -> bool:
+        return True
+
+    def write(self, data) -> int:
+        self.out.write(data)
+        return len(data)
+
+
+def read_addresses(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """The address files, with filters pushed into the scan."""
+    spark.dataSource.register(ZipCsvSource)
+    spark.conf.set(PUSHDOWN, "true")  # filters reach the scan of a Python source only with this setting
+    reader = spark.read.format("zipcsv").option("path", path)
+    for name, value in options.items():
+        reader = reader.option(name, value)
+    return reader.load()
