@@ -20,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--names", nargs="*", default=[])
     p.add_argument("--population", nargs="*", default=[])
     p.add_argument("--out", required=True)
+    p.add_argument("--reuse", action="store_true", help="skip stages whose inputs and outputs are unchanged")
     p.add_argument("-v", "--verbose", action="store_true")
     return p
 
@@ -60,7 +61,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         spark = SparkSession.builder.appName("terracover").getOrCreate()
     try:
         inputs = Inputs(args.branches, args.posts, args.boundaries, args.addresses, args.names, args.population)
-        for title, seconds in Pipeline(spark, scope, inputs, args.out).run():
+        for title, seconds in Pipeline(spark, scope, inputs, args.out).run(args.reuse):
             print(f"{title}: {seconds:.1f} s")
         return 0
     except KeyboardInterrupt:

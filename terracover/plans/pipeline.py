@@ -1,7 +1,11 @@
-"""The batch pipeline: five numbered, timed stages with a file between each two."""
+"""The batch pipeline: five numbered, timed stages with a file between each two.
+
+A manifest in the output folder says what each stage read and left; run(reuse=True) skips stages that are still fresh.
+"""
 
 from __future__ import annotations
 
+import functools
 import logging
 import time
 from collections.abc import Callable
@@ -18,6 +22,7 @@ from ..scope import Scope
 from ..sources import files, json_files
 from ..sources.xlsx import XlsxSource
 from ..sources.zipcsv import read_addresses
+from .manifest import Manifest
 
 LOG = logging.getLogger("terracover")
 
@@ -59,6 +64,7 @@ def run_stages(stages: list[tuple[str, Callable[[], object]]]) -> list[tuple[str
 class Pipeline:
     def __init__(self, spark: SparkSession, scope: Scope, inputs: Inputs, out: str):
         self.spark, self.scope, self.inputs, self.out = spark, scope, inputs, out
+        self.manifest = Manifest(spark, f"{out}/manifest_{scope.slug}")
         spark.dataSource.register(XlsxSource)
 
     def path(self, kind: str) -> str:
@@ -117,9 +123,34 @@ class Pipeline:
         coded, dictionaries = encode.encode(points, ["nome_instituicao", "tipo_instalacao", "municipio", "uf", "bairro", "cep", "numero", "precisao", "marca_exibicao"], ["nome_instalacao", "endereco"])
         files.payload(coded, dictionaries, self.path("map"))
 
-    def run(self) -> list[tuple[str, float]]:
-        stages = [("registers", self.categorised), ("boundaries", self.boundaries), ("aggregate", self.aggregated), ("geocode", self.geocoded), ("map payload", self.mapped)]
-        return run_stages(stages)
+    def stages(self) -> list[tuple[str, Callable[[], None], list[str], list[str]]]:
+        """Title, function, inputs and outputs of each stage."""
+        i = self.inputs
+        points, units, aggregate, geocoded = (self.path(k) for k in ("categorised", "boundaries", "aggregate", "geocoded"))
+        return [
+            ("registers", self.categorised, [i.branches, i.posts], [points]),
+            ("boundaries", self.boundaries, [*i.boundaries, *i.names, *i.population], [units]),
+            ("aggregate", self.aggregated, [points, units], [aggregate]),
+            ("geocode", self.geocoded, [points, units, *i.addresses.split(",")], [geocoded]),
+            ("map payload", self.mapped, [geocoded], [self.path("map")]),
+        ]
+
+    def run(self, reuse: bool = False) -> list[tuple[str, float]]:
+        """Run the stages, or with reuse those that are not fresh; the time of each (a skipped one takes none)."""
+        self.skipped: list[str] = []
+
+        def tracked(number: int, title: str, stage: Callable[[], None], inputs: list[str], outputs: list[str]) -> None:
+            if reuse and self.manifest.fresh(number, inputs, outputs):
+                self.skipped.append(title)
+                return
+            began = time.monotonic()
+            self.manifest.begin(number)
+            stage()
+            left = outputs[0]
+            rows = (self.spark.read.text(f"{left}/points") if title == "map payload" else self.spark.read.parquet(left)).count()
+            self.manifest.end(number, title, time.monotonic() - began, inputs, outputs, rows)
+
+        return run_stages([(title, functools.partial(tracked, k, title, *rest)) for k, (title, *rest) in enumerate(self.stages(), 1)])
 
     def reports(self) -> dict[str, DataFrame]:
         """What each stage left, as tables."""
