@@ -1,4 +1,4 @@
-"""Exact numbers and medians in an order, without a task that sees a whole group.
+"""Exact numbers and medians in an order, without a task that sees a whole group.
 
 Rows are range-partitioned and sorted by group and order, so a hot group lies in many partitions; each partition
 numbers its own rows, and the counts of the partitions before are added back. What is summed up in one window is a row
@@ -37,6 +37,24 @@ def numbered(df: DataFrame, order: list[str], within: list[str] = (), position:
     return out.drop("_at", "_part", "_p", "_first", "_before", "_size", *(f"_k{k}" for k in range(len(within))))
 
 
+def carried(df: DataFrame, order: list[str], within: list[str], columns: list[str]) -> DataFrame:
+    """df with each of columns filled with its last value that is not null, up to the row, by order in its group."""
+    keys = [F.col(c) for c in (*within, *order)]
+    rows = stored(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()), "carried")
+    rows = rows.withColumn("_part", F.shiftright("_at", 33))
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_at"))).alias(f"_c{k}") for k, c in enumerate(columns)]
+    parts = rows.groupBy("_part", *within).agg(*last)
+    before = W.partitionBy(*within).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.select(F.col("_part").alias("_p"), *(F.col(c).alias(f"_k{k}") for k, c in enumerate(within)), *(F.last(f"_c{k}", ignorenulls=True).over(before).alias(f"_c{k}") for k in range(len(columns))))
+    on = F.col("_part") == F.col("_p")
+    for k, c in enumerate(within):
+        on = on & F.col(c).eqNullSafe(F.col(f"_k{k}"))
+    inside = W.partitionBy("_part", *within).orderBy("_at").rowsBetween(W.unboundedPreceding, 0)  # the rows of one partition
+    out = rows.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns}).join(parts, on)
+    out = out.withColumns({c: F.coalesce(c, f"_c{k}") for k, c in enumerate(columns)})
+    return out.drop("_at", "_part", "_p", *(f"_k{k}" for k in range(len(within))), *(f"_c{k}" for k in range(len(columns))))
+
+
 def medians(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """The exact median of each column by keys (none of them null), with equal values counted together first.
 
