@@ -1,12 +1,17 @@
 """Quality rules with risk-controlled thresholds (operator 5).
 
 Every rule rejects a document whose score reaches a cutoff. Cutoffs are chosen for each stratum (the
-document's language) from labelled good documents held out for that purpose: a cutoff is safe if an
-exact binomial test rules out, at the corrected level, that it rejects more than its share of good
-documents. Within a rule the cutoffs are tested from the mildest to the strictest and testing stops at
-the first that fails (fixed-sequence testing); over rules and strata the level is divided (Bonferroni).
-With confidence 1 - CONFIDENCE_LOSS all strata together, the rules reject at most FALSE_REJECTION of
-the good documents of every stratum. A stratum with too few labels gets no cutoffs.
+document's language) from labelled good documents held out for that purpose, for all rules together: STEPS
+vectors of cutoffs, fixed beforehand and each stricter than the last, are tested from the mildest on. A vector
+is safe if an exact binomial test rules out, at the corrected level, that the rules together reject more than
+FALSE_REJECTION of the good documents of the stratum; testing stops at the first that is not (fixed-sequence
+testing, so all vectors before it are safe at once). Of the safe ones the mildest is taken that rejects as many
+labelled bad documents as the strictest does (the strictest, if there are no bad labels). The level is divided
+over those strata that have labels enough to pass at all (Bonferroni; how many labels there are says
+nothing about scores). With confidence 1 - CONFIDENCE_LOSS all strata together, the rules reject at most
+FALSE_REJECTION of the good documents of every stratum that the base rule leaves. A stratum with too few
+labels gets no cutoffs (149 good ones suffice for one stratum, 217 for four). The base rule has no such
+bound: it rejects good documents that are short or repeat themselves.
 
 Defined results: null text has no words (and fails the base rule); a null stratum is a stratum; a
 document labelled twice is good only if every label says so; rows that repeat a doc_id are one trial of
@@ -20,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, U64, Chunk, chunks_of, doc_of, materialize, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
@@ -30,6 +35,7 @@ from .phrases import LEAST_ID, keyed_rows
 FALSE_REJECTION = 0.02
 CONFIDENCE_LOSS = 0.05
 MIN_WORDS = 50
+STEPS = 12
 #: Cutoff tables of up to so many strata are broadcast; beyond that Spark chooses the join.
 BROADCAST_STRATA = 10_000
 
@@ -149,34 +155,47 @@ def _beta_fraction(a: int, b: int, x: float) -> float:
     return out
 
 
+def cutoffs_at(step: int) -> dict[str, int]:
+    """How many of its cutoffs each rule has gone through at a step of the path."""
+    return {r: step * len(cuts) // STEPS for r, (_, cuts) in RULES.items()}
+
+
+def first_step(rule: str) -> Column:
+    """The first step of the path at which a rule rejects a document, STEPS + 1 if none does."""
+    cuts = RULES[rule][1]
+    first = [next(s for s in range(1, STEPS + 1) if cutoffs_at(s)[rule] > k) for k in range(len(cuts))]
+    return F.coalesce(*(F.when(score(rule) >= c, F.lit(s)) for c, s in zip(cuts, first, strict=True)), F.lit(STEPS + 1))
+
+
 def fit_cutoffs(metrics: DataFrame, labels: DataFrame, false_rejection: float = FALSE_REJECTION, loss: float = CONFIDENCE_LOSS) -> DataFrame:
     """stratum and one cutoff column per rule (null: the rule stays off in that stratum)."""
-    good = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1")
-    held = metrics.join(good.select("doc_id"), "doc_id", "left_semi").where(~base_failed())
-    levels = {r: sum((F.when(score(r) >= c, 1).otherwise(0) for c in cuts), F.lit(0)) for r, (_, cuts) in RULES.items()}
-    # how many good documents each cutoff rejects: the number of cutoffs a score reaches, counted from the strictest;
+    judged = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    held = metrics.where(~base_failed()).join(judged, "doc_id")
     # rows that repeat an id are one trial, rejected where any of them is
-    wide = held.groupBy("stratum", "doc_id").agg(*(F.max(x).alias(f"_{r}") for r, x in levels.items()))
-    counts = wide.select("stratum", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(f"_{r}").alias("level")) for r in RULES))).alias("x")).groupBy("stratum", "x.rule", "x.level").agg(F.count("*").alias("n"))
-    n_strata = metrics.select("stratum").distinct().count()
-    risk, level = false_rejection / len(RULES), loss / (len(RULES) * max(1, n_strata))
+    trials = held.groupBy("stratum", "doc_id", "quality").agg(F.min(F.least(*(first_step(r) for r in RULES))).alias("step"))
+    counts = materialize(trials.groupBy("stratum", (F.col("quality") == 1).alias("good"), "step").agg(F.count("*").alias("n")), "quality-counts")
+    # the most strata of which each could pass with no rejection at the level divided by their number
+    sizes = counts.where("good").groupBy("stratum").agg(F.sum("n").alias("n"))
+    ranked = sizes.withColumn("m", F.row_number().over(Window.orderBy(F.desc("n"), "stratum")))  # a row a stratum
+    able = F.pow(F.lit(1.0 - false_rejection), F.col("n")) <= F.lit(loss) / F.col("m")
+    n_able = ranked.where(able).agg(F.max("m")).first()[0] or 0
+    able = ranked.where(F.col("m") <= n_able).select(F.col("stratum").alias("_s"))
+    level = loss / max(1, n_able)
 
     def choose(pdf):
         import pandas as pd
 
-        row: dict = {"stratum": [pdf["stratum"].iloc[0]]}
-        for r, (_, cuts) in RULES.items():
-            own = pdf[pdf["rule"] == r]
-            n, chosen = int(own["n"].sum()), None
-            for k, cut in enumerate(cuts):
-                rejected = int(own.loc[own["level"] >= len(cuts) - k, "n"].sum())
-                if binomial_tail(rejected, n, risk) > level:
-                    break
-                chosen = cut
-            row[r] = [chosen]
-        return pd.DataFrame(row)
-
-    return counts.groupBy("stratum").applyInPandas(choose, "stratum string, " + ", ".join(f"{r} double" for r in RULES))
+        good, bad = (pdf[pdf["good"] == g].groupby("step")["n"].sum().reindex(range(1, STEPS + 2), fill_value=0).cumsum() for g in (True, False))
+        n, safe = int(good.iloc[-1]), 0
+        while safe < STEPS and binomial_tail(int(good[safe + 1]), n, false_rejection) <= level:
+            safe += 1
+        if safe and bad.iloc[-1]:
+            safe = next((s for s in range(1, safe + 1) if bad[s] == bad[safe]), safe) if bad[safe] else 0
+        gone = cutoffs_at(safe)
+        return pd.DataFrame({"stratum": [pdf["stratum"].iloc[0]]} | {r: [cuts[gone[r] - 1] if gone[r] else None] for r, (_, cuts) in RULES.items()})
+
+    own = counts.join(able, F.col("stratum").eqNullSafe(F.col("_s")), "left_semi")
+    return own.groupBy("stratum").applyInPandas(choose, "stratum string, " + ", ".join(f"{r} double" for r in RULES))
 
 
 def apply_cutoffs(metrics: DataFrame, cutoffs: DataFrame) -> DataFrame:

@@ -361,25 +361,35 @@ def brute_verdicts(rows, labels):
     for d, q in labels:
         if d is not None and q is not None:
             good[d] = min(q, good.get(d, 1))
-    scored, held, strata = [], {}, {lang for _, _, lang in rows}
+    scored, held = [], {}
     for d, t, lang in rows:
         w, chars, symbols, dups, repeats, lines = brute_metrics(t)
         part = lambda x, y: x / y if y else -1e300
         scores = {"symbols": part(symbols, w), "dup_lines": part(dups, lines), "long_words": part(chars, w), "short_words": part(-chars, w), "repeats": part(repeats, w)}
         failed = w < 50 or 100 * repeats > 50 * w
         scored.append((d, lang, failed, scores))
-        if good.get(d) == 1 and not failed:
-            held.setdefault(lang, {}).setdefault(d, []).append(scores)
+        if d in good and not failed:
+            held.setdefault(lang, ({}, {}))[good[d]].setdefault(d, []).append(scores)
+    sizes = sorted((len(g) for _, g in held.values()), reverse=True)
+    able = max((m for m, n in enumerate(sizes, 1) if 0.98**n <= 0.05 / m), default=0)
+    least = sizes[able - 1] if able else math.inf
     cutoff = {}
-    for lang, docs in held.items():
-        for rule, (_, cuts) in quality.RULES.items():
-            for cut in cuts:
-                k, n = sum(any(s[rule] >= cut for s in own) for own in docs.values()), len(docs)
-                p = 0.02 / len(quality.RULES)
-                tail = sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k + 1))
-                if tail > 0.05 / (len(quality.RULES) * len(strata)):
-                    break
-                cutoff[lang, rule] = cut
+    for lang, (bad, fine) in held.items():
+        if len(fine) < least:
+            continue
+        safe = []
+        for step in range(1, quality.STEPS + 1):
+            own = {r: cuts[step * len(cuts) // quality.STEPS - 1] for r, (_, cuts) in quality.RULES.items() if step * len(cuts) // quality.STEPS}
+            rejects = lambda docs: sum(any(s[r] >= c for s in trial for r, c in own.items()) for trial in docs.values())  # noqa: B023
+            k, n, p = rejects(fine), len(fine), 0.02
+            tail = sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k + 1))
+            if tail > 0.05 / able:
+                break
+            safe.append((rejects(bad), own))
+        if safe and bad and not safe[-1][0]:
+            continue
+        chosen = next((own for k, own in safe if k == safe[-1][0]), {}) if bad else safe[-1][1] if safe else {}
+        cutoff |= {(lang, r): c for r, c in chosen.items()}
     return collections.Counter((d, failed, not failed and not any(s[r] >= cutoff.get((lang, r), math.inf) for r in s)) for d, lang, failed, s in scored), cutoff
 
 
@@ -396,7 +406,7 @@ def test_cutoffs_and_verdicts_by_brute_force(spark):
     rows += [rows[0]] * 40 + [(0, text(0.9), "en")] + [(None, text(0.1), "en"), (4, None, "de")]  # repeated rows are one trial
     labels = [(k, int(k % 9 > 0)) for k in range(4400)] + [(1, 0), (3, None), (None, 1), (10**6, 1)]
     want, cutoff = brute_verdicts(rows, labels)
-    assert len(cutoff) >= 4 and any(c != quality.RULES[r][1][-1] for (_, r), c in cutoff.items())
+    assert len({lang for lang, _ in cutoff}) >= 2 and any(c != quality.RULES[r][1][-1] for (_, r), c in cutoff.items())
     got = quality.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4), spark.createDataFrame(labels, "doc_id long, quality int"))
     assert by_row(got.collect(), "doc_id", "base_failed", "kept") == want
 
@@ -415,6 +425,17 @@ def test_cutoffs_keep_good_documents(spark, docs, empty):
     assert quality.quality_verdicts(docs, labels.limit(0)).count() == len(DOCS)
 
 
+def test_cutoffs_have_power_and_keep_their_bound(spark):
+    """On the driver's tables: strata with labels enough have cutoffs, which good labels bear out."""
+    for sf, least in (("sf0.01", {"en"}), ("sf0.1", {"en", "de", "es", "fr"})):
+        docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+        rows = quality.quality_verdicts(docs, labels).where("NOT base_failed").join(labels.groupBy("doc_id").agg(F.min("quality").alias("quality")), "doc_id")
+        by = {(x["stratum"], x["quality"]): (x["n"], x["gone"]) for x in rows.groupBy("stratum", "quality").agg(F.count("*").alias("n"), F.count_if(~F.col("kept")).alias("gone")).collect()}
+        assert {s for (s, q), (_, gone) in by.items() if q == 0 and gone} >= least
+        assert all(gone <= 0.02 * n for (_, q), (n, gone) in by.items() if q == 1)
+        assert all(by[s, 0][1] >= 0.9 * by[s, 0][0] for s in least)
+
+
 def test_a_rejection_holds_for_its_own_text(spark):
     clean, short = " ".join(f"w{k}" for k in range(60)), "too short"
     rows = [(None, clean, "en"), (None, short, "en"), (7, clean, "en"), (7, short, None), (8, None, "en"), (8, clean, None), (9, short, "de")]
