@@ -41,6 +41,16 @@ def incomplete_states(units: DataFrame, states: list[str]) -> DataFrame:
     return expected.join(found, "uf", "outer").na.fill(0, ["expected", "found"]).where("expected <> found")
 
 
+def unnamed_units(units: DataFrame) -> DataFrame:
+    """How many units have no name."""
+    return units.agg(F.lit("names").alias("check_name"), F.count_if(F.col("municipio_nome").isNull()).alias("failures"))
+
+
+def population_absent(units: DataFrame) -> DataFrame:
+    """One failure if there are units and none has a population."""
+    return units.agg(F.lit("population").alias("check_name"), F.when((F.count("*") > 0) & (F.count("populacao") == 0), 1).otherwise(0).cast("long").alias("failures"))
+
+
 def is_stale(derived: str, source: str, slack: float = 60.0) -> bool:
     """Whether a derived file is older than its source by more than the slack."""
     return os.path.getmtime(derived) < os.path.getmtime(source) - slack

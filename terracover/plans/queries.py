@@ -533,16 +533,15 @@ def median_index_3(spark, sf):
     return _as_double(G.consolidate(_lines(spark, sf), "mun", "chave", "num"))
 
 
-@query("lookup_cascade", f"""WITH i3 AS (SELECT mun, chave, num, {_MEDIANS} FROM ({_LINES}) WHERE num < 3 GROUP BY ALL), i2 AS (SELECT mun, chave, {_MEDIANS} FROM ({_LINES}) WHERE num < 5 GROUP BY ALL), i1 AS (SELECT mun, {_MEDIANS} FROM ({_LINES}) WHERE num < 7 GROUP BY ALL)
+@query("lookup_cascade", f"""WITH i3 AS (SELECT mun, chave, num, {_MEDIANS} FROM ({_LINES}) GROUP BY ALL), i2 AS (SELECT mun, chave, {_MEDIANS} FROM ({_LINES}) GROUP BY ALL), i1 AS (SELECT mun, {_MEDIANS} FROM ({_LINES}) GROUP BY ALL)
 SELECT t.l_orderkey, t.l_linenumber, coalesce(a.lat, b.lat, c.lat) latitude, coalesce(a.lon, b.lon, c.lon) longitude, CASE WHEN a.lat IS NOT NULL THEN 'exact' WHEN b.lat IS NOT NULL THEN 'street' WHEN c.lat IS NOT NULL THEN 'locality' ELSE '' END precisao
-FROM lineitem t LEFT JOIN i3 a ON a.mun = l_partkey AND a.chave = l_suppkey AND a.num = l_linenumber LEFT JOIN i2 b ON b.mun = l_partkey AND b.chave = l_suppkey LEFT JOIN i1 c ON c.mun = l_partkey""")
+FROM (SELECT *, l_partkey + CASE WHEN l_orderkey % 11 = 0 THEN 1000000 ELSE 0 END u, l_suppkey + l_orderkey % 2 s, l_linenumber + l_orderkey % 3 n FROM lineitem) t LEFT JOIN i3 a ON a.mun = u AND a.chave = s AND a.num = n LEFT JOIN i2 b ON b.mun = u AND b.chave = s LEFT JOIN i1 c ON c.mun = u""")
 def lookup_cascade(spark, sf):
-    """J6, J7."""
+    """An index of all lines, asked with keys of which some are absent."""
     lines = _lines(spark, sf)
-    i3 = G.consolidate(lines.where("num < 3"), "mun", "chave", "num")
-    i2 = G.consolidate(lines.where("num < 5"), "mun", "chave")
-    i1 = G.consolidate(lines.where("num < 7"), "mun")
-    unit, key, num = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber").cast("double")
+    i3, i2, i1 = (G.consolidate(lines, *keys) for keys in (("mun", "chave", "num"), ("mun", "chave"), ("mun",)))
+    k = F.col("l_orderkey")
+    unit, key, num = F.col("l_partkey") + F.when(k % 11 == 0, 1_000_000).otherwise(0), F.col("l_suppkey") + k % 2, (F.col("l_linenumber") + k % 3).cast("double")
     out = G.cascade(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), [("exact", i3, [unit, key, num]), ("street", i2, [unit, key]), ("locality", i1, [unit])])
     return out.select("l_orderkey", "l_linenumber", "latitude", "longitude", "precisao")
 
@@ -805,12 +804,13 @@ def geojson_round_trip(spark, sf):
     return read.select("codarea", F.array_min(xs).alias("west"), F.array_max(xs).alias("east"))
 
 
-@query("unit_names_source", "SELECT lpad(CAST(n_nationkey AS VARCHAR), 7, '0') municipio_ibge, n_name AS municipio_nome FROM nation")
+@query("unit_names_source", "SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') municipio_ibge, c_name AS municipio_nome FROM customer")
 def unit_names_source(spark, sf):
-    """A JSON list of ids and names."""
+    """JSON lists of ids and names, a thousand in a file."""
     path = S.shared_path(spark, "names")
-    rows = table(spark, sf, "nation").agg(F.to_json(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("nome")))).alias("value"))  # one small file
-    rows.coalesce(1).write.text(path)
+    one = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("nome"))
+    rows = table(spark, sf, "customer").groupBy(F.floor(F.col("c_custkey") / 1000).alias("file")).agg(F.to_json(F.collect_list(one)).alias("value"))
+    rows.write.partitionBy("file").text(path)
     return J.read_unit_names(spark, path)
 
 
@@ -832,14 +832,14 @@ def payload_files(spark, sf):
     return spark.read.json(f"{path}/points").join(codes, "o_orderpriority_code").select("_pos", "value")
 
 
-@query("text_files", "SELECT page_id, md5(html) digest FROM pages")
+@query("text_files", "SELECT page_id, md5(html || chr(13) || url || chr(13) || chr(10) || chr(10)) digest FROM pages")
 def text_files(spark, sf):
-    """K8: whole files read byte for byte, line ends kept (here as JSON strings, one file a partition)."""
+    """K8: each page in a file of its own, all kinds of line ends kept, byte for byte."""
     path = S.shared_path(spark, "pages")
-    table(spark, sf, "pages").select(F.to_json(F.struct("page_id", "html")).alias("value")).write.text(path)
-    lines = S.read_text(spark, f"{path}/*.txt").select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
-    row = F.from_json("line", "page_id long, html string")
-    return lines.select(row.alias("r")).select("r.page_id", F.md5(F.col("r.html").cast("binary")).alias("digest"))
+    pages = table(spark, sf, "pages").select(F.concat("page_id", F.lit(".html")).alias("name"), F.concat("html", F.lit("\r"), "url", F.lit("\r\n\n")).alias("text"))
+    S.write_texts(pages, path)
+    back = S.read_text(spark, f"{path}/*.html")
+    return back.select(F.regexp_extract("path", r"([^/]+)\.html$", 1).cast("long").alias("page_id"), F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
 @query("inline_scripts", "SELECT page_id, md5(html || '<script>/*' || url || '*/</script>') digest, CAST(1 AS BIGINT) scripts, CAST(0 AS BIGINT) stylesheets FROM pages")
