@@ -22,15 +22,15 @@ def suffix(brand: str) -> str:
     return tables.BRAND_SUFFIX.get(brand) or snake_case(brand)
 
 
-def pivot_counts(counts: DataFrame, known: list[str] | None = None, code: str = CODE, category: str = CATEGORY, brand: str = BRAND, categories: dict[str, str] | None = None) -> DataFrame:
+def pivot_counts(counts: DataFrame, known: list[str] | None = None, code: str = CODE, category: str = CATEGORY, brand: str = BRAND, categories: dict[str, str] | None = None, closed: bool = False) -> DataFrame:
     """One row a code with totals by category and brand, zero filled, in one aggregation.
 
     Known brands have their columns even if unseen; unknown ones follow, sorted (A21: their distinct
-    names are the only rows that reach the driver, one a brand).
+    names are the only rows that reach the driver, one a brand). closed: the caller knows all brands, so none are looked for.
     """
     known = list(tables.BRAND_SUFFIX) if known is None else known
     categories = categories or {"total_cooperativas": tables.CATEGORY_COOPERATIVE, "total_bancos": tables.CATEGORY_BANK}
-    seen = [r[0] for r in counts.where(F.col(brand).isNotNull() & ~F.col(brand).isin(*known)).select(brand).distinct().collect()]
+    seen = [] if closed else [r[0] for r in counts.where(F.col(brand).isNotNull() & ~F.col(brand).isin(*known)).select(brand).distinct().collect()]
 
     def total(condition: Column, name: str) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("pontos"))), F.lit(0)).cast("long").alias(name)

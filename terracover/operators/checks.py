@@ -31,7 +31,8 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
 def bad_codes(df: DataFrame, code: str = "municipio_ibge") -> DataFrame:
     """C4: codes that are null or not seven digits, with up to five examples in one row, if there are any."""
     bad = df.where(F.col(code).isNull() | ~F.col(code).rlike(r"^\d{7}$"))
-    return bad.groupBy().agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set(F.substring(code, 1, 40))), 1, 5).alias("examples")).where("n > 0")
+    first = bad.select(F.substring(code, 1, 40).alias("c")).distinct().where("c IS NOT NULL").orderBy("c").limit(5)
+    return bad.agg(F.count("*").alias("n")).crossJoin(first.agg(F.array_sort(F.collect_list("c")).alias("examples"))).where("n > 0")  # one row each
 
 
 def incomplete_states(units: DataFrame, states: list[str]) -> DataFrame:

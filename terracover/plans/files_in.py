@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import geocode as G
 from ..sources import files as S
+from ..sources import json_files as J
+from ..sources.fetch import fetch_all
 from ..sources.xlsx import XlsxSource
 from ..sources.zipcsv import ZipCsvSource, read_addresses
 from .registry import query
@@ -67,3 +69,23 @@ def zipped_scan_counts(spark, sf):
     raw = read_addresses(spark, zipped_orders(spark, sf), counts=counts).where(F.col("COD_MUNICIPIO").isin(_UNITS))
     G.reference_addresses(raw).write.format("noop").mode("overwrite").save()
     return spark.read.schema("read long, kept long").json(counts).agg(F.sum("read").alias("read"), F.sum("kept").alias("kept"))
+
+
+@query("fetched_boundaries", "SELECT r_name AS region, CASE WHEN r_regionkey % 5 = 3 THEN 'failed' ELSE 'fetched' END AS status, CAST(CASE WHEN r_regionkey % 5 <> 3 THEN (SELECT count(*) FROM nation WHERE n_regionkey = r_regionkey) ELSE 0 END AS BIGINT) features FROM region")
+def fetched_boundaries(spark, sf):
+    """A collection a region fetched by executors, checked and counted; a bad one is a row, not an error."""
+    folder, out = S.shared_path(spark, "served"), S.shared_path(spark, "collections")
+    nations, regions = spark.read.parquet(f"{sf}/nation.parquet"), spark.read.parquet(f"{sf}/region.parquet")
+    x = F.col("n_nationkey")
+    corners = F.concat_ws(",", *(F.concat(F.lit("["), (x + a).cast("string"), F.lit(f",{b}]")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))))
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"codarea":"'), F.lpad(x.cast("string"), 7, "0"), F.lit('"},"geometry":{"type":"Polygon","coordinates":[['), corners, F.lit("]]}}"))
+    own = nations.groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(F.array_join(F.collect_list(feature), ",").alias("features"))  # one region's features
+    kind = F.when(F.col("r_regionkey") % 5 == 3, "Feature").otherwise("FeatureCollection")
+    files = regions.join(own, "r_regionkey").select(F.concat("r_name", F.lit(".json")).alias("name"), F.concat(F.lit('{"type":"'), kind, F.lit('","features":['), "features", F.lit("]}")).alias("text"))
+    S.write_texts(files, folder)
+    requests = regions.select(F.concat(F.lit(f"{folder}/"), "r_name", F.lit(".json")).alias("url"), F.concat(F.lit(f"{out}/"), "r_name", F.lit(".geojson")).alias("target"), F.lit("features").alias("check"))
+    answers = fetch_all(requests, 4, tries=2, wait=0.01)
+    read = J.read_boundaries(spark, out).withColumn("r_regionkey", F.col("codarea").cast("long")).join(nations.select(x.alias("r_regionkey"), "n_regionkey"), "r_regionkey")
+    counts = read.groupBy("n_regionkey").agg(F.count("*").alias("features")).join(regions.select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region")), "n_regionkey")
+    told = answers.select(F.regexp_extract("target", r"([^/]+)\.geojson$", 1).alias("region"), "status")
+    return told.join(counts.select("region", "features"), "region", "left").na.fill(0, ["features"])

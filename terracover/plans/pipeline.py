@@ -111,7 +111,9 @@ class Pipeline:
 
     def geocoded(self) -> None:
         target = geocode.address_keys(self.spark.read.parquet(self.path("categorised")))
-        raw = read_addresses(self.spark, self.inputs.addresses)
+        # units that points lie in: at most the country's, so the scan itself leaves out all other rows
+        asked = [r[0] for r in target.where(F.col("municipio_ibge").isNotNull()).select("municipio_ibge").distinct().collect()]
+        raw = read_addresses(self.spark, self.inputs.addresses).where(F.col("COD_MUNICIPIO").isin(asked))
         units = files.read_geo(self.spark, self.path("boundaries"))
         found = geocode.locate(target, geocode.build_index(target, geocode.reference_addresses(raw)))
         placed, _ = spatial.place(found, units)

@@ -77,7 +77,7 @@ BRANDS = [*COOP, "SUPPLIER"]
 def wide_counts(spark: SparkSession, sf: str) -> DataFrame:
     """A1, A2."""
     counts = A.count_points(categorised(spark, sf), "unit", "category", "brand")
-    return A.pivot_counts(counts, BRANDS, "unit", "category", "brand", {"total_coop": "COOP", "total_bank": "BANK"})
+    return A.pivot_counts(counts, BRANDS, "unit", "category", "brand", {"total_coop": "COOP", "total_bank": "BANK"}, closed=True)
 
 
 def _sums() -> str:

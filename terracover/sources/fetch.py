@@ -11,9 +11,10 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.tables import STATE_CODES
 from .files import stored
 from .stores import file_system
 
@@ -125,3 +126,16 @@ def fetch_all(requests: DataFrame, tasks: int, tries: int = TRIES, wait: float =
 
     rows = requests.select("url", "target", F.col("check").cast("string")).repartition(tasks)
     return stored(rows.mapInArrow(run, "url string, target string, check string, status string, tries long, bytes long, error string"), "fetched")
+
+
+def state_requests(spark: SparkSession, states: list[str], template: str, folder: str, suffix: str, check: str) -> DataFrame:
+    """A request for each state; {uf} and {code} in the template stand for the state and its number."""
+    rows = [(template.format(uf=s, code=STATE_CODES[s]), f"{folder.rstrip('/')}/{s}{suffix}", check) for s in states]
+    return spark.createDataFrame(rows, "url string, target string, check string")
+
+
+def require_all(fetched: DataFrame) -> list[str]:
+    """The targets of a fetch of which nothing failed; else an error that names up to five that did (one row a file)."""
+    if failed := fetched.where("status = 'failed'").orderBy("target").limit(5).collect():
+        raise OSError("; ".join(f"{r['url']}: {r['error']}" for r in failed))
+    return sorted(r["target"] for r in fetched.select("target").collect())

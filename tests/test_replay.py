@@ -111,3 +111,12 @@ def test_fetching(spark, tmp_path, server):
     assert X.fetch_all(requests.limit(0), 2).count() == 0
     gone = spark.createDataFrame([("http://127.0.0.1:1/x", f"{tmp_path}/x", None)], "url string, target string, check string")
     assert X.fetch_all(gone, 1, tries=2, wait=0.01).first().status == "failed"
+
+
+def test_requests_of_states(spark, tmp_path, server):
+    address, _ = server
+    requests = X.state_requests(spark, ["RS", "SC"], address + "/{uf}/{code}.zip", f"{tmp_path}/s", ".zip", "zip")
+    assert sorted(r["url"].removeprefix(address) for r in requests.collect()) == ["/RS/43.zip", "/SC/42.zip"]
+    assert X.require_all(X.fetch_all(requests, 2, wait=0.01)) == [f"{tmp_path}/s/RS.zip", f"{tmp_path}/s/SC.zip"]
+    with pytest.raises(OSError, match="404"):
+        X.require_all(X.fetch_all(spark.createDataFrame([(f"{address}/absent.zip", f"{tmp_path}/s/x.zip", "zip")], "url string, target string, check string"), 1, wait=0.01))
