@@ -1,9 +1,10 @@
 """CSV members of ZIP files (S7, E13): `spark.read.format("zipcsv")`, projected to the schema's columns, as text.
 
-One partition for each (archive, member); a member is read as a stream of Arrow batches of bounded size. Comparisons with
-constants, IN lists, prefixes and null tests are pushed into the scan, so rows that they reject never reach the JVM.
-Options: path (files or folders by comma), sep (default ;), columns (by comma), counts (a folder into which every scan
-puts the rows that it read and kept, as JSON lines).
+One partition for each (archive, member); a member is read as a stream of Arrow batches of bounded size. Read by
+read_addresses(), comparisons with constants, IN lists, prefixes and null tests are pushed into the scan, so rows that
+they reject never reach the JVM.
+Options: path (files or folders by comma), sep (default ;), columns (by comma), pushdown (true: take filters over, which
+needs the session's setting PUSHDOWN), counts (a folder into which every scan puts the rows that it read and kept).
 `df.write.format("zipcsv")` writes a folder of archives, one member each; all columns must be text.
 Empty text and a missing value are both written as nothing and read as null.
 """
@@ -47,7 +48,8 @@ class ZipCsvSource(DataSource):
         return ", ".join(f"`{c}` string" for c in self.columns())
 
     def reader(self, schema) -> ZipCsvReader:
-        return ZipCsvReader(listed(self.options["path"], ".zip"), [f.name for f in schema.fields], self.options.get("sep", ";"), self.options.get("counts"))
+        kind = FilteredReader if self.options.get("pushdown") == "true" else ZipCsvReader
+        return kind(listed(self.options["path"], ".zip"), [f.name for f in schema.fields], self.options.get("sep", ";"), self.options.get("counts"))
 
     def writer(self, schema, overwrite: bool) -> ZipCsvWriter:
         return ZipCsvWriter(self.options["path"], schema, overwrite, self.options.get("sep", ";"))
@@ -58,34 +60,6 @@ class ZipCsvReader(DataSourceReader):
         self.paths, self.names, self.sep, self.counts = paths, columns, sep, counts
         self.tests: list[tuple] = []
 
-    def pushFilters(self, filters):
-        for f in filters:
-            test = self._test(f)
-            if test:
-                self.tests.append(test)
-            else:
-                yield f
-
-    @staticmethod
-    def _test(f) -> tuple | None:
-        """(kind, column, value, wanted), if the scan can decide the filter."""
-        wanted = True
-        if isinstance(f, Not):
-            f, wanted = f.child, False
-            if not isinstance(f, (IsNull, IsNotNull)):  # a null passes neither the test nor its opposite
-                return None
-        if len(f.attribute) != 1:
-            return None
-        if isinstance(f, (IsNull, IsNotNull)):
-            return "null", f.attribute[0], None, isinstance(f, IsNull) == wanted
-        if isinstance(f, In):
-            return "in", f.attribute[0], tuple(f.value), True
-        if isinstance(f, EqualTo):
-            return "in", f.attribute[0], (f.value,), True
-        if isinstance(f, StringStartsWith):
-            return "starts", f.attribute[0], f.value, True
-        return None
-
     def partitions(self) -> list[Member]:
         out = []
         for p in self.paths:
@@ -128,6 +102,38 @@ class ZipCsvReader(DataSourceReader):
         return mask
 
 
+class FilteredReader(ZipCsvReader):
+    """Takes over the filters that the scan can decide; Spark asks for the setting PUSHDOWN before it hands any over."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            test = self._test(f)
+            if test:
+                self.tests.append(test)
+            else:
+                yield f
+
+    @staticmethod
+    def _test(f) -> tuple | None:
+        """(kind, column, value, wanted), if the scan can decide the filter."""
+        wanted = True
+        if isinstance(f, Not):
+            f, wanted = f.child, False
+            if not isinstance(f, (IsNull, IsNotNull)):  # a null passes neither the test nor its opposite
+                return None
+        if len(f.attribute) != 1:
+            return None
+        if isinstance(f, (IsNull, IsNotNull)):
+            return "null", f.attribute[0], None, isinstance(f, IsNull) == wanted
+        if isinstance(f, In):
+            return "in", f.attribute[0], tuple(f.value), True
+        if isinstance(f, EqualTo):
+            return "in", f.attribute[0], (f.value,), True
+        if isinstance(f, StringStartsWith):
+            return "starts", f.attribute[0], f.value, True
+        return None
+
+
 class ZipCsvWriter(PartsWriter):
     suffix = ".zip"
 
@@ -163,7 +169,7 @@ def read_addresses(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """The address files, with filters pushed into the scan."""
     spark.dataSource.register(ZipCsvSource)
     spark.conf.set(PUSHDOWN, "true")  # filters reach the scan of a Python source only with this setting
-    reader = spark.read.format("zipcsv").option("path", path)
+    reader = spark.read.format("zipcsv").option("path", path).option("pushdown", "true")
     for name, value in options.items():
         reader = reader.option(name, value)
     return reader.load()
