@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geometry import edges
-from ..sources.files import stored
+from ..sources.files import discard, stored
 
 GRID = 24
 #: Passes of noding; each but the first finds what the rounding of the last has made, and few are needed.
@@ -138,9 +138,11 @@ def node(rows: DataFrame) -> DataFrame:
     """Edges on the lattice that meet at their ends only."""
     for _ in range(PASSES):
         points = stored(meetings(rows, True).select("id", "x", "y").distinct(), "polygon-points")
-        if points.isEmpty():
+        done = points.isEmpty()
+        before, rows = rows, rows if done else stored(split(rows, points), "polygon-edges")
+        discard(points, *([] if done else [before]))
+        if done:
             return rows
-        rows = stored(split(rows, points), "polygon-edges")
     raise ValueError(f"edges still cross after {PASSES} passes")
 
 
@@ -179,7 +181,9 @@ def west_of(probes: DataFrame, rows: DataFrame, keys: list[str], value: Column)
     asked = probes.join(stats, "u").where("y BETWEEN _south AND _north").withColumn("slab", slab_of(F.col("y"))).select("u", "slab", F.col("id").alias("_id"), "x", "y")
     met = asked.join(in_slabs(rows, stats, "u"), ["u", "slab"]).where("_id <> id")
     met = met.where("(y1 < y OR y1 = y AND x1 <= x) AND NOT (y2 < y OR y2 = y AND x2 <= x) AND (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1) < 0")
-    return met.groupBy(F.col("_id").alias("id"), *keys).agg(F.sum(value).alias("west"))
+    out = stored(met.groupBy(F.col("_id").alias("id"), *keys).agg(F.sum(value).alias("west")), "polygon-west")
+    discard(stats)
+    return out
 
 
 def boundary(rows: DataFrame, odd: bool) -> DataFrame:
@@ -194,7 +198,9 @@ def boundary(rows: DataFrame, odd: bool) -> DataFrame:
     west = F.coalesce("west", F.lit(0))
     sides = sums.join(depth, "id", "left").withColumns({"_w": inside(west), "_e": inside(west + F.col("weight"))}).where("_w <> _e")
     flip = [F.when(F.col("_w"), F.col(a)).otherwise(F.col(b)).alias(c) for a, b, c in (("x1", "x2", "x1"), ("y1", "y2", "y1"), ("x2", "x1", "x2"), ("y2", "y1", "y2"))]
-    return stored(sides.select("u", "id", *flip), "polygon-boundary")
+    out = stored(sides.select("u", "id", *flip), "polygon-boundary")
+    discard(sums, depth)
+    return out
 
 
 # ---------------------------------------------------------------- rings
@@ -220,11 +226,11 @@ def cycles(follow: DataFrame) -> DataFrame:
     while True:
         ahead = known.select(F.col("id").alias("next"), F.col("next").alias("_next"), F.col("ring").alias("_ring"), F.col("away").alias("_away"))
         closer = F.col("_ring") < F.col("ring")
-        known = known.join(ahead, "next").select("id", F.col("_next").alias("next"), F.least("ring", "_ring").alias("ring"), F.when(closer, F.col("_away") + span).otherwise(F.col("away")).alias("away"), closer.alias("_new"))
-        known, span = stored(known, "polygon-cycles"), 2 * span
+        doubled = known.join(ahead, "next").select("id", F.col("_next").alias("next"), F.least("ring", "_ring").alias("ring"), F.when(closer, F.col("_away") + span).otherwise(F.col("away")).alias("away"), closer.alias("_new"))
+        before, known, span = known, stored(doubled, "polygon-cycles"), 2 * span
+        discard(before)
         if known.where("_new").isEmpty():
             return known.select("id", "ring", "away")
-        known = known.drop("_new")
 
 
 def rings(rows: DataFrame) -> DataFrame:
@@ -237,8 +243,9 @@ def rings(rows: DataFrame) -> DataFrame:
         return placed
     # the edge that comes before the k-th visit of a vertex is followed by the edge of the visit before
     moved = visits.select(F.explode(F.transform("v", lambda p, k: F.struct(p["id"].alias("next"), F.element_at("v", F.when(k == 0, F.size("v")).otherwise(k).cast("int"))["id"].alias("other")))).alias("m")).select("m.*")
-    follow = follow.join(moved, "next", "left").select("id", F.coalesce("other", "next").alias("next"))
-    return stored(_placed(rows, stored(follow, "polygon-next")), "polygon-rings")
+    again = stored(follow.join(moved, "next", "left").select("id", F.coalesce("other", "next").alias("next")), "polygon-next")
+    discard(follow, placed, visits)
+    return stored(_placed(rows, again), "polygon-rings")
 
 
 def _placed(rows: DataFrame, follow: DataFrame) -> DataFrame:

@@ -33,7 +33,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read back, which cuts its lineage and fixes row numbers made in it."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables made by stored() that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_points(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
