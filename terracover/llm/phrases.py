@@ -24,6 +24,7 @@ words stay whole; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -201,21 +202,32 @@ def phrase_words(held: DataFrame) -> DataFrame:
 
 
 class Automaton:
-    """Finds phrases of words in texts; words are numbered by the phrases, all other words are 0."""
+    """Finds phrases of words in texts. Words are numbered by the phrases, all others share one number.
+
+    A number is written as three symbols, each from an alphabet of its own, so that a node has few children (which are
+    searched one after another) and a match can begin at a word only.
+    """
 
     def __init__(self, phrases: list[bytes]):
         import ahocorasick
 
-        self.number: dict[bytes, int] = {}
-        self.found = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        words = dict.fromkeys(w for p in phrases for w in p.split())
+        base = math.ceil((len(words) + 1) ** (1 / 3)) + 1
+        self.code = {w: self._symbols(k, base) for k, w in enumerate(words, 1)}
+        self.other = self._symbols(0, base)
+        self.found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for p in phrases:
-            self.found.add_word(tuple(self.number.setdefault(w, len(self.number) + 1) for w in p.split()), 1)
+            self.found.add_word("".join([self.code[w] for w in p.split()]), 1)
         self.found.make_automaton()
 
+    @staticmethod
+    def _symbols(number: int, base: int) -> str:
+        return chr(1 + number // base**2) + chr(1 + base + number // base % base) + chr(1 + 2 * base + number % base)
+
     def places(self, text: bytes) -> list[int]:
         """The numbers of the words of a text at which a phrase starts."""
-        get = self.number.get
-        return [end - PHRASE + 1 for end, _ in self.found.iter(tuple([get(w, 0) for w in text.split()]))]
+        get, other = self.code.get, self.other
+        return [end // 3 - PHRASE + 1 for end, _ in self.found.iter("".join([get(w, other) for w in text.split()]))]
 
 
 def windows_in(docs: pa.Table, phrases: list[bytes]) -> pa.Table:
