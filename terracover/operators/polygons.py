@@ -110,15 +110,14 @@ def meetings(rows: DataFrame, lattice: bool) -> DataFrame:
     # a shared stretch is wrong, and so is a touch within one ring; two rings may touch at a point
     wrong = "(s1 = 0 AND s2 = 0) OR a.ring <=> b.ring"
     nearest = "round({})" if lattice else "{}"
-    crossed = pairs.where(cross).withColumns({c: F.expr(nearest.format(f"a.{c}1 + (a.{c}2 - a.{c}1) * (t1 / (t1 - t2))")) for c in "xy"})
-    found = None
+    pairs = pairs.withColumn("c", F.expr(f"CASE WHEN {cross} THEN struct({', '.join(nearest.format(f'a.{c}1 + (a.{c}2 - a.{c}1) * (t1 / (t1 - t2))') + f' AS {c}' for c in 'xy')}) END"))
+    cuts = []
     for e, f, s in (("a", "b", "s"), ("b", "a", "t")):
-        own = crossed.where(_no_end(e, "x", "y")).selectExpr("u", f"{e}.id AS id", "x", "y", "true AS wrong")
-        found = own if found is None else found.union(own)
+        cuts.append(f"CASE WHEN c IS NOT NULL AND {_no_end(e, 'c.x', 'c.y')} THEN struct({e}.id AS id, c.x AS x, c.y AS y, true AS wrong) END")
         for k in (1, 2):
             x, y = f"{f}.x{k}", f"{f}.y{k}"
-            found = found.union(pairs.where(_on(e, f"{s}{k}", x, y, reach)).selectExpr("u", f"{e}.id AS id", f"{x} AS x", f"{y} AS y", f"({wrong}) AS wrong"))
-    return found
+            cuts.append(f"CASE WHEN {_on(e, f'{s}{k}', x, y, reach)} THEN struct({e}.id AS id, {x} AS x, {y} AS y, ({wrong}) AS wrong) END")
+    return pairs.select("u", F.explode(F.expr(f"filter(array({', '.join(cuts)}), p -> p IS NOT NULL)")).alias("p")).select("u", "p.*")
 
 
 def split(rows: DataFrame, points: DataFrame) -> DataFrame:
