@@ -24,6 +24,8 @@ before the join; beyond its capacity the filter only lets more rows into the joi
 Defined results: null or empty texts hold nothing; items under WINDOW tokens are
 one window of their own length, an item without tokens matches nothing; repeated items match each; a null
 doc_id or item_id is carried; an empty table on either side gives no rows; other columns are ignored.
+A very long text is taken in pieces that end behind a space (a longer word makes a longer piece), so a worker
+needs little more than three times its bytes; benchmark items are taken whole.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Chunk, chunks_of, doc_of, key_filter, lower_ascii, materialize, maybe_in, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
+from .common import SPACE, U64, Chunk, chunks_of, doc_of, drop_table, key_filter, lower_ascii, materialize, maybe_in, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
 from .phrases import identified, in_doc, keyed_rows
 
 WINDOW = 10
@@ -124,6 +126,31 @@ def canonical(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return token, word, number | quantity | unit | name, doc
 
 
+def token_pieces(c: Chunk, piece: int = CHUNK):
+    """canonical() of a chunk and the place of its first token; of a long text in pieces, each behind the last WINDOW - 1 tokens before it."""
+    if c.n > 1 or len(c.buf) <= 2 * piece:
+        yield canonical(c), 0
+        return
+    space = SPACE[c.buf]
+    at = low = base = 0  # low: where the last token before the piece begins, which decides on its first
+    before = 0
+    tail = (np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, bool))
+    while at < len(c.buf):
+        to = min(at + piece, len(c.buf))
+        to += int(space[to - 1 :].argmax())  # a chunk ends with a newline
+        own = canonical(Chunk(c.rows, np.array([0, to - low]), c.buf[low:to]))
+        tokens = tuple(np.concatenate((x, y[before:])) for x, y in zip(tail, own, strict=False))
+        n = len(tokens[0])
+        yield (*tokens, np.zeros(n, np.int64)), base
+        drop = max(0, n - WINDOW + 1)
+        tail, base = tuple(x[drop:] for x in tokens), base + drop
+        plain = np.flatnonzero(_PLAIN[c.buf[low:to]])
+        if len(plain):
+            gaps = np.flatnonzero(space[low : low + plain[-1]])
+            before, low = 1, low + (int(gaps[-1]) + 1 if len(gaps) else 0)
+        at = to
+
+
 def rich_windows(slot: np.ndarray, width: int) -> np.ndarray:
     """Which windows have literal tokens enough to be told by their form."""
     literal = np.concatenate(([0], np.cumsum(~slot)))
@@ -193,17 +220,17 @@ def document_windows(rows: DataFrame, wanted: np.ndarray, widths: list[int]) ->
     def run(batches):
         for b in batches:
             for c in chunks_of(b.column(3), CHUNK):
-                tokens = canonical(c)
-                for width, exact in itertools.product(widths, (False, True)):
-                    h, d, place, fill, _ = windows_of(tokens, c.n, width, exact, wanted)
-                    if exact:
-                        fill = fill[:, :0]
-                        if width < WINDOW:
-                            one = np.unique(in_doc(h, d), return_index=True)[1]
-                            h, d, place, fill = h[one], d[one], place[one], fill[one]
-                    if len(h):
-                        own = pa.array(c.rows[d])
-                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(b.column(k).take(own) for k in range(3)), pa.array(place), _lists(fill)], ["w", "doc_id", "did", "th", "at", "fill_d"])
+                for tokens, base in token_pieces(c):
+                    for width, exact in itertools.product(widths, (False, True)):
+                        h, d, place, fill, _ = windows_of(tokens, c.n, width, exact, wanted)
+                        if exact:
+                            fill = fill[:, :0]
+                            if width < WINDOW:
+                                one = np.unique(in_doc(h, d), return_index=True)[1]
+                                h, d, place, fill = h[one], d[one], place[one], fill[one]
+                        if len(h):
+                            own = pa.array(c.rows[d])
+                            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(b.column(k).take(own) for k in range(3)), pa.array(place + base), _lists(fill)], ["w", "doc_id", "did", "th", "at", "fill_d"])
 
     return rows.select("doc_id", "did", "th", "text").mapInArrow(run, "w long, doc_id long, did long, th binary, at long, fill_d array<long>")
 
@@ -236,7 +263,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     found = document_windows(identified(docs), wanted, widths).dropDuplicates(["w", "did", "th", "at"])
     hits = found.join(items, "w").select("doc_id", "did", "th", "item", "item_id", "pos", "at", "n_windows", "counted", "fill", F.when(F.size("fill_d") == 0, F.col("fill")).otherwise(F.col("fill_d")).alias("fill_d"))
     hits = materialize(hits.dropDuplicates(["did", "th", "item", "pos", "at"]), "window-hits")
-    hits = materialize(with_occurrences(hits), "window-groups")
+    drop_table(items)
+    groups = materialize(with_occurrences(hits), "window-groups")
+    drop_table(hits)
+    hits = groups
     key = ["did", "th", "item", "level", "part", "run"]
     covered = hits.groupBy(*key).agg(F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"), F.count_distinct(F.when(F.col("counted"), F.col("pos"))).alias("n_matched"), F.first("n_windows").alias("n_windows"))
     covered = covered.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where((F.col("coverage") >= coverage) | (F.col("level") == 3))
