@@ -16,7 +16,8 @@ bound: it rejects good documents that are short or repeat themselves.
 Defined results: null text has no words (and fails the base rule); a null stratum is a stratum; a
 document labelled twice is good only if every label says so; rows that repeat a doc_id are one trial of
 their stratum; labels of absent documents, null labels and extra columns are ignored; an empty table
-gives no rows.
+gives no rows. A text of more than twice CHUNK_BYTES is taken in pieces that end behind a space (a longer word makes a
+longer piece); a worker holds its bytes and two hashes a word.
 """
 
 from __future__ import annotations
@@ -28,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, U64, Chunk, chunks_of, doc_of, materialize, mix, prefix_hash, read_table, stretch_hash, window_hash, word_bounds
-
+from .common import BASE, BASE_INV, CHUNK_BYTES, SPACE, U64, Chunk, chunks_of, doc_of, materialize, mix, prefix_hash, read_table, stretch_hash, window_hash, window_hashes, word_bounds
 from .phrases import LEAST_ID, keyed_rows
 
 FALSE_REJECTION = 0.02
@@ -96,6 +96,53 @@ def metrics_of(chunk: Chunk) -> dict[str, np.ndarray]:
     return out
 
 
+def long_metrics(c: Chunk, piece: int = 500_000) -> dict[str, np.ndarray]:
+    """metrics_of() one long text, in pieces that end behind a space."""
+    space, ring = SPACE[c.buf], 1 << 64
+    n_words = word_chars = n_symbols = at = 0
+    words, lines = [np.zeros(0, U64)], [np.zeros(0, U64)]
+    raw, length, filled = 0, 0, False  # of the line that goes on: sum of its codes, bytes, whether it has a word
+    while at < len(c.buf):
+        to = min(at + piece, len(c.buf))
+        to += int(space[to - 1 :].argmax())  # a chunk ends with a newline
+        own = c.buf[at:to]
+        starts, ends = word_bounds(own)
+        prefix = prefix_hash(own)
+        words.append(stretch_hash(prefix, starts, ends))
+        n_words += len(starts)
+        word_chars += int((~space[at:to] & ((own & 0xC0) != 0x80)).sum())
+        n_symbols += int(_SYMBOL[own].sum())
+        line_end, rest = np.flatnonzero(own == 10), 0
+        if len(line_end):
+            line_start = np.concatenate(([0], line_end[:-1] + 1))
+            has = np.searchsorted(starts, line_end) > np.searchsorted(starts, line_start)
+            key = stretch_hash(prefix, line_start, line_end)
+            if length:
+                whole = raw + pow(BASE, length, ring) * int(prefix[line_end[0]]) + (length + int(line_end[0])) * 0x9E3779B97F4A7C15
+                key[0] = mix(np.array([whole % ring], U64))[0]
+                has[0] |= filled
+            lines.append(key[has])
+            rest, raw, length, filled = int(line_end[-1]) + 1, 0, 0, False
+        left = (int(prefix[-1]) - int(prefix[rest])) * pow(BASE_INV, rest, ring)
+        raw = (raw + pow(BASE, length, ring) * left) % ring
+        length += len(own) - rest
+        filled |= bool(len(starts)) and int(starts[-1]) >= rest
+        at = to
+    line = np.concatenate(lines)
+    window = window_hashes(np.concatenate(words), 3)
+    del words, lines
+    again = np.sort(window)
+    again = np.unique(again[1:][again[1:] == again[:-1]])
+    marked = np.zeros(n_words, bool)
+    for a in range(0, len(window) if len(again) else 0, piece):
+        own = window[a : a + piece]
+        hit = a + np.flatnonzero(again[np.minimum(np.searchsorted(again, own), len(again) - 1)] == own)
+        for k in range(3):
+            marked[hit + k] = True
+    found = (n_words, word_chars, n_symbols, len(line) - len(np.unique(line)), int(marked.sum()), len(line))
+    return {m: np.array([x]) for m, x in zip(METRICS, found, strict=True)}
+
+
 def _in_doc(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return mix(key + doc.astype(U64) * U64(0xD6E8FEB86659FD93))
 
@@ -106,7 +153,7 @@ def document_metrics(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     def run(batches):
         for b in batches:
             for c in chunks_of(b.column(3)):
-                m = metrics_of(c)
+                m = metrics_of(c) if c.n > 1 or len(c.buf) <= 2 * CHUNK_BYTES else long_metrics(c)
                 at, n = int(c.rows[0]), c.n
                 yield pa.RecordBatch.from_arrays([*(b.column(k).slice(at, n) for k in range(3)), *(pa.array(m[k], pa.int64()) for k in METRICS)], ["doc_id", "stratum", "th", *METRICS])
 
