@@ -19,7 +19,10 @@ have a Jaccard similarity of at least THRESHOLD percent are linked; components o
      pair of blocks on signatures and then on the full sets, each pair in the first bucket it shares only
      (told by the bucket keys themselves), and puts out the links; those are verified on the full texts like
      the others. Of two components one link in a task is enough. No link is lost to the pivots,
-     no list of all pairs leaves a task, and blocks of about BLOCK members bound every task.
+     no list of all pairs leaves a task, and blocks of about BLOCK members and BLOCK_BYTES bound every task: of a set
+     of more than SET_LIMIT shingles only those of the least hashes are in its block, at most SET_LIMIT in the mean.
+     Such a pair is looked at further if the shares agree within MARGIN deviations of the threshold (one at the
+     threshold fails with a chance of 1e-9), and spares others only if it is as far above it.
 
 Defined results: null or empty text has an empty set, is its own component and linked with nothing; a
 null doc_id never names a component (component_id is null if all ids of it are); rows with one doc_id
@@ -47,6 +50,10 @@ N_HASH = BANDS * ROWS
 #: Least number of equal minima of a pair that is looked at further: the mean at the threshold less 5.5 deviations.
 LEAST_EQUAL = 100
 BLOCK = 128
+BLOCK_BYTES = 8 << 20
+#: Shingles of a set that a block holds, and how many deviations apart an estimate from fewer than all may be.
+SET_LIMIT = 1 << 16
+MARGIN = 6.0
 CHUNK = 500_000
 
 _rng = np.random.Generator(np.random.PCG64(77001))
@@ -227,8 +234,18 @@ def merge_links(labels: DataFrame, links: DataFrame) -> DataFrame:
     return components(edges.union(labels.toDF("u", "v")))
 
 
+def halvings(n: np.ndarray) -> np.ndarray:
+    """How many times a set of n shingles is halved until at most SET_LIMIT are left."""
+    return np.ceil(np.log2(np.maximum(n, SET_LIMIT) / SET_LIMIT)).astype(np.int64)
+
+
+def least_hashes(ordered: np.ndarray, times: int) -> np.ndarray:
+    """The hashes of a set, in order, that lie in the first 2**-times of all values."""
+    return ordered[: np.searchsorted(ordered, U64(1 << (64 - times)))] if times else ordered
+
+
 def compact_sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, n, sig8, keys, set64): set size, low bytes of the minima, bucket keys, and sorted shingle hashes."""
+    """(node, n, sig8, keys, set64): set size, low bytes of the minima, bucket keys, and sorted shingle hashes (of long sets the least ones)."""
 
     def run(batches):
         for b in batches:
@@ -236,7 +253,7 @@ def compact_sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 h, d = shingle_sets(c, width)
                 n = np.bincount(d, minlength=c.n)
                 ends = np.cumsum(n).tolist()
-                sets = [h[e - k : e].tobytes() for e, k in zip(ends, n.tolist(), strict=True)]
+                sets = [least_hashes(h[e - k : e], s).tobytes() for e, k, s in zip(ends, n.tolist(), halvings(n).tolist(), strict=True)]
                 a = int(c.rows[0])
                 full = _signature_rows(b.column(2).slice(a, c.n))
                 sig, keys = (full & 0xFF).astype(np.uint8), band_keys(full)
@@ -253,7 +270,7 @@ def block_links(opened: DataFrame, sets: DataFrame, threshold: int) -> DataFrame
     """
     rows = opened.withColumn("res", F.col("comp") != F.col("main"))
     rows = rows.withColumn("size", F.floor(F.log("n") / F.lit(math.log(100 / threshold))).cast("int"))
-    counts = rows.groupBy("bucket", "res", "size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    counts = rows.groupBy("bucket", "res", "size").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.least("n", F.lit(SET_LIMIT))) * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
     counts = materialize(counts, "minhash-counts")
     rows = rows.join(counts, ["bucket", "res", "size"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.join(sets.drop("n"), "node")  # sets last: they are shuffled to their blocks only
@@ -290,6 +307,7 @@ def _pair_blocks(own: pa.StructArray, other: pa.StructArray, band: int, same_blo
     keys, keys_o = (np.frombuffer(b"".join(x.field(4).to_pylist()), U64).reshape(-1, BANDS) for x in (own, other))
     sets = [np.frombuffer(x, U64) for x in own.field(5).to_pylist()]
     sets_o = [np.frombuffer(x, U64) for x in other.field(5).to_pylist()]
+    half, half_o = halvings(n), halvings(n_o)
     linked: set[tuple[int, int]] = set()
     out_a, out_b = [], []
     for k in range(len(node)):
@@ -302,21 +320,25 @@ def _pair_blocks(own: pa.StructArray, other: pa.StructArray, band: int, same_blo
         go = go[(sig_o[go] == sig[k]).sum(axis=1) >= LEAST_EQUAL]
         if len(go):
             go = go[(keys_o[go] == keys[k]).argmax(axis=1) == band]
-        go = [g for g in go.tolist() if (int(comp[k]), int(comp_o[g])) not in linked]
-        if not go:
-            continue
-        every = np.concatenate([sets_o[g] for g in go])
-        at = np.minimum(np.searchsorted(sets[k], every), len(sets[k]) - 1)
-        first = np.cumsum([0] + [len(sets_o[g]) for g in go[:-1]])
-        common = np.add.reduceat(sets[k][at] == every, first, dtype=np.int64)
-        union = n[k] + n_o[go] - common
-        hit = 100 * common >= threshold * union
-        for g, h in zip(go, hit.tolist(), strict=True):
-            key = (int(comp[k]), int(comp_o[g]))
-            if h and key not in linked:
-                out_a.append(node[k])
-                out_b.append(node_o[g])
-                linked.add(key)
+        go = np.array([g for g in go.tolist() if (int(comp[k]), int(comp_o[g])) not in linked], np.int64)
+        times = np.maximum(half[k], half_o[go])
+        for t in np.unique(times).tolist():
+            mine, some = least_hashes(sets[k], t), go[times == t].tolist()
+            theirs = [least_hashes(sets_o[g], t) for g in some]
+            ends = np.cumsum([len(x) for x in theirs])
+            every = np.concatenate(theirs)
+            found = np.concatenate(([0], np.cumsum(mine[np.minimum(np.searchsorted(mine, every), len(mine) - 1)] == every)))
+            common = found[ends] - found[np.concatenate(([0], ends[:-1]))]
+            union = len(mine) + np.diff(ends, prepend=0) - common
+            margin = MARGIN * np.sqrt(threshold * (100 - threshold) * union) if t else 0
+            hit, sure = (100 * common >= threshold * union + m for m in (-margin, margin))
+            for g, h, sure_h in zip(some, hit.tolist(), sure.tolist(), strict=True):
+                key = (int(comp[k]), int(comp_o[g]))
+                if h and key not in linked:
+                    out_a.append(node[k])
+                    out_b.append(node_o[g])
+                    if sure_h:
+                        linked.add(key)
     return np.array(out_a, np.int64), np.array(out_b, np.int64)
 
 
@@ -337,7 +359,9 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRE
 
     first = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     alike = materialize(signature_pairs(first, met).groupBy("a").agg(F.max_by("b", "equal").alias("b")), "minhash-alike")
-    labels = components(materialize(linked_pairs(alike, texts, width, threshold), "minhash-links").toDF("u", "v"))
+    links = materialize(linked_pairs(alike, texts, width, threshold), "minhash-links")
+    labels = components(links.toDF("u", "v"))
+    drop_table(links)
     placed = with_component(members.drop("pivot"), labels)
     sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
     main = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("m"), F.max("k").alias("most")).where("m > most").select("bucket", "main")
@@ -347,8 +371,9 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, threshold: int = THRE
     sets = compact_sets(texts.join(opened.select("node").distinct(), "node", "left_semi"), met, width)
     pairs = block_links(opened, sets, threshold)
     drop_table(opened)
-    labels = merge_links(labels, materialize(linked_pairs(pairs, texts, width, threshold), "minhash-links"))
-    for table in (pairs, texts, met):
+    links = materialize(linked_pairs(pairs, texts, width, threshold), "minhash-links")
+    labels = merge_links(labels, links)
+    for table in (links, pairs, texts, met):
         drop_table(table)
     placed = slim.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     firsts = placed.where("comp is not null").groupBy("comp").agg(F.min(F.struct("did", "th")).alias("first"), F.min("doc_id").alias("least"))
