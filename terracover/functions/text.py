@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
@@ -146,11 +147,11 @@ def population_text(n: Column, year: Column) -> Column:
     return F.when(n.isNull(), F.lit("dado indisponível")).otherwise(shown)
 
 
-def brand_lines(counts: dict[str, Column], bucket: str = tables.OTHER_COOPERATIVE, detail: Column | None = None) -> Column:
-    """E21: "brand: n" for every brand that has points, the bucket with its detail; none: "nenhum ponto"."""
+def brand_lines(counts: dict[str, Column], bucket: str = tables.OTHER_COOPERATIVE, detail: Column | None = None, shown_as: Callable[[Column], Column] = number_br) -> Column:
+    """E21: "brand: n" for every brand that has points, the bucket with its detail; none: "nenhum ponto". shown_as: how n is written."""
     rows = []
     for brand, n in counts.items():
-        line = F.concat(F.lit(f"{brand}: "), number_br(n))
+        line = F.concat(F.lit(f"{brand}: "), shown_as(n))
         if brand == bucket and detail is not None:
             line = F.when(F.coalesce(detail, F.lit("")) != "", F.concat(line, F.lit(" ("), detail, F.lit(")"))).otherwise(line)
         rows.append(F.when(F.coalesce(n, F.lit(0)) > 0, line))

@@ -1,8 +1,16 @@
 """Cases that only larger tables or other settings bring about."""
 
+from pyspark.sql import functions as F
+
+from terracover.functions import text as X
 from terracover.plans import queries as Q
 
 
 def test_seven_digit_part_keys_are_bad_codes(spark, tmp_path):
     spark.createDataFrame([(k,) for k in (7, 10, 99, 100, 1_234_567)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
     assert [r["n"] for r in Q.bad_codes(spark, str(tmp_path)).collect()] == [3]
+
+
+def test_brand_lines_with_plain_numbers(spark):
+    one = lambda **more: spark.range(1).select(X.brand_lines({"A": F.lit(12_345), "B": F.lit(0)}, "B", **more)).first()[0]
+    assert one(shown_as=lambda n: n.cast("string")) == "A: 12345" and one() == "A: 12.345"
