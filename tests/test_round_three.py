@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from terracover.functions import text as X
 from terracover.plans import queries as Q
+from terracover.sources.fetch import fetch
 
 
 def test_seven_digit_part_keys_are_bad_codes(spark, tmp_path):
@@ -14,3 +15,10 @@ def test_seven_digit_part_keys_are_bad_codes(spark, tmp_path):
 def test_brand_lines_with_plain_numbers(spark):
     one = lambda **more: spark.range(1).select(X.brand_lines({"A": F.lit(12_345), "B": F.lit(0)}, "B", **more)).first()[0]
     assert one(shown_as=lambda n: n.cast("string")) == "A: 12345" and one() == "A: 12.345"
+
+
+def test_fetch_from_a_plain_path(tmp_path):
+    (tmp_path / "A B.json").write_text('{"type":"FeatureCollection","features":[{}]}')
+    found = fetch(f"{tmp_path}/A B.json", f"{tmp_path}/out/a.geojson", "features", tries=1)
+    assert found["status"] == "fetched" and (tmp_path / "out/a.geojson").read_bytes() == (tmp_path / "A B.json").read_bytes()
+    assert fetch(f"{tmp_path}/none.json", f"{tmp_path}/out/b.geojson", tries=1)["status"] == "failed"
