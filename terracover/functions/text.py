@@ -123,8 +123,13 @@ def number_br(x: Column) -> Column:
 
 
 def compact_br(x: Column) -> Column:
-    """Millions with one decimal, thousands from ten thousand on, else the number."""
-    millions = F.concat(F.replace(F.format_string("%.1f", x.cast("double") / 1_000_000), F.lit("."), F.lit(",")), F.lit(" mi"))
+    """Millions with one decimal, thousands from ten thousand on, else the number.
+
+    The decimal is rounded from the exact value of the double, a tie to the even digit; format_string would round its shortest
+    decimal text, which makes 1.45 (a little less in binary) 1.5.
+    """
+    one = F.replace(F.format_number(x.cast("double") / 1_000_000, 1), F.lit(","))
+    millions = F.concat(F.replace(one, F.lit("."), F.lit(",")), F.lit(" mi"))
     thousands = F.concat(number_br(F.floor(x.cast("double") / 1000 + 0.5)), F.lit(" mil"))
     return F.when(x >= 1_000_000, millions).when(x >= 10_000, thousands).otherwise(number_br(x))
 

@@ -22,3 +22,9 @@ def test_fetch_from_a_plain_path(tmp_path):
     found = fetch(f"{tmp_path}/A B.json", f"{tmp_path}/out/a.geojson", "features", tries=1)
     assert found["status"] == "fetched" and (tmp_path / "out/a.geojson").read_bytes() == (tmp_path / "A B.json").read_bytes()
     assert fetch(f"{tmp_path}/none.json", f"{tmp_path}/out/b.geojson", tries=1)["status"] == "failed"
+
+
+def test_compact_numbers_round_the_exact_value(spark):
+    k = [*range(1_050_000, 60_000_000, 100_000), 2_650_000, 1_234_550_000_000, 1_049_999, 999_950_001]
+    found = spark.createDataFrame([(v,) for v in k], "v long").select("v", X.compact_br(F.col("v")).alias("t")).collect()
+    assert [r["t"] for r in found] == [f"{v / 1e6:.1f}".replace(".", ",") + " mi" for v in k]
