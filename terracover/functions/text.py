@@ -81,24 +81,19 @@ def lookup(x: Column, table: dict) -> Column:
 
 def street_key(x: Column) -> Column:
     """Canonical street name: expanded Roman numbers and abbreviations, no leading type, no articles."""
-    tokens = F.filter(F.split(F.regexp_replace(transliterate(F.coalesce(x, F.lit(""))), "[^A-Z0-9]+", " "), " "), lambda t: t != "")
+    text = F.trim(F.regexp_replace(transliterate(F.coalesce(x, F.lit(""))), "[^A-Z0-9]+", " "))
     romans, short = _map(tables.ROMANS), _map(tables.ABBREVIATIONS)
 
     def expand(t: Column) -> Column:
         number = F.coalesce(F.try_element_at(romans, t), t)
         return F.coalesce(F.try_element_at(short, number), number)
 
-    words = F.filter(F.split(F.array_join(F.transform(tokens, expand), " "), " "), lambda t: t != "")
-    types, articles = F.array(*map(F.lit, tables.STREET_TYPES)), F.array(*map(F.lit, tables.ARTICLES))
-    # words behind the leading types: those with a non-type at or before them
-    state = F.struct(F.lit(False).alias("inside"), F.array().cast("array<string>").alias("kept"))
-
-    def step(acc: Column, t: Column) -> Column:
-        inside = acc["inside"] | ~F.array_contains(types, t)
-        keep = inside & ~F.array_contains(articles, t)
-        return F.struct(inside.alias("inside"), F.when(keep, F.concat(acc["kept"], F.array(t))).otherwise(acc["kept"]).alias("kept"))
-
-    return F.array_join(F.aggregate(words, state, step, lambda acc: acc["kept"]), " ")
+    # expansion word by word is slow, so only texts that hold a short form go through it; the array keeps the text from being made twice
+    short_form = rf"(?<![^ ])(?:{'|'.join([*tables.ROMANS, *tables.ABBREVIATIONS])})(?![^ ])"
+    expanded = F.transform(F.array(text), lambda t: F.when(t.rlike(short_form), F.array_join(F.transform(F.split(t, " "), expand), " ")).otherwise(t))
+    words = F.get(expanded, F.lit(0))
+    named = F.regexp_replace(words, rf"^(?:(?:{'|'.join(tables.STREET_TYPES)})(?: |$))+", "")
+    return F.trim(F.regexp_replace(named, rf"(?<![^ ])(?:{'|'.join(tables.ARTICLES)})(?: |$)", ""))
 
 
 def is_postcode(d: Column) -> Column:

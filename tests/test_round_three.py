@@ -3,8 +3,11 @@
 from pyspark.sql import functions as F
 
 from terracover.functions import text as X
+from terracover.operators import geocode as G
 from terracover.plans import queries as Q
+from terracover.schema import ADDRESS_COLUMNS
 from terracover.sources.fetch import fetch
+from terracover.sources.zipcsv import ZipCsvSource, read_addresses
 
 
 def test_seven_digit_part_keys_are_bad_codes(spark, tmp_path):
@@ -28,3 +31,22 @@ def test_compact_numbers_round_the_exact_value(spark):
     k = [*range(1_050_000, 60_000_000, 100_000), 2_650_000, 1_234_550_000_000, 1_049_999, 999_950_001]
     found = spark.createDataFrame([(v,) for v in k], "v long").select("v", X.compact_br(F.col("v")).alias("t")).collect()
     assert [r["t"] for r in found] == [f"{v / 1e6:.1f}".replace(".", ",") + " mi" for v in k]
+
+
+def test_address_files_are_read_once(spark, tmp_path):
+    spark.dataSource.register(ZipCsvSource)
+    rows = [("4200001", "90000001", "RUA", "", f"AV. {k % 3}", str(k % 2), str(k / 8), str(-k)) for k in range(20)]
+    spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ADDRESS_COLUMNS)).coalesce(1).write.format("zipcsv").mode("overwrite").save(f"{tmp_path}/a")
+    raw = read_addresses(spark, f"{tmp_path}/a", counts=f"{tmp_path}/counts")
+    asked = G.address_keys(spark.createDataFrame([("4200001", "90000001", "Rua Av. 1, 1", None)], "municipio_ibge string, cep string, endereco string, numero string"))
+    found = G.locate(asked, G.build_index(asked, G.reference_addresses(raw))).collect()
+    assert [(r["latitude"], r["longitude"], r["precisao"]) for r in found] == [(1.25, -10.0, "endereço")]
+    assert len(list((tmp_path / "counts").glob("*.json"))) == 1
+
+
+def test_medians_of_sparse_and_null_coordinates(spark):
+    nan = float("nan")
+    rows = [(1, 1.0, None), (1, 2.0, 5.0), (1, 4.0, 7.0), (2, None, None), (3, 1.0, nan), (3, 8.0, 2.0), (3, 3.0, 1.0)]
+    df = spark.createDataFrame(rows, "k int, lat float, lon float")
+    assert sorted(map(tuple, G.consolidate(df, "k").collect())) == [(1, 2.0, 6.0), (2, None, None), (3, 3.0, 2.0)]
+    assert G.hot_keys(df, ["k"], 3) is None and [r["k"] for r in G.hot_keys(df.where("k <> 3"), ["k"], 2).collect()] == [1]
