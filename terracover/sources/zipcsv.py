@@ -26,7 +26,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, In
 from ..schema import ADDRESS_COLUMNS
 from .stores import PartsWriter, file_system, listed
 
-BLOCK = 16 << 20
+#: Bytes that Arrow parses at once; it reads several such blocks ahead, so they are small. A longer line gets larger ones.
+BLOCK = 1 << 20
+LONGEST = 256 << 20
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
@@ -72,22 +74,38 @@ class ZipCsvReader(DataSourceReader):
         return out
 
     def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
-        fs, path = file_system(partition.path)
         read = kept = 0
-        with fs.open_input_file(path) as file, zipfile.ZipFile(file) as z, z.open(partition.name) as f:
-            types = {c: pa.string() for c in self.names}
-            batches = pv.open_csv(f, pv.ReadOptions(block_size=BLOCK), pv.ParseOptions(delimiter=self.sep), pv.ConvertOptions(column_types=types, include_columns=self.names, strings_can_be_null=True, null_values=[""], quoted_strings_can_be_null=True))
-            for batch in batches:
-                own = batch if not self.tests else batch.filter(self._mask(batch))
-                read, kept = read + batch.num_rows, kept + own.num_rows
-                if own.num_rows:
-                    yield own
+        for batch in self._batches(partition):
+            own = batch if not self.tests else batch.filter(self._mask(batch))
+            read, kept = read + batch.num_rows, kept + own.num_rows
+            if own.num_rows:
+                yield own
         if self.counts:
             fs, folder = file_system(self.counts)
             fs.create_dir(folder, recursive=True)
             with fs.open_output_stream(f"{folder}/{uuid.uuid4().hex}.json") as out:
                 out.write(json.dumps({"archive": partition.path.rsplit("/", 1)[-1], "member": partition.name, "read": read, "kept": kept}).encode())
 
+    def _batches(self, partition: Member) -> Iterator[pa.RecordBatch]:
+        fs, path = file_system(partition.path)
+        types = {c: pa.string() for c in self.names}
+        convert = pv.ConvertOptions(column_types=types, include_columns=self.names, strings_can_be_null=True, null_values=[""], quoted_strings_can_be_null=True)
+        block, done = BLOCK, 0
+        while True:
+            before = done  # rows that smaller blocks have given
+            try:
+                with fs.open_input_file(path) as file, zipfile.ZipFile(file) as z, z.open(partition.name) as f:
+                    for batch in pv.open_csv(f, pv.ReadOptions(block_size=block, use_threads=False), pv.ParseOptions(delimiter=self.sep), convert):
+                        skipped = min(before, batch.num_rows)
+                        before -= skipped
+                        done += batch.num_rows - skipped
+                        yield batch.slice(skipped)
+                return
+            except pa.ArrowInvalid as e:
+                if "block size" not in str(e) or block >= LONGEST:
+                    raise
+                block *= 16
+
     def _mask(self, batch: pa.RecordBatch) -> pa.Array:
         mask = None
         for kind, column, value, wanted in self.tests:

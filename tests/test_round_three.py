@@ -1,5 +1,7 @@
 """Cases that only larger tables or other settings bring about."""
 
+import zipfile
+
 from pyspark.sql import functions as F
 
 from terracover.functions import text as X
@@ -7,7 +9,7 @@ from terracover.operators import geocode as G
 from terracover.plans import queries as Q
 from terracover.schema import ADDRESS_COLUMNS
 from terracover.sources.fetch import fetch
-from terracover.sources.zipcsv import ZipCsvSource, read_addresses
+from terracover.sources.zipcsv import ZipCsvReader, ZipCsvSource, read_addresses
 
 
 def test_seven_digit_part_keys_are_bad_codes(spark, tmp_path):
@@ -50,3 +52,13 @@ def test_medians_of_sparse_and_null_coordinates(spark):
     df = spark.createDataFrame(rows, "k int, lat float, lon float")
     assert sorted(map(tuple, G.consolidate(df, "k").collect())) == [(1, 2.0, 6.0), (2, None, None), (3, 3.0, 2.0)]
     assert G.hot_keys(df, ["k"], 3) is None and [r["k"] for r in G.hot_keys(df.where("k <> 3"), ["k"], 2).collect()] == [1]
+
+
+def test_zipped_lines_longer_than_a_block(tmp_path):
+    lines = [f"{k};{'x' * (3 << 20 if k == 30_000 else 40)}" for k in range(60_000)]
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.csv", "\n".join(["k;v", *lines]))
+    reader = ZipCsvReader([f"{tmp_path}/a.zip"], ["k", "v"], ";", None)
+    batches = list(reader.read(reader.partitions()[0]))
+    assert [f"{k};{v}" for b in batches for k, v in zip(*(c.to_pylist() for c in b.columns), strict=True)] == lines
+    assert max(b.num_rows for b in batches[:1]) < 40_000  # blocks of 1 MB while lines are short
