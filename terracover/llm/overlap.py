@@ -22,9 +22,9 @@ SHARED percent of the smaller one. A passage that two texts have in common gives
   5. links become components. Lists that still hold several components are searched again: nodes outside the list's
      largest component ask all blocks with which they share, in such lists, c / 2 heads of other components' nodes of a
      like set size (of all lists that two nodes share, one of the two is outside in half at least). Blocks
-     are made of nodes of one list, so a list of k nodes is asked for in k / (nodes a block) blocks. One link
-     between two components is enough in a task. No link between two components is left out, and no list of
-     pairs is put out.
+     are made of nodes of one list, so a list of k nodes is asked for in k / (nodes a block) blocks. A task puts out
+     the links that join components not joined by its earlier ones, fewer than it has rows. No two linked components
+     stay apart, and no list of pairs is put out.
 
 Shingles are known by 64-bit hashes. Defined results: null or empty text has an empty set, is its own component and
 linked with nothing; a null doc_id never names a component (component_id is null if all ids of it are); rows with
@@ -230,9 +230,19 @@ class Inverted:
         return doc[100 * common >= threshold * (self.size[doc] + n - common)]
 
 
+def root_of(above: dict[int, int], comp: int) -> int:
+    """The component that comp has become part of."""
+    while comp in above:
+        above[comp], comp = above.get(above[comp], above[comp]), above[comp]
+    return comp
+
+
 def search_blocks(index: DataFrame, asked: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
     """(a, b): links found between asking nodes and nodes of the blocks they ask.
 
+    Of the links of a task, only those come out that join two components which no earlier one has joined, so they are
+    fewer than its rows.
+
     index: block, node, comp. asked: block, node, comp. texts: node, text.
     """
     tasks = asked.groupBy("block").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("tasks"))
@@ -243,7 +253,7 @@ def search_blocks(index: DataFrame, asked: DataFrame, texts: DataFrame, width: i
     rows = rows.select("block", "task", "asks", "node", "comp", "text").repartition("block", "task").sortWithinPartitions("block", "task", "asks")
 
     def run(batches):
-        at, sets, inverted, seen = None, [], None, set()
+        at, sets, inverted, above = None, [], None, {}
         for b in batches:
             block, task, asks, node, comp = (b.column(k).to_numpy(zero_copy_only=False) for k in range(5))
             text, out = b.column(5), []
@@ -252,7 +262,7 @@ def search_blocks(index: DataFrame, asked: DataFrame, texts: DataFrame, width: i
                 if lo == hi:
                     continue
                 if at != (block[lo], task[lo]):
-                    at, sets, inverted, seen = (block[lo], task[lo]), [], None, set()
+                    at, sets, inverted, above = (block[lo], task[lo]), [], None, {}
                 for c in chunks_of(text.slice(lo, hi - lo), CHUNK):
                     h, d = shingle_sets(c, width)
                     rows = lo + c.rows
@@ -263,10 +273,11 @@ def search_blocks(index: DataFrame, asked: DataFrame, texts: DataFrame, width: i
                         inverted, sets = _inverted(sets), []
                     bounds = np.searchsorted(d, np.arange(c.n + 1))
                     for k, r in enumerate(rows.tolist()):
-                        for x in inverted.search(h[bounds[k] : bounds[k + 1]], comp[r], threshold).tolist():
-                            pair = (int(comp[r]), int(inverted.comp[x]))
-                            if pair not in seen:
-                                seen.add(pair)
+                        own = root_of(above, int(comp[r]))
+                        for x in inverted.search(h[bounds[k] : bounds[k + 1]], own, threshold).tolist():
+                            if inverted.comp[x] != own:  # not joined by another link of this task
+                                above[int(inverted.comp[x])] = own
+                                inverted.comp[inverted.comp == inverted.comp[x]] = own
                                 out.append((int(node[r]), int(inverted.node[x])))
             if out:
                 a, o = np.array(out, np.int64).T

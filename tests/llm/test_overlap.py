@@ -98,5 +98,19 @@ def test_components_equal_brute_force(spark, monkeypatch, width, threshold, smal
     assert got == brute(rows, width, threshold)
 
 
+def test_a_group_of_near_copies_gives_fewer_links_than_rows(spark):
+    r = random.Random(2)
+    base = [r.randrange(1000) for _ in range(200)]
+    texts = [" ".join(f"w{w if j != k else -k}" for j, w in enumerate(base)) for k in range(40)]  # all of them linked, none equal
+    index = spark.createDataFrame([(0, k, k) for k in range(30)], "block long, node long, comp long")
+    asked = spark.createDataFrame([(0, k, k) for k in range(40)], "block long, node long, comp long")
+    links = overlap.search_blocks(index, asked, spark.createDataFrame(list(enumerate(texts)), "node long, text string"), 4, 85).collect()
+    above = {}
+    for a, b in links:
+        assert (p := overlap.root_of(above, a)) != (q := overlap.root_of(above, b))
+        above[p] = q
+    assert len(links) == 39
+
+
 def test_empty_table(spark):
     assert overlap.overlap_components(spark.createDataFrame([], SCHEMA)).count() == 0
