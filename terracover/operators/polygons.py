@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import edges
 from ..sources.files import discard, stored
+from . import small_units
 
 GRID = 24
 #: Passes of noding; each but the first finds what the rounding of the last has made, and few are needed.
@@ -297,9 +298,19 @@ def repair(units: DataFrame, flag: str = "valida") -> DataFrame:
 
     A unit is invalid if edges cross or overlap, or a ring meets itself. Valid ones stay as they are; an invalid one
     of which no area is left stays too, so that it is seen. flag tells whether the unit came in valid. Units
-    without rings are invalid. Codes may repeat: rows are repaired one by one.
+    without rings are invalid. Codes may repeat: rows are repaired one by one. Units of few edges are repaired in their rows.
     """
-    kept = stored(units.where(F.col("geometry.type").isin("Polygon", "MultiPolygon")).withColumn("u", F.monotonically_increasing_id()), "repair-units")
+    kept = units.where(F.col("geometry.type").isin("Polygon", "MultiPolygon")).withColumn("_e", small_units.edge_list(F.col("geometry.rings")))
+    kept = stored(kept.withColumn("_small", small_units.is_small(F.col("geometry.rings"), F.col("_e"))).withColumn("_e", F.when(F.col("_small"), F.col("_e"))), "repair-units")
+    few = kept.where("_small").withColumn("_m", small_units.mend(F.col("_e")))
+    few = few.withColumns({"geometry": F.coalesce("_m.geometry", "geometry"), flag: ~F.col("_m.bad")}).drop("_e", "_small", "_m")
+    many = kept.where("NOT _small").drop("_e", "_small")
+    return few if many.isEmpty() else few.unionByName(_repair_by_edges(many, flag))
+
+
+def _repair_by_edges(units: DataFrame, flag: str) -> DataFrame:
+    """repair() of units of any number of edges, by edge rows."""
+    kept = stored(units.withColumn("u", F.monotonically_increasing_id()), "repair-units")
     rows = stored(_unit_edges(kept).drop("turn").withColumn("id", F.monotonically_increasing_id()), "repair-edges")
     wrong = meetings(rows, False).where("wrong").select("u").distinct()
     twice = rows.groupBy("u", "ring", "x1", "y1").agg(F.count("*").alias("n")).where("n > 1")
