@@ -36,11 +36,11 @@ PASSES = 40
 # ---------------------------------------------------------------- slabs
 
 
-def slab_stats(rows: DataFrame, unit: str) -> DataFrame:
-    """Box and slabs of every unit: so many that all edges together reach into about five slabs an edge."""
+def slab_stats(rows: DataFrame, unit: str, crossed: int = 4) -> DataFrame:
+    """Box and slabs of every unit: so many that all edges together reach into about 1 + crossed slabs an edge."""
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     stats = rows.groupBy(unit).agg(F.min(F.least("x1", "x2")).alias("_west"), F.max(F.greatest("x1", "x2")).alias("_east"), F.min(low).alias("_south"), F.max(high).alias("_north"), F.count("*").alias("_n"), F.sum(high - low).alias("_rise"))
-    slabs = F.when(F.col("_rise") > 0, F.greatest(F.lit(1), F.floor(4 * F.col("_n") * (F.col("_north") - F.col("_south")) / F.col("_rise")))).otherwise(F.lit(1))
+    slabs = F.when(F.col("_rise") > 0, F.greatest(F.lit(1), F.floor(crossed * F.col("_n") * (F.col("_north") - F.col("_south")) / F.col("_rise")))).otherwise(F.lit(1))
     return stats.withColumn("_slabs", slabs.cast("long")).drop("_n", "_rise")
 
 
@@ -64,26 +64,37 @@ def _box(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_level", F.ceil(F.log2(size)).cast("int"))
 
 
+def _span(a: Column, b: Column, level: Column, reach: float) -> tuple[Column, Column]:
+    """First and last cell of a size class that an edge, widened by reach, meets in one direction. A cell is twice as long as its edges."""
+    step = F.pow(F.lit(2.0), level + 1)
+    return F.floor((F.least(a, b) - reach) / step).cast("long"), F.floor((F.greatest(a, b) + reach) / step).cast("long")
+
+
 def _cells(level: Column, reach: float) -> Column:
     """The cells of a size class that the box of an edge, widened by reach, meets."""
-    step = F.pow(F.lit(2.0), level)
-    across, up = (F.sequence(F.floor((F.least(a, b) - reach) / step).cast("long"), F.floor((F.greatest(a, b) + reach) / step).cast("long")) for a, b in (("x1", "x2"), ("y1", "y2")))
+    across, up = (F.sequence(*_span(F.col(a), F.col(b), level, reach)) for a, b in (("x1", "x2"), ("y1", "y2")))
     return F.flatten(F.transform(across, lambda i: F.transform(up, lambda j: F.struct(level.alias("level"), i.alias("i"), j.alias("j")))))
 
 
 def meeting_pairs(rows: DataFrame, reach: float) -> DataFrame:
-    """Pairs of edges of a unit whose boxes meet, once each: u, a and b (structs of id, ring, x1, y1, x2, y2), a.id < b.id."""
+    """Pairs of edges of a unit whose boxes meet, once each: u, a and b (structs of id, ring, x1, y1, x2, y2), a.id < b.id.
+
+    Of the cells that two edges share, the first in both directions counts, so that no pair is put out twice.
+    """
     sized = _box(rows)
     levels = sized.groupBy("u").agg(F.collect_set("_level").alias("_levels"))  # at most the exponents of a double
     whole = F.struct("id", "ring", "x1", "y1", "x2", "y2")
     home = sized.select("u", F.explode(_cells(F.col("_level"), reach)).alias("cell"), whole.alias("e"))
     asks = sized.join(levels, "u").withColumn("_at", F.explode(F.filter("_levels", lambda k: k >= F.col("_level"))))
-    asks = asks.select("u", F.explode(_cells(F.col("_at"), reach)).alias("cell"), whole.alias("f"))
-    met = home.join(asks, ["u", "cell"]).where("e.id <> f.id")
+    asks = asks.select("u", F.explode(_cells(F.col("_at"), reach)).alias("cell"), whole.alias("f"), (F.col("_at") == F.col("_level")).alias("_same"))
+    met = home.join(asks, ["u", "cell"]).where("e.id < f.id OR NOT _same")  # edges of one class ask each other
     apart = "greatest(least(e.{c}1, e.{c}2), least(f.{c}1, f.{c}2)) <= {r} + least(greatest(e.{c}1, e.{c}2), greatest(f.{c}1, f.{c}2))"
     met = met.where(" AND ".join(apart.format(c=c, r=2 * reach) for c in "xy"))
+    for k, c in (("i", "x"), ("j", "y")):
+        starts = [_span(F.col(f"{e}.{c}1"), F.col(f"{e}.{c}2"), F.col("cell.level"), reach)[0] for e in "ef"]
+        met = met.where(F.col(f"cell.{k}") == F.greatest(*starts))
     first = F.col("e.id") < F.col("f.id")
-    return met.select("u", F.when(first, F.col("e")).otherwise(F.col("f")).alias("a"), F.when(first, F.col("f")).otherwise(F.col("e")).alias("b")).distinct()
+    return met.select("u", F.when(first, F.col("e")).otherwise(F.col("f")).alias("a"), F.when(first, F.col("f")).otherwise(F.col("e")).alias("b"))
 
 
 def _side(e: str, x: str, y: str) -> str:
@@ -177,7 +188,7 @@ def west_of(probes: DataFrame, rows: DataFrame, keys: list[str], value: Column)
 
     Heights are compared with x as the tie, as if the plane were turned a little, so level edges need no care.
     """
-    stats = stored(slab_stats(rows, "u"), "polygon-slabs")
+    stats = stored(slab_stats(rows, "u", 1), "polygon-slabs")
     asked = probes.join(stats, "u").where("y BETWEEN _south AND _north").withColumn("slab", slab_of(F.col("y"))).select("u", "slab", F.col("id").alias("_id"), "x", "y")
     met = asked.join(in_slabs(rows, stats, "u"), ["u", "slab"]).where("_id <> id")
     met = met.where("(y1 < y OR y1 = y AND x1 <= x) AND NOT (y2 < y OR y2 = y AND x2 <= x) AND (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1) < 0")
